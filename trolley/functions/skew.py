@@ -65,7 +65,8 @@ def number_rows(
     Rows are numbered in the order of the MD5 of all their columns. Equal rows
     are first counted, then placed by running sums inside ``16 ** bucket_digits``
     even buckets, then written out again with consecutive ids. Neither a heavy
-    key nor a heavy group of equal rows ends up in one task.
+    key nor a heavy group of equal rows ends up in one task. Store the result
+    if several queries use it.
     """
     columns = rows.columns
     quoted = [f"`{c}`" for c in columns]

@@ -11,6 +11,7 @@ from trolley.operators import cleaning, eda, features, fragments
 from trolley.plans import catalog
 from trolley.sources import storage
 from trolley.sources.order_lines import COLUMNS, load_order_lines
+from trolley.sources.prepared import stored_keyed_lines, stored_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +29,7 @@ def query(function: Query) -> Query:
 
 
 def relation(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return load_order_lines(spark, folder, *columns)
+    return stored_lines(spark, folder).select(*(columns or COLUMNS))
 
 
 def horizontal(spark: SparkSession, folder: str, *columns: str) -> dict[str, DataFrame]:
@@ -37,7 +38,7 @@ def horizontal(spark: SparkSession, folder: str, *columns: str) -> dict[str, Dat
 
 
 def vertical(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return fragments.vertical_fragment(relation(spark, folder))
+    return fragments.vertical_fragment(stored_keyed_lines(spark, folder))
 
 
 def order_info(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,12 +49,6 @@ def product_info(spark: SparkSession, folder: str) -> DataFrame:
     return vertical(spark, folder)["site_2_product_info"]
 
 
-def unkeyed(spark: SparkSession, folder: str, site: str, *columns: str) -> DataFrame:
-    """Columns of one vertical fragment, for queries that never use the row key."""
-    held = fragments.VERTICAL_SCHEMA[site]
-    return relation(spark, folder, *[c for c in COLUMNS if c in columns and c in held])
-
-
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Doubles whose last bits depend on the order of summation, made comparable."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
@@ -89,8 +84,9 @@ def scan_parquet(spark, folder):
 
 @query
 def sink_parquet(spark, folder):
+    """The relation built from its tables and written."""
     path = storage.new_shared_folder(spark, "lines-parquet")
-    storage.save_parquet(relation(spark, folder), path)
+    storage.save_parquet(load_order_lines(spark, folder), path)
     return storage.load_parquet(spark, path)
 
 
@@ -117,7 +113,7 @@ def load_fragments(spark, folder):
 def register_views(spark, folder):
     """Rows of the relation, read through its views under both spellings."""
     lines = relation(spark, folder)
-    catalog.register_views(lines, fragments.horizontal_fragment(lines, SITES), fragments.vertical_fragment(lines))
+    catalog.register_views(lines, fragments.horizontal_fragment(lines, SITES), vertical(spark, folder))
     return spark.sql(
         """
         SELECT 'global_relation' AS view_name, COUNT(*) AS row_count FROM global_relation
@@ -406,8 +402,7 @@ def vertical_fragment(spark, folder):
 
 @query
 def check_column_coverage(spark, folder):
-    lines = relation(spark, folder)
-    return fragments.check_column_coverage(lines, fragments.vertical_fragment(lines))
+    return fragments.check_column_coverage(relation(spark, folder), vertical(spark, folder))
 
 
 @query
@@ -492,7 +487,7 @@ def sql_q5_morning(spark, folder):
 
 @query
 def sql_q6_site2_only(spark, folder):
-    return catalog.department_rates(unkeyed(spark, folder, "site_2_product_info", "department", "reordered"))
+    return catalog.department_rates(product_info(spark, folder))
 
 
 @query
@@ -558,13 +553,13 @@ def w1_v_schema(spark, folder):
 @query
 def w1_v_active_users(spark, folder):
     return catalog.most_active_users(
-        unkeyed(spark, folder, "site_1_order_info", "order_id", "user_id", "days_since_prior_order")
+        order_info(spark, folder)
     )
 
 
 @query
 def w1_v_order_pattern(spark, folder):
-    return catalog.order_pattern(unkeyed(spark, folder, "site_1_order_info", "order_dow", "order_hour_of_day"))
+    return catalog.order_pattern(order_info(spark, folder))
 
 
 @query
@@ -606,13 +601,13 @@ def w2_v_schema(spark, folder):
 @query
 def w2_v_product_rank(spark, folder):
     return catalog.product_rank_in_department(
-        unkeyed(spark, folder, "site_2_product_info", "department", "product_name", "reordered")
+        product_info(spark, folder)
     )
 
 
 @query
 def w2_v_dept_local(spark, folder):
-    return catalog.top_department_rates(unkeyed(spark, folder, "site_2_product_info", "department", "reordered"))
+    return catalog.top_department_rates(product_info(spark, folder))
 
 
 @query

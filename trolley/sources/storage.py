@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -82,12 +85,18 @@ def new_shared_folder(spark: SparkSession, label: str) -> str:
     It lies in the folder that ``spark.checkpoint.dir`` names. Where that is
     unset, as in local runs, a temporary folder stands in for it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="trolley-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _local_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    """Stands in for the shared folder of a cluster; removed when the process ends."""
+    root = tempfile.mkdtemp(prefix="trolley-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def _folders(spark: SparkSession, root: str) -> set[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
