@@ -563,3 +563,356 @@ define(
     "FROM global_relation WHERE order_hour_of_day BETWEEN 6 AND 10 "
     "GROUP BY department ORDER BY morning_purchases DESC, department LIMIT 10",
 )
+
+# --- baskets --------------------------------------------------------------
+
+
+def digest(*keys: str) -> str:
+    return f"MD5(CONCAT_WS('|', '42', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)}))"
+
+
+def below(text: str, limit: str) -> str:
+    return f"SUBSTR({text}, 1, 8) < '{limit}'"
+
+
+FIVE_PERCENT, FOUR_FIFTHS = "0ccccccc", "cccccccc"
+LINE_COLUMNS = "order_id, product_id, add_to_cart_order, product_name"
+define(
+    "row_sample",
+    RELATION,
+    f"SELECT {LINE_COLUMNS} FROM global_relation "
+    f"WHERE {below(digest('order_id', 'add_to_cart_order', 'product_id'), FIVE_PERCENT)}",
+)
+define(
+    "order_sample",
+    RELATION,
+    f"SELECT {LINE_COLUMNS} FROM global_relation WHERE {below(digest('order_id'), FIVE_PERCENT)}",
+)
+define(
+    "baskets",
+    RELATION,
+    """
+SELECT order_id, STRING_AGG(product_name, ',' ORDER BY product_name) AS items
+FROM (SELECT DISTINCT order_id, product_name FROM global_relation) AS pairs
+GROUP BY order_id HAVING COUNT(*) >= 2""",
+)
+# Itemsets of up to three names; at this support the test tables hold no larger ones.
+ITEMSETS = f"""{RELATION},
+pairs AS (
+  SELECT order_id, product_name FROM (SELECT DISTINCT order_id, product_name FROM global_relation) AS p
+  QUALIFY COUNT(*) OVER (PARTITION BY order_id) >= 2
+),
+size AS (SELECT COUNT(DISTINCT order_id) AS n FROM pairs),
+singles AS (
+  SELECT product_name AS a, COUNT(*) AS freq FROM pairs GROUP BY a HAVING COUNT(*) >= CEIL(0.005 * (SELECT n FROM size))
+),
+doubles AS (
+  SELECT p.product_name AS a, q.product_name AS b, COUNT(*) AS freq
+  FROM pairs AS p JOIN pairs AS q ON p.order_id = q.order_id AND p.product_name < q.product_name
+  GROUP BY 1, 2 HAVING COUNT(*) >= CEIL(0.005 * (SELECT n FROM size))
+),
+triples AS (
+  SELECT p.product_name AS a, q.product_name AS b, r.product_name AS c, COUNT(*) AS freq
+  FROM pairs AS p JOIN pairs AS q ON p.order_id = q.order_id AND p.product_name < q.product_name
+  JOIN pairs AS r ON p.order_id = r.order_id AND q.product_name < r.product_name
+  GROUP BY 1, 2, 3 HAVING COUNT(*) >= CEIL(0.005 * (SELECT n FROM size))
+),
+candidates AS (
+  SELECT a AS antecedent, b AS consequent, freq FROM doubles
+  UNION ALL SELECT b, a, freq FROM doubles
+  UNION ALL SELECT b || ',' || c, a, freq FROM triples
+  UNION ALL SELECT a || ',' || c, b, freq FROM triples
+  UNION ALL SELECT a || ',' || b, c, freq FROM triples
+),
+rules AS (
+  SELECT antecedent, consequent,
+         ROUND(c.freq / CAST(x.freq AS DOUBLE), 9) AS confidence,
+         ROUND(c.freq / CAST(x.freq AS DOUBLE) / (y.freq / CAST(n AS DOUBLE)), 9) AS lift,
+         ROUND(c.freq / CAST(n AS DOUBLE), 9) AS support,
+         c.freq / CAST(x.freq AS DOUBLE) AS exact_confidence
+  FROM candidates AS c
+  JOIN (SELECT a AS items, freq FROM singles UNION ALL SELECT a || ',' || b, freq FROM doubles) AS x
+    ON x.items = antecedent
+  JOIN singles AS y ON y.a = consequent, size
+)"""
+define(
+    "frequent_itemsets",
+    ITEMSETS,
+    "SELECT a AS items, freq FROM singles UNION ALL SELECT a || ',' || b, freq FROM doubles "
+    "UNION ALL SELECT a || ',' || b || ',' || c, freq FROM triples",
+)
+RULE_COLUMNS = "antecedent, consequent, confidence, lift, support"
+define("association_rules", ITEMSETS, f"SELECT {RULE_COLUMNS} FROM rules WHERE exact_confidence >= 0.1")
+define(
+    "top_rules_by_lift",
+    ITEMSETS,
+    f"SELECT {RULE_COLUMNS} FROM rules WHERE exact_confidence >= 0.05 "
+    "ORDER BY lift DESC, antecedent, consequent LIMIT 20",
+)
+
+# --- segments -------------------------------------------------------------
+
+define(
+    "scaled_features",
+    f"{SCORED}, inside AS (SELECT * FROM scored WHERE {_inside})",
+    "SELECT user_id, "
+    + ", ".join(
+        f"ROUND(({c} - AVG({c}) OVER ()) / STDDEV_SAMP({c}) OVER (), 6) AS {c}"
+        for c in ("frequency", "recency", "monetary")
+    )
+    + " FROM inside",
+)
+
+# --- ALS ------------------------------------------------------------------
+
+BEST = f"""{RELATION},
+best_users AS (
+  SELECT user_id, COUNT(*) AS n FROM global_relation GROUP BY user_id ORDER BY n DESC, user_id LIMIT 2000
+),
+best_products AS (
+  SELECT product_id, COUNT(*) AS n FROM global_relation GROUP BY product_id ORDER BY n DESC, product_id LIMIT 200
+)"""
+define(
+    "top_users_products",
+    BEST,
+    "SELECT 'user' AS kind, user_id AS id, n AS line_count FROM best_users "
+    "UNION ALL SELECT 'product', product_id, n FROM best_products",
+)
+RATING_COLUMNS = (
+    "CAST(user_id AS INTEGER) AS user_id, CAST(product_id AS INTEGER) AS product_id, CAST(COUNT(*) AS INTEGER) AS rating"
+)
+define(
+    "ratings",
+    BEST,
+    f"SELECT {RATING_COLUMNS} FROM global_relation WHERE user_id IN (SELECT user_id FROM best_users) "
+    "AND product_id IN (SELECT product_id FROM best_products) GROUP BY 1, 2",
+)
+define(
+    "train_test_split",
+    RELATION,
+    f"SELECT *, CASE WHEN {below(digest('user_id', 'product_id'), FOUR_FIFTHS)} THEN 'train' ELSE 'test' END AS part "
+    f"FROM (SELECT {RATING_COLUMNS} FROM global_relation GROUP BY 1, 2) AS rated",
+)
+
+# --- item neighbours ------------------------------------------------------
+
+
+def holders(min_items: int) -> str:
+    """catalogue(product_name, item) and held(user_id, item, product_name)."""
+    return f"""{RELATION},
+popular AS (
+  SELECT product_name, COUNT(*) AS n FROM global_relation WHERE product_name IS NOT NULL
+  GROUP BY product_name ORDER BY n DESC, product_name LIMIT 200
+),
+catalogue AS (
+  SELECT product_name, CAST(ROW_NUMBER() OVER (ORDER BY product_name) - 1 AS INTEGER) AS item FROM popular
+),
+held AS (
+  SELECT user_id, item, product_name
+  FROM (SELECT DISTINCT user_id, product_name FROM global_relation) AS bought JOIN catalogue USING (product_name)
+  QUALIFY COUNT(*) OVER (PARTITION BY user_id) >= {min_items}
+)"""
+
+
+def cosines(source: str, name: str, by: str) -> str:
+    """Similarity of items a <> b over the rows of ``source``, per ``by``."""
+    return f"""
+{name}_sizes AS (SELECT {by}, item, COUNT(*) AS n FROM {source} GROUP BY {by}, item),
+{name} AS (
+  SELECT c.{by}, c.a, c.b, c.together / SQRT(CAST(x.n AS DOUBLE) * y.n) AS similarity
+  FROM (SELECT p.{by}, p.item AS a, q.item AS b, COUNT(*) AS together
+        FROM {source} AS p JOIN {source} AS q ON p.{by} = q.{by} AND p.user_id = q.user_id AND p.item <> q.item
+        GROUP BY 1, 2, 3) AS c
+  JOIN {name}_sizes AS x ON x.{by} = c.{by} AND x.item = c.a
+  JOIN {name}_sizes AS y ON y.{by} = c.{by} AND y.item = c.b
+)"""
+
+
+HELD = holders(5)
+define("knn_interactions", HELD, "SELECT user_id, product_name FROM held")
+NEIGHBOURS = f"""{HELD},
+whole AS (SELECT 0 AS fold, * FROM held),{cosines('whole', 'alike', 'fold')}"""
+define(
+    "item_cosine",
+    NEIGHBOURS,
+    "SELECT x.product_name AS item_a, y.product_name AS item_b, ROUND(similarity, 9) AS similarity "
+    "FROM alike JOIN catalogue AS x ON a = x.item JOIN catalogue AS y ON b = y.item WHERE a < b",
+)
+define(
+    "knn_scores",
+    NEIGHBOURS,
+    """
+SELECT user_id, product_name, ROUND(COALESCE(SUM(similarity) FILTER (WHERE place <= 30), 0), 9) AS score
+FROM (SELECT o.user_id, o.product_name, s.similarity,
+             ROW_NUMBER() OVER (PARTITION BY o.user_id, o.item ORDER BY s.similarity DESC NULLS LAST) AS place
+      FROM (SELECT u.user_id, c.item, c.product_name FROM (SELECT DISTINCT user_id FROM held) AS u, catalogue AS c
+            WHERE NOT EXISTS (SELECT 1 FROM held AS h WHERE h.user_id = u.user_id AND h.item = c.item)) AS o
+      JOIN held AS h ON h.user_id = o.user_id
+      LEFT JOIN alike AS s ON s.a = o.item AND s.b = h.item) AS near
+GROUP BY user_id, product_name""",
+)
+FOLDED = f"""{HELD},
+folded AS (
+  SELECT user_id, item, product_name,
+         CAST(CAST('0x' || SUBSTR({digest("'fold'", 'user_id')}, 1, 8) AS BIGINT) % 5 + 1 AS INTEGER) AS fold,
+         CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY {digest("'hide'", 'user_id', 'item')})
+              <= GREATEST(1, COUNT(*) OVER (PARTITION BY user_id) // 5) AS INTEGER) AS hidden
+  FROM held
+)"""
+define("knn_holdout_folds", FOLDED, "SELECT user_id, fold, product_name, hidden FROM folded")
+
+
+def scored_folds(ks: str) -> str:
+    return f"""{FOLDED},
+training AS (
+  SELECT f.fold, h.user_id, h.item FROM folded AS h, (SELECT UNNEST([1, 2, 3, 4, 5]) AS fold) AS f
+  WHERE NOT (h.fold = f.fold AND h.hidden = 1)
+),{cosines('training', 'alike', 'fold')},
+open_items AS (
+  SELECT u.fold, u.user_id, c.item, COALESCE(h.hidden, 0) AS label
+  FROM (SELECT DISTINCT fold, user_id FROM folded) AS u CROSS JOIN catalogue AS c
+  LEFT JOIN folded AS h ON h.user_id = u.user_id AND h.item = c.item
+  WHERE h.hidden IS NULL OR h.hidden = 1
+),
+near AS (
+  SELECT o.fold, o.user_id, o.item, o.label, COALESCE(s.similarity, 0) AS similarity,
+         ROW_NUMBER() OVER (PARTITION BY o.user_id, o.item ORDER BY COALESCE(s.similarity, 0) DESC) AS place
+  FROM open_items AS o JOIN folded AS h ON h.user_id = o.user_id AND h.hidden = 0
+  LEFT JOIN alike AS s ON s.fold = o.fold AND s.a = o.item AND s.b = h.item
+),
+totals AS (
+  SELECT fold, user_id, item, label, k, ROUND(SUM(similarity) FILTER (WHERE place <= k), 9) AS score
+  FROM near, (SELECT UNNEST({ks}) AS k) AS ks GROUP BY ALL
+),
+scored AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id, k ORDER BY score DESC, item) <= 10 AS INTEGER) AS predicted
+  FROM totals
+)"""
+
+
+def measured(predicted: str) -> str:
+    """Confusion counts, AUC and its parts per fold of ``scored``."""
+    return f"""
+steps AS (
+  SELECT fold, score, SUM(label) AS positives, SUM(1 - label) AS negatives FROM scored GROUP BY fold, score
+),
+running AS (
+  SELECT *, SUM(positives) OVER down AS tp, SUM(negatives) OVER down AS fp,
+         SUM(positives) OVER (PARTITION BY fold) AS p, SUM(negatives) OVER (PARTITION BY fold) AS n
+  FROM steps WINDOW down AS (PARTITION BY fold ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+),
+areas AS (
+  SELECT fold, CAST(SUM(negatives * (2 * tp - positives)) AS DOUBLE) / (2.0 * MAX(p) * MAX(n)) AS auc
+  FROM running GROUP BY fold
+),
+confusion AS (
+  SELECT fold, SUM(label * {predicted}) AS tp, SUM({predicted}) AS pp, SUM(label) AS p,
+         COUNT(*) FILTER (WHERE label = {predicted}) AS matching, COUNT(*) AS n
+  FROM scored GROUP BY fold
+),
+fold_metrics AS (
+  SELECT fold, tp / CAST(pp AS DOUBLE) AS precision, tp / CAST(p AS DOUBLE) AS recall,
+         2 * tp / CAST(pp + p AS DOUBLE) AS f1, matching / CAST(n AS DOUBLE) AS accuracy, auc
+  FROM confusion JOIN areas USING (fold)
+)"""
+
+
+SCORED_30 = f"{scored_folds('[30]')},{measured('predicted')}"
+METRICS = ("precision", "recall", "f1", "accuracy", "auc")
+define(
+    "knn_cv_metrics",
+    SCORED_30,
+    "SELECT fold, " + ", ".join(f"ROUND({m}, 9) AS {m}" for m in METRICS) + " FROM fold_metrics",
+)
+define(
+    "knn_summary",
+    SCORED_30,
+    "SELECT " + ", ".join(f"ROUND(AVG({m}), 9) AS {m}" for m in METRICS) + " FROM fold_metrics",
+)
+define(
+    "roc_curve",
+    SCORED_30,
+    "SELECT fold, score, CAST(fp AS DOUBLE) / n AS fpr, CAST(tp AS DOUBLE) / p AS tpr FROM running",
+)
+define("roc_auc", SCORED_30, "SELECT fold, ROUND(auc, 9) AS auc FROM areas")
+define(
+    "knn_k_sweep",
+    scored_folds("[10, 20, 30, 40, 50]"),
+    """
+SELECT k, COUNT(DISTINCT user_id) AS users,
+       CAST(SUM(label * predicted) AS DOUBLE) / SUM(predicted) AS precision,
+       CAST(SUM(label * predicted) AS DOUBLE) / SUM(label) AS recall
+FROM scored GROUP BY k""",
+)
+_pooled = scored_folds("[30]").replace("scored AS (", "scored_folds AS (")
+define(
+    "binary_metrics",
+    f"{_pooled}, scored AS (SELECT 0 AS fold, score, label, CAST(score >= 8.0 AS INTEGER) AS said FROM scored_folds),"
+    f"{measured('said')}",
+    "SELECT " + ", ".join(f"ROUND({m}, 9) AS {m}" for m in ("precision", "recall", "f1", "auc")) + " FROM fold_metrics",
+)
+
+# --- neural recommender ---------------------------------------------------
+
+NCF = holders(3)
+define("ncf_interactions", NCF, "SELECT user_id, product_name FROM held")
+define(
+    "index_encode",
+    NCF,
+    """
+SELECT 'user' AS kind, CAST(user_id AS VARCHAR) AS value,
+       ROW_NUMBER() OVER (ORDER BY MD5(LENGTH(CAST(user_id AS VARCHAR)) || ':' || user_id)) - 1 AS idx
+FROM (SELECT DISTINCT user_id FROM held) AS users
+UNION ALL SELECT 'product', product_name, CAST(item AS BIGINT) FROM catalogue""",
+)
+DRAWN = f"""{NCF},
+drawn AS (
+  SELECT user_id, item FROM (
+    SELECT u.user_id, c.item, u.n, ROW_NUMBER() OVER
+      (PARTITION BY u.user_id ORDER BY {digest("'neg'", 'u.user_id', 'c.item')}) AS place
+    FROM (SELECT user_id, COUNT(*) AS n FROM held GROUP BY user_id) AS u, catalogue AS c
+    WHERE NOT EXISTS (SELECT 1 FROM held AS h WHERE h.user_id = u.user_id AND h.item = c.item)
+  ) AS rest WHERE place <= 4 * n
+)"""
+define("negative_samples", DRAWN, "SELECT user_id, item FROM drawn")
+define(
+    "stratified_split",
+    DRAWN,
+    f"""
+SELECT user_id, item, label, CASE WHEN
+         ROW_NUMBER() OVER (PARTITION BY label ORDER BY SUBSTR({digest("'split'", 'user_id', 'item')}, 1, 15))
+         <= CEIL(0.8 * COUNT(*) OVER (PARTITION BY label)) THEN 'train' ELSE 'test' END AS part
+FROM (SELECT user_id, item, CAST(1 AS INTEGER) AS label FROM held UNION ALL SELECT user_id, item, 0 FROM drawn) AS pairs""",
+)
+
+# --- weekly sales ---------------------------------------------------------
+
+define(
+    "sales_by_dow",
+    RELATION,
+    "SELECT order_dow, COUNT(DISTINCT order_id) AS num_orders, COUNT(product_id) AS total_items "
+    "FROM global_relation GROUP BY order_dow",
+)
+WEEKS = f"""{RELATION},
+sold AS (
+  SELECT series, CAST(DATE_TRUNC('week', order_date) + INTERVAL 6 DAY AS DATE) AS week, COUNT(*) AS y
+  FROM (SELECT department AS series, order_date FROM global_relation
+        UNION ALL SELECT 'all', order_date FROM global_relation) AS lines
+  GROUP BY 1, 2
+),
+calendar AS (
+  SELECT series, CAST(UNNEST(GENERATE_SERIES(MIN(week), MAX(week), INTERVAL 7 DAY)) AS DATE) AS week
+  FROM sold GROUP BY series
+),
+weekly AS (
+  SELECT series, week, COALESCE(y, 0) AS y FROM calendar LEFT JOIN sold USING (series, week)
+)"""
+define("weekly_sales", WEEKS, "SELECT * FROM weekly")
+define(
+    "time_split",
+    WEEKS,
+    """
+SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY series ORDER BY week)
+                    <= FLOOR(0.8 * COUNT(*) OVER (PARTITION BY series)) THEN 'train' ELSE 'test' END AS part
+FROM weekly""",
+)

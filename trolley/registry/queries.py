@@ -4,14 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import cleaning, eda, features, fragments
+from trolley.operators import (
+    cleaning,
+    clustering,
+    eda,
+    features,
+    forecast,
+    fragments,
+    metrics,
+    mining,
+    neighbours,
+    neural,
+    recommend,
+)
 from trolley.plans import catalog
 from trolley.sources import storage
 from trolley.sources.order_lines import COLUMNS, load_order_lines
 from trolley.sources.prepared import stored_keyed_lines, stored_lines
+from trolley.sources.storage import settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -613,3 +627,323 @@ def w2_v_dept_local(spark, folder):
 @query
 def w2_cross_join(spark, folder):
     return catalog.morning_rates(*vertical(spark, folder).values())
+
+
+# --- baskets --------------------------------------------------------------
+
+
+@query
+def row_sample(spark, folder):
+    return mining.row_sample(relation(spark, folder, "order_id", "product_id", "add_to_cart_order", "product_name"))
+
+
+@query
+def order_sample(spark, folder):
+    return mining.order_sample(relation(spark, folder, "order_id", "product_id", "add_to_cart_order", "product_name"))
+
+
+@query
+def baskets(spark, folder):
+    found = mining.baskets(relation(spark, folder, "order_id", "product_name"))
+    return found.select("order_id", F.concat_ws(",", "items").alias("items"))
+
+
+def mined(spark, folder):
+    stored = settled(mining.trimmed_baskets(relation(spark, folder, "order_id", "product_name"), 0.005), "baskets")
+    return mining.frequent_itemsets(stored, 0.005), stored
+
+
+def rules_as_text(rules):
+    return rounded(rules, 9, "confidence", "lift", "support").withColumns(
+        {side: F.concat_ws(",", side) for side in ("antecedent", "consequent")}
+    )
+
+
+@query
+def frequent_itemsets(spark, folder):
+    return mined(spark, folder)[0].select(F.concat_ws(",", "items").alias("items"), "freq")
+
+
+@query
+def association_rules(spark, folder):
+    return rules_as_text(mining.association_rules(*mined(spark, folder)))
+
+
+@query
+def top_rules_by_lift(spark, folder):
+    rules = mining.association_rules(*mined(spark, folder), min_confidence=0.05)
+    return rules_as_text(mining.top_rules_by_lift(rules))
+
+
+# --- segments -------------------------------------------------------------
+
+
+def scaled_rfm(spark, folder):
+    return clustering.scaled_features(settled(features.build_rfm(rfm_lines(spark, folder)), "rfm"))
+
+
+@query
+def scaled_features(spark, folder):
+    values = F.col("_values")
+    return (
+        scaled_rfm(spark, folder)
+        .withColumn("_values", vector_to_array("features"))
+        .select("user_id", *[F.round(values[i], 6).alias(c) for i, c in enumerate(features.RFM_COLUMNS)])
+    )
+
+
+@query
+def kmeans_sweep(spark, folder):
+    return clustering.kmeans_sweep(scaled_rfm(spark, folder))
+
+
+@query
+def kmeans_best(spark, folder):
+    return clustering.kmeans_best(scaled_rfm(spark, folder))[1].select(
+        "user_id", *features.RFM_COLUMNS, "cluster"
+    )
+
+
+@query
+def davies_bouldin(spark, folder):
+    return clustering.davies_bouldin(clustering.kmeans_best(scaled_rfm(spark, folder))[1])
+
+
+@query
+def cluster_summary(spark, folder):
+    return clustering.cluster_summary(clustering.kmeans_best(scaled_rfm(spark, folder))[1])
+
+
+# --- ALS ------------------------------------------------------------------
+
+
+def bought(spark, folder):
+    return relation(spark, folder, "user_id", "product_id")
+
+
+@query
+def top_users_products(spark, folder):
+    return recommend.top_users_products(bought(spark, folder))
+
+
+@query
+def ratings(spark, folder):
+    return recommend.ratings(bought(spark, folder)).withColumn("rating", F.col("rating").cast("int"))
+
+
+@query
+def train_test_split(spark, folder):
+    train, test = recommend.train_test_split(recommend.ratings(bought(spark, folder), None, None))
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return parts.withColumn("rating", F.col("rating").cast("int"))
+
+
+def als_parts(spark, folder):
+    """All users, and the 200 most bought products as the catalogue."""
+    rated = settled(recommend.ratings(bought(spark, folder), None, 200), "ratings")
+    return recommend.train_test_split(rated)
+
+
+@query
+def als_fit(spark, folder):
+    """Size of the factors per side."""
+    model = recommend.als_fit(als_parts(spark, folder)[0])
+    sides = [("user", model.userFactors), ("product", model.itemFactors)]
+    counted = [
+        side.agg(F.count(F.lit(1)).alias("ids"), F.max(F.size("features")).alias("rank")).select(
+            F.lit(name).alias("side"), "ids", "rank"
+        )
+        for name, side in sides
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+@query
+def als_rmse(spark, folder):
+    train, test = als_parts(spark, folder)
+    error = recommend.als_rmse(recommend.als_fit(train), test)
+    return test.agg(F.count(F.lit(1)).alias("test_pairs")).withColumn("rmse", F.lit(error))
+
+
+@query
+def als_top5(spark, folder):
+    return recommend.als_top(recommend.als_fit(als_parts(spark, folder)[0]), 5)
+
+
+# --- item neighbours ------------------------------------------------------
+
+
+def named(spark, folder):
+    return relation(spark, folder, "user_id", "product_name")
+
+
+def knn_users(spark, folder):
+    """The catalogue and all users with at least five of its items."""
+    items = neighbours.catalogue(named(spark, folder))
+    return items, settled(neighbours.user_items(named(spark, folder), items), "user-items")
+
+
+def knn_folds(spark, folder):
+    items, held = knn_users(spark, folder)
+    return items, settled(neighbours.holdout_folds(held), "folds")
+
+
+def knn_scored(spark, folder):
+    items, folded = knn_folds(spark, folder)
+    return items, settled(neighbours.knn_cv_scores(folded, items.count()), "scores")
+
+
+@query
+def knn_interactions(spark, folder):
+    items = neighbours.catalogue(named(spark, folder))
+    return neighbours.interactions(neighbours.user_items(named(spark, folder), items), items)
+
+
+@query
+def item_cosine(spark, folder):
+    items, held = knn_users(spark, folder)
+    return rounded(neighbours.item_cosine(held, items), 9, "similarity")
+
+
+@query
+def knn_scores(spark, folder):
+    items, held = knn_users(spark, folder)
+    return neighbours.user_scores(held, items)
+
+
+@query
+def knn_holdout_folds(spark, folder):
+    items, folded = knn_folds(spark, folder)
+    marked = folded.select("user_id", "fold", "hidden", F.explode("items").alias("item"))
+    return marked.join(F.broadcast(items), "item").select(
+        "user_id", "fold", "product_name", F.array_contains("hidden", F.col("item")).cast("int").alias("hidden")
+    )
+
+
+METRICS = ["precision", "recall", "f1", "accuracy", "auc"]
+
+
+@query
+def knn_cv_metrics(spark, folder):
+    return rounded(neighbours.knn_cv_metrics(knn_scored(spark, folder)[1]), 9, *METRICS)
+
+
+@query
+def knn_summary(spark, folder):
+    return rounded(neighbours.knn_summary(neighbours.knn_cv_metrics(knn_scored(spark, folder)[1])), 9, *METRICS)
+
+
+@query
+def roc_curve(spark, folder):
+    return metrics.roc_curve(knn_scored(spark, folder)[1], ["fold"])
+
+
+@query
+def roc_auc(spark, folder):
+    return rounded(metrics.roc_auc(knn_scored(spark, folder)[1], ["fold"]), 9, "auc")
+
+
+@query
+def knn_k_sweep(spark, folder):
+    items, folded = knn_folds(spark, folder)
+    return neighbours.knn_k_sweep(folded, items.count())
+
+
+# --- neural recommender ---------------------------------------------------
+
+
+def ncf_users(spark, folder):
+    items, held = neural.ncf_interactions(named(spark, folder), users=None)
+    return items, settled(held, "ncf-users")
+
+
+def ncf_pairs(spark, folder):
+    items, held = ncf_users(spark, folder)
+    return settled(neural.labelled_pairs(neural.with_user_index(held), items.count()), "pairs")
+
+
+def ncf_scored(spark, folder):
+    return settled(neural.neural_cf(*neural.stratified_split(ncf_pairs(spark, folder))), "scores")
+
+
+@query
+def ncf_interactions(spark, folder):
+    items, held = ncf_users(spark, folder)
+    return neighbours.interactions(held, items)
+
+
+@query
+def index_encode(spark, folder):
+    """Index of each user and each catalogue item."""
+    items, held = ncf_users(spark, folder)
+    users = neural.index_users(held).select(
+        F.lit("user").alias("kind"), F.col("user_id").cast("string").alias("value"), F.col("user_idx").alias("idx")
+    )
+    products = items.select(
+        F.lit("product").alias("kind"), F.col("product_name").alias("value"), F.col("item").cast("long").alias("idx")
+    )
+    return users.unionByName(products)
+
+
+@query
+def negative_samples(spark, folder):
+    items, held = ncf_users(spark, folder)
+    return neural.negative_samples(held, items.count())
+
+
+@query
+def stratified_split(spark, folder):
+    items, held = ncf_users(spark, folder)
+    train, test = neural.stratified_split(neural.labelled_pairs(held, items.count()))
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+@query
+def neural_cf(spark, folder):
+    return ncf_scored(spark, folder)
+
+
+@query
+def neural_cf_metrics(spark, folder):
+    return metrics.binary_metrics(ncf_scored(spark, folder))
+
+
+@query
+def binary_metrics(spark, folder):
+    """Metrics of the neighbour scores, an item counting as predicted from a score of 8."""
+    measured = metrics.binary_metrics(knn_scored(spark, folder)[1], threshold=8.0)
+    return rounded(measured, 9, "precision", "recall", "f1", "auc")
+
+
+# --- weekly sales ---------------------------------------------------------
+
+
+def weeks(spark, folder):
+    return forecast.weekly_sales(
+        stored_lines(spark, folder).select("order_date", "department", "product_id")
+    )
+
+
+@query
+def sales_by_dow(spark, folder):
+    return forecast.sales_by_dow(relation(spark, folder, "order_dow", "order_id", "product_id"))
+
+
+@query
+def weekly_sales(spark, folder):
+    return weeks(spark, folder)
+
+
+@query
+def time_split(spark, folder):
+    return forecast.time_split(weeks(spark, folder))
+
+
+@query
+def arima_forecast(spark, folder):
+    return forecast.arima_forecast(forecast.time_split(weeks(spark, folder)))
+
+
+@query
+def forecast_rmse(spark, folder):
+    return forecast.forecast_rmse(forecast.arima_forecast(forecast.time_split(weeks(spark, folder))))

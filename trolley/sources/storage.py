@@ -97,6 +97,17 @@ def _local_folder() -> str:
     return root
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Ends its lineage: what follows reads the stored table, however often it
+    is used and whichever executors are lost.
+    """
+    path = new_shared_folder(df.sparkSession, label)
+    save_parquet(df, path)
+    return load_parquet(df.sparkSession, path)
+
+
 def _folders(spark: SparkSession, root: str) -> set[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
