@@ -145,20 +145,27 @@ def knn_scores(visible: DataFrame, similarity: DataFrame, n_items: int, ks: tupl
     shared = visible.sparkSession.sparkContext.broadcast(matrices)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everything = np.arange(n_items)
+        everything = np.arange(n_items, dtype=np.int32)
+        nothing = np.zeros((n_items, n_items))
         for batch in batches:
-            parts = []
-            for fold, user, held in batch[["fold", "user_id", "items"]].itertuples(index=False):
-                matrix = shared.value.get(fold, np.zeros((n_items, n_items)))
-                open_items = np.setdiff1d(everything, held)
-                nearest = -np.sort(-matrix[np.ix_(open_items, held)], axis=1)
-                for k in ks:
-                    total = np.round(nearest[:, :k].sum(axis=1), SCORE_DIGITS)
-                    parts.append(
-                        pd.DataFrame({"fold": fold, "user_id": user, "k": k, "item": open_items, "score": total})
-                    )
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+            open_lists, totals = [], []
+            for fold, held in zip(batch["fold"], batch["items"]):
+                open_items = np.delete(everything, held)
+                near = shared.value.get(fold, nothing)[np.ix_(open_items, held)]
+                near = -np.sort(-near, axis=1)
+                open_lists.append(open_items)
+                totals.append([near[:, :k].sum(axis=1) for k in ks])
+            sizes = [len(items) for items in open_lists]
+            for place, k in enumerate(ks):
+                yield pd.DataFrame(
+                    {
+                        "fold": np.repeat(batch["fold"].to_numpy(), sizes),
+                        "user_id": np.repeat(batch["user_id"].to_numpy(), sizes),
+                        "k": k,
+                        "item": np.concatenate(open_lists),
+                        "score": np.round(np.concatenate([t[place] for t in totals]), SCORE_DIGITS),
+                    }
+                )
 
     return visible.select("fold", "user_id", "items").mapInPandas(
         score, "fold int, user_id long, k int, item int, score double"
@@ -281,5 +288,5 @@ def knn_k_sweep(folded: DataFrame, n_items: int, ks: tuple[int, ...] = (10, 20,
 def run_knn_recommender(df: DataFrame, users: int | None = 2000, products: int = 200) -> DataFrame:
     """Mean metrics of five-fold cross-validation."""
     items = catalogue(df, products)
-    folded = settled(holdout_folds(user_items(df, items, users=users)), "folds")
+    folded = settled(holdout_folds(user_items(df, items, users=users)), "folds", "user_id")
     return knn_summary(knn_cv_metrics(settled(knn_cv_scores(folded, items.count()), "scores")))

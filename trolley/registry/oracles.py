@@ -125,6 +125,16 @@ UNION ALL SELECT 'h_site_2', COUNT(*) FROM h_site_2
 UNION ALL SELECT 'v_site_1', COUNT(*) FROM global_relation
 UNION ALL SELECT 'v_site_2_product_info', COUNT(*) FROM global_relation""",
 )
+define(
+    "bootstrap_fragments",
+    SITES,
+    """
+SELECT 'relation' AS table_name, COUNT(*) AS row_count FROM global_relation
+UNION ALL SELECT 'site_1', COUNT(*) FROM h_site_1
+UNION ALL SELECT 'site_2', COUNT(*) FROM h_site_2
+UNION ALL SELECT 'site_1_order_info', COUNT(*) FROM global_relation
+UNION ALL SELECT 'site_2_product_info', COUNT(*) FROM global_relation""",
+)
 define(
     "run_sql",
     RELATION,

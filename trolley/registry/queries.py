@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from trolley.operators import (
     neural,
     recommend,
 )
-from trolley.plans import catalog
+from trolley.plans import catalog, workflows
 from trolley.sources import storage
 from trolley.sources.order_lines import COLUMNS, load_order_lines
 from trolley.sources.prepared import stored_keyed_lines, stored_lines
@@ -139,6 +140,20 @@ def register_views(spark, folder):
     )
 
 
+@query
+def bootstrap_fragments(spark, folder):
+    """Cleaned, cut and stored; then loaded again, rows per stored table."""
+    path = storage.new_shared_folder(spark, "bootstrap")
+    workflows.bootstrap_fragments(spark, path, relation(spark, folder), SITES)
+    store = workflows.bootstrap_fragments(spark, path, predicates=SITES)
+    tables = {"relation": store.relation, **store.horizontal, **store.vertical}
+    counts = [
+        table.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def run_sql(spark, folder):
     relation(spark, folder).createOrReplaceTempView("global_relation")
@@ -780,12 +795,13 @@ def named(spark, folder):
 def knn_users(spark, folder):
     """The catalogue and all users with at least five of its items."""
     items = neighbours.catalogue(named(spark, folder))
-    return items, settled(neighbours.user_items(named(spark, folder), items), "user-items")
+    return items, settled(neighbours.user_items(named(spark, folder), items), "user-items", "user_id")
 
 
 def knn_folds(spark, folder):
-    items, held = knn_users(spark, folder)
-    return items, settled(neighbours.holdout_folds(held), "folds")
+    items = neighbours.catalogue(named(spark, folder))
+    held = neighbours.user_items(named(spark, folder), items)
+    return items, settled(neighbours.holdout_folds(held), "folds", "user_id")
 
 
 def knn_scored(spark, folder):
@@ -854,12 +870,12 @@ def knn_k_sweep(spark, folder):
 
 def ncf_users(spark, folder):
     items, held = neural.ncf_interactions(named(spark, folder), users=None)
-    return items, settled(held, "ncf-users")
+    return items, settled(held, "ncf-users", "user_id")
 
 
 def ncf_pairs(spark, folder):
     items, held = ncf_users(spark, folder)
-    return settled(neural.labelled_pairs(neural.with_user_index(held), items.count()), "pairs")
+    return settled(neural.labelled_pairs(neural.with_user_index(held), items.count()), "pairs", "user_id")
 
 
 def ncf_scored(spark, folder):
@@ -894,7 +910,8 @@ def negative_samples(spark, folder):
 @query
 def stratified_split(spark, folder):
     items, held = ncf_users(spark, folder)
-    train, test = neural.stratified_split(neural.labelled_pairs(held, items.count()))
+    pairs = settled(neural.labelled_pairs(held, items.count()), "pairs", "user_id")
+    train, test = neural.stratified_split(pairs)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 

@@ -97,12 +97,16 @@ def _local_folder() -> str:
     return root
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
+def settled(df: DataFrame, label: str, spread_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Ends its lineage: what follows reads the stored table, however often it
-    is used and whichever executors are lost.
+    is used and whichever executors are lost. ``spread_by`` names a column with
+    many values; the table is then stored in three parts per core, for work
+    that is heavy per row.
     """
+    if spread_by is not None:
+        df = df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism, spread_by)
     path = new_shared_folder(df.sparkSession, label)
     save_parquet(df, path)
     return load_parquet(df.sparkSession, path)
