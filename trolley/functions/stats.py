@@ -10,22 +10,17 @@ from pyspark.sql import functions as F
 def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], width: float = 1024.0) -> DataFrame:
     """One row with, per name in ``shares``, the smallest value that covers the share.
 
-    Values are counted first, so the data is shuffled as (value, count) pairs.
-    The running count goes over ranges of ``width`` and then over the values of
-    the few ranges that hold an answer, so no task sees all distinct values.
-    Nulls are ignored; an empty column gives null.
+    Rows are first counted per range of ``width``. Only the few ranges that hold
+    an answer are then counted per value. Both counts combine within each task
+    before anything is shuffled. Nulls are ignored; an empty column gives null.
     """
-    counted = (
-        df.select(F.col(column).alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .groupBy("_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_range", F.floor(F.col("_v") / F.lit(width)))
-    )
+    values = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
+    values = values.withColumn("_range", F.floor(F.col("_v") / F.lit(width)))
+    # One row per range; choose the width so that these are few.
     ordered = W.orderBy("_range")
     ranges = (
-        counted.groupBy("_range")
-        .agg(F.sum("_n").alias("_range_n"))
+        values.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_range_n"))
         .withColumn("_upto", F.sum("_range_n").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
         .withColumn("_total", F.sum("_range_n").over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
     )
@@ -33,10 +28,15 @@ def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], width:
     holds_answer = F.lit(False)
     for target in targets.values():
         holds_answer = holds_answer | ((F.col("_upto") >= target) & (F.col("_upto") - F.col("_range_n") < target))
-    inside = W.partitionBy("_range").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     # At most one range per share is left.
-    placed = counted.join(F.broadcast(ranges.filter(holds_answer)), "_range").withColumn(
-        "_rank", F.col("_upto") - F.col("_range_n") + F.sum("_n").over(inside)
+    chosen = ranges.filter(holds_answer)
+    inside = W.partitionBy("_range").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    placed = (
+        values.join(F.broadcast(chosen.select("_range")), "_range", "left_semi")
+        .groupBy("_range", "_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .join(F.broadcast(chosen), "_range")
+        .withColumn("_rank", F.col("_upto") - F.col("_range_n") + F.sum("_n").over(inside))
     )
     return placed.agg(*[F.min(F.when(F.col("_rank") >= t, F.col("_v"))).alias(n) for n, t in targets.items()])
 
