@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trolley.functions.skew import number_rows
 from trolley.functions.stats import ratio
@@ -115,10 +116,12 @@ def check_disjointness(fragments: Fragments) -> DataFrame:
     differ.
     """
     columns = [f"`{c}`" for c in next(iter(fragments.values())).columns]
+    # Sites are numbered here: text would rule out hash aggregation.
+    numbered = [fragment.withColumn("_site", F.lit(n)) for n, fragment in enumerate(fragments.values())]
     return (
-        _labelled(fragments)
+        reduce(DataFrame.unionByName, numbered)
         .groupBy(*columns)
-        .agg(F.min("site").alias("_first_site"), F.max("site").alias("_last_site"))
+        .agg(F.min("_site").alias("_first_site"), F.max("_site").alias("_last_site"))
         .agg(F.count(F.when(F.col("_first_site") != F.col("_last_site"), 1)).alias("shared_values"))
         .withColumn("status", _verdict(F.col("shared_values") == 0))
     )
@@ -285,19 +288,21 @@ def _smallest_cover(fragments: Fragments, needed: list[str]) -> list[DataFrame]:
 
 def _columns_of(condition: Column, fragments: Fragments) -> list[str]:
     """The columns a condition needs: those without which it cannot be resolved."""
-    types = {f.name: f for fragment in fragments.values() for f in fragment.schema.fields}
+    fields = {f.name: f for fragment in fragments.values() for f in fragment.schema.fields}
     session = next(iter(fragments.values())).sparkSession
-    blank = session.range(0).select(*[F.lit(None).cast(f.dataType).alias(n) for n, f in types.items()])
-    blank.filter(condition)  # a column of no fragment fails here
+
+    def blank(without: str | None = None) -> DataFrame:
+        return session.createDataFrame([], T.StructType([f for n, f in fields.items() if n != without]))
 
     def resolves(without: str) -> bool:
         try:
-            blank.drop(without).filter(condition).schema
+            blank(without).filter(condition).schema
         except AnalysisException:
             return False
         return True
 
-    return [name for name in types if not resolves(name)]
+    blank().filter(condition).schema  # a column of no fragment fails here
+    return [name for name in fields if not resolves(name)]
 
 
 def _labelled(fragments: Fragments) -> DataFrame:
