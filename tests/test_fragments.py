@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trolley.operators import fragments
 from trolley.plans import catalog, workflows
-from trolley.registry.queries import SITES, relation
+from trolley.registry.queries import SITES, relation, vertical
 from trolley.sources import storage
 from trolley.sources.order_lines import COLUMNS
 
@@ -137,3 +137,16 @@ def test_workflows_over_stored_fragments(spark, tmp_path):
     for check in ("completeness", "disjointness", "column_coverage", "lossless_key"):
         assert {r["status"] for r in parts[check].collect()} == {"PASS"}
     assert bag(parts["rebuilt_from_columns"]) == bag(store.relation)
+
+
+def test_joining_stored_vertical_fragments_moves_no_rows(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        pieces = vertical(spark, FOLDER)
+        joined = fragments.distributed_query_vertical(pieces, ["order_dow", "product_name"], "order_hour_of_day < 10")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert bag(joined) == bag(relation(spark, FOLDER).filter("order_hour_of_day < 10"), "order_dow", "product_name")

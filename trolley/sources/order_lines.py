@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.functions.skew import HEAVY_ROWS, spread_lookup, visits_in_order
+from trolley.sources.storage import settled
 
 COLUMNS = [
     "order_id",
@@ -49,7 +50,8 @@ def order_lines(
     """Build the given columns of the relation (default: all twelve).
 
     The other tables are joined one row per key from the left, so leaving out a
-    join whose columns are not asked for changes no row.
+    join whose columns are not asked for changes no row. With ``reordered``,
+    the numbered orders are stored on the way.
     """
     wanted = columns or COLUMNS
     unknown = set(wanted) - set(COLUMNS) - set(EXTRA_COLUMNS)
@@ -67,7 +69,11 @@ def order_lines(
         F.pmod(F.col("l_orderkey"), F.lit(24)).cast("int").alias("order_hour_of_day"),
     )
     if needed & _FROM_ORDER:
-        lines = lines.join(_order_facts(orders, needed, heavy_rows), "order_id", "left")
+        facts = _order_facts(orders, needed, heavy_rows)
+        if "reordered" in needed:
+            # Used for the lines and for the first purchases: number the orders once.
+            facts = settled(facts, "order-facts")
+        lines = lines.join(facts, "order_id", "left")
     if needed & _FROM_PART:
         lines = lines.join(_part_facts(part), "product_id", "left")
     if "reordered" in needed:

@@ -3,8 +3,8 @@
 Building the relation takes joins and windows over whole tables. Queries that
 all start from it read a stored copy instead, of which Spark then scans only
 the columns they use. Copies lie in the shared folder, so they outlive lost
-executors. A copy serves one Spark application and is built again if the
-tables change.
+executors. A copy serves one Spark session and is built again if the tables
+change.
 """
 
 from __future__ import annotations
@@ -13,36 +13,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.operators.fragments import add_row_id
+from trolley.operators.fragments import ROW_ID, add_row_id
 from trolley.sources.order_lines import COLUMNS, EXTRA_COLUMNS, load_order_lines
-from trolley.sources.storage import load_parquet, new_shared_folder, save_parquet
+from trolley.sources.storage import new_shared_folder, save_bucketed, settled
 
 TABLES = ("lineitem", "orders", "part")
 
-_stored: dict[tuple, str] = {}
+_stored: dict[tuple, DataFrame] = {}
 
 
 def stored_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The relation with the order date."""
     return _stored_once(
-        spark, folder, "lines", lambda: load_order_lines(spark, folder, *COLUMNS, *EXTRA_COLUMNS)
+        spark, folder, "lines", lambda: settled(load_order_lines(spark, folder, *COLUMNS, *EXTRA_COLUMNS), "lines")
     )
 
 
 def stored_keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The relation with its row key, from which vertical fragments are cut."""
-    return _stored_once(
-        spark, folder, "keyed-lines", lambda: add_row_id(stored_lines(spark, folder).select(*COLUMNS))
-    )
+    """The relation with its row key, from which vertical fragments are cut.
+
+    The table is bucketed by the key, so joining fragments on it moves no rows.
+    """
+
+    def store() -> DataFrame:
+        keyed = add_row_id(stored_lines(spark, folder).select(*COLUMNS))
+        return save_bucketed(keyed, new_shared_folder(spark, "keyed-lines"), ROW_ID)
+
+    return _stored_once(spark, folder, "keyed-lines", store)
 
 
-def _stored_once(spark: SparkSession, folder: str, kind: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, kind, folder, _state_of(spark, folder))
+def _stored_once(spark: SparkSession, folder: str, kind: str, store: Callable[[], DataFrame]) -> DataFrame:
+    # The stored DataFrame keeps its session, so the id cannot be given to another one.
+    key = (spark.sparkContext.applicationId, id(spark), kind, folder, _state_of(spark, folder))
     if key not in _stored:
-        path = new_shared_folder(spark, kind)
-        save_parquet(build(), path)
-        _stored[key] = path
-    return load_parquet(spark, _stored[key])
+        _stored[key] = store()
+    return _stored[key]
 
 
 def _state_of(spark: SparkSession, folder: str) -> tuple:

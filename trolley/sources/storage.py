@@ -48,6 +48,21 @@ def save_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def save_bucketed(df: DataFrame, path: str, column: str, buckets: int | None = None) -> DataFrame:
+    """Store ``df`` at ``path`` bucketed by ``column``, one file per bucket, and read it as a table.
+
+    Joins and aggregations on the column then need no shuffle. The number of
+    buckets is that of shuffle partitions unless given. The column should have
+    many even values.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, column).write.bucketBy(buckets, column).format("parquet")
+    writer.option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def repartitioned(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """``df`` in a fixed number of partitions; by default left to adaptive execution."""
     return df if partitions is None else df.repartition(partitions)
