@@ -98,9 +98,15 @@ def new_shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that all executors can reach.
 
     It lies in the folder that ``spark.checkpoint.dir`` names. Where that is
-    unset, as in local runs, a temporary folder stands in for it.
+    unset and all tasks run on this machine, a temporary folder stands in for it;
+    on a cluster that would lose rows, so it is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _local_folder()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
