@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import exact_dedup, mixing
+from trolley.llm import bpe, exact_dedup, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,11 @@ def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
@@ -46,3 +51,8 @@ WITH texts AS (
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
 FROM chosen
 """
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encoding_digests(bpe.encode_documents(table(spark, folder, "documents")))
