@@ -71,7 +71,7 @@ def test_appends_and_edits_stay_exact():
 def test_documents(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (99, None), (99, None)]
     docs = spark.createDataFrame([(i, t, "x", b"y") for i, t in rows], "doc_id long, text string, ids string, decoded binary")
-    found = bpe.encoding_digests(bpe.encode_documents(docs)).collect()
+    found = bpe.encode_documents(docs).select("doc_id", *bpe.digests()).collect()
     assert len(found) == len(rows)
     texts = {i: t or "" for i, t in rows}
     for row in found:

@@ -21,7 +21,7 @@ from itertools import takewhile
 import pandas as pd
 import public_tokenizers
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -252,11 +252,10 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = pu
     return encoded.select("doc_id", "ids", decode(F.col("ids")).alias("decoded"))
 
 
-def encoding_digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
-    return encoded.select(
-        "doc_id",
+def digests() -> list[Column]:
+    """n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
+    return [
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, exact_dedup, mixing, toxicity
+from trolley.llm import bpe, exact_dedup, jaccard_join, mixing, top_k, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = top_k.whole_components(table(spark, folder, "embeddings"))
+    return top_k.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+ORACLES["op5_top_k"] = """
+WITH vectors AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"))
+
+
 @query
 def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
@@ -55,4 +84,4 @@ FROM chosen
 
 @query
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.encoding_digests(bpe.encode_documents(table(spark, folder, "documents")))
+    return bpe.encode_documents(table(spark, folder, "documents")).select("doc_id", *bpe.digests())
