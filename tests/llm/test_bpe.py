@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -36,8 +37,12 @@ def random_text(rng, length):
 def test_encoder_agrees_with_the_library():
     rng = random.Random(5)
     encode = bpe.encoder(RANKS, public_tokenizers.PATTERN)
-    for text in TEXTS + [random_text(rng, rng.randrange(200)) for _ in range(600)]:
-        assert encode(text) == LIBRARY.encode_ordinary(text), text
+    texts = TEXTS + [random_text(rng, rng.randrange(200)) for _ in range(600)]
+    decode = bpe.decoder(RANKS)
+    for text, ids in zip(texts, encode(texts), strict=True):
+        ids = np.frombuffer(ids, dtype=np.int32).tolist()
+        assert ids == LIBRARY.encode_ordinary(text), text
+        assert decode(ids) == text.encode()
 
 
 def test_every_prefix_has_its_encoding():

@@ -1,9 +1,9 @@
 """Byte-level BPE by dynamic programming over prefixes.
 
 For every prefix of a byte string there is exactly one token that can end its
-BPE encoding. It is the longest token ending there that BPE would leave next to
-the last token of the prefix before it; two neighbours are left alone if
-encoding their joined bytes gives these two tokens again. Storing the last token
+BPE encoding: the one that BPE would leave next to the last token of the prefix
+before it. Two neighbours are left alone if encoding their joined bytes gives
+these two tokens again. Storing the last token
 of every prefix gives the encoding of all of them, so appending bytes goes on
 from the table, and after an edit only the table behind the edit is made again.
 
@@ -14,12 +14,15 @@ separately.
 from __future__ import annotations
 
 import base64
+import hashlib
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import takewhile
 
-import pandas as pd
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +31,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pieces whose encodings a task remembers, and the longest that it remembers.
 REMEMBERED = 400_000
 REMEMBERED_LENGTH = 64
+# Bytes of text that a task encodes at a time.
+PART_BYTES = 4 << 20
 # How many pieces before the end of a text may change when text is appended: a
 # contraction or the white space before a word can take in at most this many.
 UNSETTLED = 3
@@ -48,13 +53,8 @@ class Vocabulary:
             raise ValueError(f"no token for the single bytes {missing[:5]}")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # Lengths of the tokens that end with each byte, the longest first.
-        lengths: list[set[int]] = [set() for _ in range(256)]
-        for token in ranks:
-            lengths[token[-1]].add(len(token))
-        self.lengths = [sorted(found, reverse=True) for found in lengths]
         self.parts: dict[bytes, tuple[bytes, bytes]] = {}
-        self.neighbours = lru_cache(maxsize=1 << 18)(self._neighbours)
+        self.neighbours = _Neighbours(self)
 
     def split(self, token: bytes) -> tuple[bytes, bytes]:
         """The two tokens whose merge makes ``token``, which has two bytes or more."""
@@ -71,7 +71,7 @@ class Vocabulary:
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return parts[0], parts[1]
 
-    def _neighbours(self, left: bytes, right: bytes) -> bool:
+    def may_be_neighbours(self, left: bytes, right: bytes) -> bool:
         """Whether BPE leaves ``left`` and ``right`` apart.
 
         Undo the later of the merges inside the two tokens, step by step: if at
@@ -95,6 +95,20 @@ class Vocabulary:
                 limit, right = right_rank + 1, self.split(right)[0]
 
 
+class _Neighbours(dict):
+    """Pairs of tokens and whether BPE leaves them apart, found out once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, pair: tuple[bytes, bytes]) -> bool:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        apart = self[pair] = self.vocabulary.may_be_neighbours(*pair)
+        return apart
+
+
 class PrefixTable:
     """The last token of the encoding of every prefix of some bytes."""
 
@@ -105,17 +119,17 @@ class PrefixTable:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        ranks, lengths, neighbours = self.vocabulary.ranks, self.vocabulary.lengths, self.vocabulary.neighbours
+        ranks, neighbours = self.vocabulary.ranks, self.vocabulary.neighbours
         data = self.data = self.data + more
         last = self.last
         for end in range(len(last) + 1, len(data) + 1):
-            for length in lengths[data[end - 1]]:
-                if length > end:
-                    continue
-                token = data[end - length : end]
-                if token in ranks and (length == end or neighbours(last[end - length - 1], token)):
-                    last.append(token)
-                    break
+            # Exactly one of the tokens that end here fits; the shortest are tried first.
+            start = end - 1
+            token = data[start:end]
+            while token not in ranks or (start and not neighbours[last[start - 1], token]):
+                start -= 1
+                token = data[start:end]
+            last.append(token)
 
     def truncate(self, length: int) -> None:
         self.data = self.data[:length]
@@ -132,6 +146,14 @@ class PrefixTable:
         return ids[::-1]
 
 
+def _in_common(a: bytes, b: bytes) -> int:
+    """How many bytes at the start are the same."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return next(i for i in range(n) if a[i] != b[i])
+
+
 class EncodedText:
     """A text and its encoding, which stays exact while the text is appended to and edited."""
 
@@ -165,75 +187,60 @@ class EncodedText:
                 break
             data = match.group().encode("utf-8", "surrogatepass")
             table = tables.get(at) or PrefixTable(self.vocabulary)
-            same = 0
-            for a, b in zip(table.data, data):
-                if a != b:
-                    break
-                same += 1
-            table.truncate(same)
-            table.append(data[same:])
+            table.truncate(_in_common(table.data, data))
+            table.append(data[len(table.data) :])
             pieces.append((at, table, table.encoding()))
         self.pieces = pieces
 
 
-def _remembered() -> dict[str, list[int]]:
-    """Encodings of pieces, kept as long as the Python worker lives."""
+def _remembered() -> dict[str, dict[str, bytes]]:
+    """Encodings of pieces by tokenizer, kept as long as the Python worker lives."""
     import sys
 
     return vars(sys).setdefault("_encoded_pieces", {})
 
 
-def encoder(ranks: dict[bytes, int], pattern: str):
-    """A function that encodes texts; frequent pieces are encoded once."""
+def encoder(ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
+    """A function that encodes a list of texts; ids are 32-bit numbers in native order, as bytes.
+
+    Frequent pieces are encoded once. New pieces are encoded in sorted order with
+    one table, which goes on from the prefix that a piece has in common with the last.
+    """
     vocabulary, find = Vocabulary(ranks), regex.compile(pattern).findall
+    digest = hashlib.sha256(pattern.encode() + b"".join(b"%d %s\n" % (r, t.hex().encode()) for t, r in ranks.items()))
     remembered = _remembered()
-    settings = (len(ranks), pattern, hash(frozenset(list(ranks.items())[:: max(1, len(ranks) // 1000)])))
-    if remembered.get("", [settings])[0] != settings:
-        remembered.clear()
-    remembered[""] = [settings]
-
-    class Pieces(dict):
-        def __missing__(self, piece: str) -> list[int]:
-            data = piece.encode("utf-8", "surrogatepass")
-            ids = [ranks[data]] if data in ranks else PrefixTable(vocabulary, data).encoding()
-            if len(piece) <= REMEMBERED_LENGTH:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                self[piece] = ids
-            return ids
-
-    pieces = remembered.setdefault("pieces", Pieces())
-
-    def encode(text: str) -> list[int]:
-        return [i for piece in find(text) for i in pieces[piece]]
-
-    return encode
-
+    known = remembered.setdefault(digest.hexdigest(), {})
 
-def encode_column(spark, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-    """The column function from texts to ids; a null text counts as empty. The vocabulary is broadcast."""
-    shared = spark.sparkContext.broadcast(ranks)
-
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoded = encoder(shared.value, pattern)
-        for texts in batches:
-            yield pd.Series([encoded(text or "") for text in texts], dtype=object)
+    def learn(pieces: set[str]) -> None:
+        table = PrefixTable(vocabulary)
+        for data, piece in sorted((piece.encode("utf-8", "surrogatepass"), piece) for piece in pieces):
+            if data in ranks:
+                ids = [ranks[data]]
+            else:
+                table.truncate(_in_common(table.data, data))
+                table.append(data[len(table.data) :])
+                ids = table.encoding()
+            known[piece] = array("i", ids).tobytes()
+
+    def encode(texts: list[str]) -> list[bytes]:
+        found = [find(text) for text in texts]
+        pieces = set().union(*found)
+        if len(known) > REMEMBERED:
+            known.clear()
+        learn(pieces - known.keys())
+        encoded = [b"".join(map(known.__getitem__, cut)) for cut in found]
+        for piece in pieces:
+            if len(piece) > REMEMBERED_LENGTH:
+                del known[piece]
+        return encoded
 
     return encode
 
 
-def decode_column(spark, ranks: dict[bytes, int]):
-    """The column function from ids to bytes."""
-    shared = spark.sparkContext.broadcast(ranks)
-
-    @F.pandas_udf("binary")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = {rank: token for token, rank in shared.value.items()}.__getitem__
-        for lists in batches:
-            yield pd.Series([b"".join(map(tokens, ids)) for ids in lists], dtype=object)
-
-    return decode
+def decoder(ranks: dict[bytes, int]):
+    """A function from ids to the bytes that they stand for."""
+    tokens = {rank: token for token, rank in ranks.items()}.__getitem__
+    return lambda ids: b"".join(map(tokens, ids))
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -243,13 +250,36 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = pu
     (binary, the text in UTF-8). Whole texts are encoded, each match of
     ``pattern`` separately and without special tokens. A null or empty text has
     no ids and decodes to no bytes; an empty table gives no rows. Other columns
-    are ignored. ``path`` is a file of ranks, read by the driver.
+    are ignored. ``path`` is a file of ranks, read by the driver; the vocabulary
+    is broadcast.
     """
-    spark = docs.sparkSession
-    ranks = read_ranks(path or public_tokenizers.path(VOCABULARY))
-    encode, decode = encode_column(spark, ranks, pattern), decode_column(spark, ranks)
-    encoded = docs.select(F.col("doc_id").alias("doc_id"), encode(F.col("text")).alias("ids"))
-    return encoded.select("doc_id", "ids", decode(F.col("ids")).alias("decoded"))
+    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path or public_tokenizers.path(VOCABULARY)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decode = encoder(shared.value, pattern), decoder(shared.value)
+        for batch in batches:
+            # Texts differ in length by orders of magnitude: go on in parts of bounded size.
+            for part in _parts(batch, PART_BYTES):
+                encoded = encode([text or "" for text in part.column("text").to_pylist()])
+                ends = np.cumsum([0] + [len(e) // 4 for e in encoded]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(encoded), dtype=np.int32))
+                decoded = pa.array([decode(np.frombuffer(e, dtype=np.int32).tolist()) for e in encoded], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, decoded], ["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, ids array<int>, decoded binary")
+
+
+def _parts(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``size`` bytes of text, of one row at least."""
+    start, held = 0, 0
+    for row, length in enumerate(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()):
+        if held and held + length > size:
+            yield batch.slice(start, row - start)
+            start, held = row, 0
+        held += length
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
 
 def digests() -> list[Column]:
