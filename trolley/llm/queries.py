@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trolley.llm import bpe, exact_dedup, jaccard_join, mixing, top_k, toxicity, warc
+from trolley.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +43,11 @@ FROM firsts
 """
 
 
+@query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(table(spark, folder, "documents"))
+
+
 @query
 def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = top_k.whole_components(table(spark, folder, "embeddings"))

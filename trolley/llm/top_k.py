@@ -5,7 +5,9 @@ dimension, sorted by that component. A query reads the lists from the end that
 adds most to its score, all to the same depth, and scores every row that it
 meets; the best score that a row not yet met can have is the score of the values
 at this depth. When that bound is below the k-th score so far, the shard is
-done. The best rows of all shards give the result.
+done; it is also done once most rows have been met and the rest are scored, as
+happens where many dimensions matter alike. The best rows of all shards give the
+result.
 
 Queries and shards meet in cells of bounded size; no cell holds all queries or
 all candidates.
@@ -50,16 +52,21 @@ class SortedLists:
             return self._best(rows, np.zeros(len(rows), dtype=query.dtype), k) + (n,)
         while depth < n:
             end = min(n, depth + step)
-            down_at, up_at = slice(n - end, n - depth), slice(depth, end)
-            new = np.unique(
-                np.concatenate([self.order[down_at, used[~up]].ravel(), self.order[up_at, used[up]].ravel()])
-            )
-            new = new[~met[new]]
+            listed = np.zeros(n, dtype=bool)
+            listed[self.order[n - end : n - depth, used[~up]]] = True
+            listed[self.order[depth:end, used[up]]] = True
+            if 2 * np.count_nonzero(met | listed) > n:
+                # Scoring the few rows not yet met is cheaper than reading on in all lists.
+                listed[:] = True
+                end = n
+            new = np.flatnonzero(listed & ~met)
             met[new] = True
             new = new[self.ids[new] != query_id]
-            rows, scores = self._best(
-                np.concatenate([rows, new]), np.concatenate([scores, self.vectors[new] @ query]), k
-            )
+            gained = self.vectors[new] @ query
+            if len(rows) == k:
+                better = gained >= scores[-1]
+                new, gained = new[better], gained[better]
+            rows, scores = self._best(np.concatenate([rows, new]), np.concatenate([scores, gained]), k)
             depth, step = end, step * 2
             # The largest score of a row that none of the lists has reached.
             edge = np.where(up, self.ranked[depth - 1, used], self.ranked[n - depth, used])
