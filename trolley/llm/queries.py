@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trolley.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, top_k, toxicity, warc
+from trolley.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, pii, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_data(table(spark, folder, "documents"))
+    counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    digest = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, "spans")
+
+
 @query
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages"))
