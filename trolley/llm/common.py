@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +29,71 @@ def new_names(df: DataFrame, *wanted: str) -> list[str]:
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(divisor)).cast("int")
+
+
+# Bits of a broadcast filter: 8 MB, whatever the number of keys.
+FILTER_BITS = 1 << 26
+
+
+def key_filter(keys: DataFrame, column: str) -> Broadcast:
+    """A Bloom filter of the long ``column``, of fixed size, for all tasks.
+
+    It lets through every key and, by chance, some others, so it only spares rows
+    a shuffle: a join must follow.
+    """
+    bits = keys.select(
+        F.explode(
+            F.array(
+                F.expr(f"cast(pmod(`{column}`, {FILTER_BITS}) as int)"),
+                F.expr(f"cast(pmod(shiftrightunsigned(`{column}`, 32), {FILTER_BITS}) as int)"),
+            )
+        ).alias("bit")
+    )
+    # At most FILTER_BITS / 64 words come to the driver.
+    words = (
+        bits.groupBy(F.expr("bit div 64").alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+        .toPandas()
+    )
+    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    table[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    return keys.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+
+def passing(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys the filter lets through."""
+    passed = np.ones(len(keys), dtype=bool)
+    for code in (keys.view(np.uint64), keys.view(np.uint64) >> np.uint64(32)):
+        bit = code % np.uint64(FILTER_BITS)
+        passed &= (table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+    return passed
+
+
+def passes(shared: Broadcast):
+    """The column function that tells whether the filter lets a long through."""
+
+    @F.pandas_udf("boolean")
+    def passed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for keys in batches:
+            yield pd.Series(passing(shared.value, keys.to_numpy(dtype=np.int64)))
+
+    return passed
+
+
+def passing_items(shared: Broadcast):
+    """The column function that keeps the items of an array of longs that the filter lets through."""
+
+    @F.pandas_udf("array<long>")
+    def passed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for lists in batches:
+            lengths = np.array([len(items) for items in lists], dtype=np.int64)
+            if not lengths.sum():
+                yield pd.Series([[]] * len(lists))
+                continue
+            items = np.concatenate(lists.to_list())
+            kept = passing(shared.value, items)
+            ends = np.cumsum([0, *np.add.reduceat(np.append(kept, False), np.cumsum([0, *lengths[:-1]])) * (lengths > 0)])
+            items = items[kept]
+            yield pd.Series([items[a:b] for a, b in zip(ends[:-1], ends[1:])])
+
+    return passed

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import new_names
+from trolley.llm.common import key_filter, new_names, passes, passing_items
 from trolley.sources.storage import settled
 
 SHINGLE = 5
@@ -253,10 +253,22 @@ def jaccard_join(
         .select(F.col("key").alias("bucket"), "centre"),
         "buckets",
     )
-    spokes = leaves.join(buckets, leaves["key"] == buckets["bucket"]).select(
-        F.col("head").alias("a"), F.col("centre").alias("b")
+    # Most keys are in no such bucket, which a filter tells without a shuffle.
+    hits = signed.filter("head IS NOT NULL").select(
+        "head", F.explode(passing_items(key_filter(buckets, "bucket"))(F.col("keys"))).alias("key")
     )
-    gathered = components(spokes.distinct())
+    # The centres of a set are joined to the least of them, and the set to that one only.
+    centres = settled(
+        hits.join(buckets, hits["key"] == buckets["bucket"])
+        .groupBy("head")
+        .agg(F.collect_set("centre").alias("centres"))
+        .select("head", "centres", F.array_min("centres").alias("least")),
+        "centres",
+    )
+    spokes = centres.select(F.col("head").alias("a"), F.col("least").alias("b")).union(
+        centres.select(F.explode("centres"), "least").distinct()
+    )
+    gathered = components(spokes)
 
     # The sets of candidates, one row per class of equal sets.
     classes = settled(
@@ -342,6 +354,8 @@ def _sets_of(docs: DataFrame, members: DataFrame, trees: int, length: int) -> Da
             yield pd.DataFrame(rows, columns=["component", "digest", "rows", "keys", "shingles"])
 
     texts = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    wanted = key_filter(members.select(F.xxhash64("first_id").alias("id_hash")), "id_hash")
+    texts = texts.filter(passes(wanted)(F.xxhash64("doc_id")))
     chosen = texts.join(members, texts["doc_id"].eqNullSafe(members["first_id"])).select(
         "text", "digest", "component", "rows"
     )

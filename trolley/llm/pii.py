@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.llm.common import key_filter, passing
 from trolley.sources.storage import settled
 
 KINDS = ("email", "ip", "card", "phone")
@@ -29,8 +30,6 @@ MIN_SEEDS = 5
 MIN_INDICATION = 0.5
 ACCEPT = 0.6
 ROUNDS = 3
-# Size of the filter of pattern hashes that is broadcast, whatever the corpus.
-FILTER_BITS = 1 << 26
 
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -141,49 +140,22 @@ def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=names)
 
 
-def _slots(patterns: np.ndarray) -> np.ndarray:
-    """The two bits of each pattern in the filter."""
-    mixed = patterns.view(np.uint64)
-    return np.stack([mixed % np.uint64(FILTER_BITS), (mixed >> np.uint64(32)) % np.uint64(FILTER_BITS)]).astype(np.int64)
-
-
 def _context_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """How often each of ``patterns`` stands before any word of the corpus.
 
     A filter of fixed size picks the contexts to count; those it lets through
     by chance fall away in the join that follows.
     """
-    bits = patterns.select(
-        F.explode(
-            F.array(
-                F.expr(f"cast(pmod(cast(pattern as decimal(20)), {FILTER_BITS}) as int)"),
-                F.expr(f"cast(pmod(shiftrightunsigned(pattern, 32), {FILTER_BITS}) as int)"),
-            )
-        ).alias("bit")
-    )
-    # At most FILTER_BITS / 64 words come to the driver.
-    words = (
-        bits.groupBy(F.expr("bit div 64").alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
-        .collect()
-    )
-    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for word, value in words:
-        table[word] = value
-    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+    shared = key_filter(patterns, "pattern")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
         for frame in frames:
             counts: Counter[int] = Counter()
             for text in frame["text"]:
                 words = ["", *(text or "").split()]
                 patterns = [p for i in range(1, len(words) - 1) for p in (_pattern(words[i]), _pattern(words[i - 1], words[i]))]
-                if patterns:
-                    codes = np.array(patterns, dtype=np.int64)
-                    slots = _slots(codes)
-                    hit = (table[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1)
-                    counts.update(codes[hit.all(axis=0)].tolist())
+                codes = np.array(patterns, dtype=np.int64)
+                counts.update(codes[passing(shared.value, codes)].tolist())
             yield pd.DataFrame({"pattern": list(counts.keys()), "n": list(counts.values())}, dtype="int64")
 
     counted = docs.select(F.col("text").alias("text")).mapInPandas(count, "pattern long, n long")
