@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import bpe, exact_dedup, jaccard_join, language_id, mixing, pii, top_k, toxicity, warc
+from trolley.llm import bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, pii, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,11 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, "spans")
 
 
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, folder, "documents"))
+
+
 @query
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages"))
