@@ -169,7 +169,9 @@ class Scanner:
         return sorted(kept, key=lambda f: f.start)
 
 
-@F.pandas_udf("licenses array<string>, starts array<int>, ends array<int>, reductions array<double>, differences array<string>")
+SCAN = "licenses array<string>, starts array<int>, ends array<int>, reductions array<double>, differences array<string>"
+
+
 def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     scanner = Scanner()
     for texts in batches:
@@ -197,7 +199,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
     null or empty text has none; rows that repeat give rows that repeat; an empty
     table gives no rows. Other columns are ignored.
     """
-    found = docs.select(F.col("doc_id").alias("doc_id"), _scan(F.col("text")).alias("s"))
+    scan = F.pandas_udf(_scan, SCAN)
+    found = docs.select(F.col("doc_id").alias("doc_id"), scan(F.col("text")).alias("s"))
     zipped = F.arrays_zip("s.licenses", "s.starts", "s.ends", "s.reductions", "s.differences")
     return found.select("doc_id", F.explode(zipped).alias("f")).select(
         "doc_id",

@@ -119,7 +119,6 @@ SCAN = (
 )
 
 
-@F.pandas_udf(SCAN)
 def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         rows = []
@@ -233,7 +232,10 @@ def personal_data(docs: DataFrame, min_seeds: int = MIN_SEEDS, rounds: int = ROU
     spans; an empty table gives no rows. Other columns are ignored. The whole
     text and all documents count.
     """
-    scanned = settled(docs.select(F.col("doc_id").alias("doc_id"), _scan(F.col("text")).alias("s")).select("doc_id", "s.*"), "pii-scan")
+    scan = F.pandas_udf(_scan, SCAN)
+    scanned = settled(
+        docs.select(F.col("doc_id").alias("doc_id"), scan(F.col("text")).alias("s")).select("doc_id", "s.*"), "pii-scan"
+    )
     found = (
         scanned.filter("text_key <> ''")
         .select("text_key", F.explode(F.arrays_zip("starts", "ends", "ones", "twos", "instances", "seeds")).alias("o"))
