@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import key_filter, new_names, passes, passing_items
+from trolley.llm.common import key_filter, mixed, new_names, passes, passing_items
 from trolley.sources.storage import settled
 
 SHINGLE = 5
@@ -42,13 +42,6 @@ def prefix_length(threshold: float, trees: int, depth: int, target: float) -> in
     raise ValueError("the target recall needs more trees")
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective mix of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class _WordHashes(dict):
     """64-bit hashes of words, remembered for one batch."""
 
@@ -68,8 +61,8 @@ def shingle_set(text: str | None, hashes: dict[str, int] | None = None) -> np.nd
     width = min(SHINGLE, len(words))
     grams = np.full(len(words) - width + 1, width, dtype=np.uint64)
     for k in range(width):
-        grams = _mixed(grams) + codes[k : k + len(grams)]
-    return np.unique(_mixed(grams))
+        grams = mixed(grams) + codes[k : k + len(grams)]
+    return np.unique(mixed(grams))
 
 
 _TO_SPACE = {ord(c): " " for c in SPACES}
@@ -97,8 +90,8 @@ def prefix_keys(shingles: np.ndarray, functions, trees: int, length: int) -> np.
         np.minimum(least, ((low[start : start + 2048] ^ flips) * factors).min(axis=1), out=least)
     keys = np.arange(1, trees + 1, dtype=np.uint64)
     for level in least.reshape(trees, length).T:
-        keys = _mixed(keys) + level.astype(np.uint64)
-    return _mixed(keys).view(np.int64)
+        keys = mixed(keys) + level.astype(np.uint64)
+    return mixed(keys).view(np.int64)
 
 
 def _signatures(trees: int, length: int):

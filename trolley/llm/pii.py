@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import key_filter, passing
+from trolley.llm.common import key_filter, mixed, passing
 from trolley.sources.storage import settled
 
 KINDS = ("email", "ip", "card", "phone")
@@ -80,13 +80,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def _pattern(*words: str) -> int:
-    """A hash of the words before an instance; case and digits do not count."""
-    text = " ".join(words).lower().translate(TO_ZERO)
-    return xxhash.xxh64_intdigest(f"{len(words)} {text}".encode("utf-8", "surrogatepass")) - (1 << 63)
+class _WordCodes(dict):
+    """64-bit hashes of words, remembered for one batch; case and digits do not count."""
 
+    def __missing__(self, word: str) -> int:
+        plain = word.lower().translate(TO_ZERO)
+        code = self[word] = xxhash.xxh64_intdigest(plain.encode("utf-8", "surrogatepass"))
+        return code
 
-def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, bool]]:
+
+def patterns_of(words: list[str], codes: _WordCodes) -> tuple[np.ndarray, np.ndarray]:
+    """The patterns that stand before the word after each of ``words``: one of this word, one of it and the last."""
+    own = np.fromiter(map(codes.__getitem__, words), dtype=np.uint64, count=len(words))
+    before = np.append(np.uint64(codes[""]), own[:-1])
+    return mixed(own).view(np.int64), mixed(mixed(before) + own).view(np.int64)
+
+
+def occurrences(
+    text: str, spans: list[tuple[int, int, int]], codes: _WordCodes
+) -> list[tuple[int, int, int, int, int, bool]]:
     """(start, end, pattern of one word, pattern of two, instance, is a seed) of words with a digit or @.
 
     The word itself goes without the marks around it. A seed counts where it starts.
@@ -94,6 +106,7 @@ def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     if not MARK.search(text):
         return []
     found, words, at, next_span = [], text.split(), 0, 0
+    ones, twos = patterns_of(words, codes)
     for i, word in enumerate(words):
         at = text.index(word, at)
         if MARK.search(word):
@@ -107,8 +120,7 @@ def occurrences(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
             if inner and i > 0 and not inside:
                 identifier = inner if span is None else text[span[0] : span[2]]
                 instance = xxhash.xxh64_intdigest(identifier.encode("utf-8", "surrogatepass")) - (1 << 63)
-                two = _pattern(words[i - 2], words[i - 1]) if i > 1 else _pattern("", words[i - 1])
-                found.append((start, end, _pattern(words[i - 1]), two, instance, span is not None))
+                found.append((start, end, int(ones[i - 1]), int(twos[i - 1]), instance, span is not None))
         at += len(word)
     return found
 
@@ -121,12 +133,12 @@ SCAN = (
 
 def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
-        rows = []
+        rows, codes = [], _WordCodes()
         for text in texts:
             text = text or ""
             spans = base_spans(text)
             kinds = Counter(kind for _, kind, _ in spans)
-            found = occurrences(text, spans)
+            found = occurrences(text, spans, codes)
             rows.append(
                 (
                     [kinds[k] for k in range(len(KINDS))],
@@ -150,11 +162,12 @@ def _context_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             counts: Counter[int] = Counter()
+            codes = _WordCodes()
             for text in frame["text"]:
-                words = ["", *(text or "").split()]
-                patterns = [p for i in range(1, len(words) - 1) for p in (_pattern(words[i]), _pattern(words[i - 1], words[i]))]
-                codes = np.array(patterns, dtype=np.int64)
-                counts.update(codes[passing(shared.value, codes)].tolist())
+                words = (text or "").split()
+                if len(words) > 1:
+                    found = np.concatenate(patterns_of(words[:-1], codes))
+                    counts.update(found[passing(shared.value, found)].tolist())
             yield pd.DataFrame({"pattern": list(counts.keys()), "n": list(counts.values())}, dtype="int64")
 
     counted = docs.select(F.col("text").alias("text")).mapInPandas(count, "pattern long, n long")
