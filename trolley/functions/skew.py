@@ -6,16 +6,24 @@ the table. The helpers here never put such a group into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trolley.functions.hashing import row_text
+from trolley.sources.storage import settled
 
 # A key with more rows than this is handled apart from the others. A table of
-# n rows has fewer than n / HEAVY_ROWS such keys, so a list of them is small
-# enough to broadcast (a trillion rows give at most a million keys).
+# n rows has fewer than n / HEAVY_ROWS such keys.
 HEAVY_ROWS = 1_000_000
+# Lists up to this length are broadcast; longer ones are joined like any table.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored, and marked for broadcast if it has no more than ``BROADCAST_ROWS`` rows."""
+    stored = settled(df, label)
+    return F.broadcast(stored) if stored.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else stored
 
 
 def spread_lookup(
@@ -29,15 +37,15 @@ def spread_lookup(
     """Left join of ``rows`` with one row of ``facts`` per key.
 
     ``size_col`` of ``facts`` tells how many rows carry the key. Keys above
-    ``heavy_rows`` are looked up in a broadcast list, so their rows are not
-    shuffled; the other keys use an ordinary join. Without heavy keys the first
-    branch is dropped at run time.
+    ``heavy_rows`` are looked up in a list of their own, which is broadcast if it
+    is short, so their rows are not shuffled; the other keys use an ordinary join.
+    The facts are stored first, as both ways read them.
     """
-    heavy = facts.filter(F.col(size_col) > heavy_rows).select(*keys, *values)
+    facts = settled(facts, "facts")
+    heavy = small_side(facts.filter(F.col(size_col) > heavy_rows).select(*keys, *values), "heavy-facts")
     light = facts.filter(F.col(size_col) <= heavy_rows).select(*keys, *values)
     columns = [*rows.columns, *values]
-
-    direct = rows.join(F.broadcast(heavy), keys, "inner").select(*columns)
+    some_heavy = not heavy.isEmpty()
 
     # Rows with a null key match nothing; a slice number keeps them from
     # meeting in one partition.
@@ -45,81 +53,87 @@ def spread_lookup(
     for key in keys:
         complete = complete & F.col(key).isNotNull()
     slice_of = F.when(complete, F.lit(0)).otherwise(F.pmod(F.xxhash64(*rows.columns), F.lit(4096)).cast("int"))
+    ordinary = rows.join(heavy.select(*keys), keys, "left_anti") if some_heavy else rows
     shuffled = (
-        rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
-        .withColumn("_slice", slice_of)
+        ordinary.withColumn("_slice", slice_of)
         .join(light.withColumn("_slice", F.lit(0)), [*keys, "_slice"], "left")
         .select(*columns)
     )
-    return shuffled.unionByName(direct)
+    return shuffled.unionByName(rows.join(heavy, keys, "inner").select(*columns)) if some_heavy else shuffled
 
 
 def number_rows(
     rows: DataFrame,
     id_col: str = "_row_id",
-    bucket_digits: int = 4,
+    bucket_digits: int | None = None,
     copies_per_task: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Add a dense long id (0, 1, 2, ...) that depends only on the row values.
 
     Rows are numbered in the order of the MD5 of all their columns. Equal rows
     are first counted, then placed by running sums inside ``16 ** bucket_digits``
-    even buckets, then written out again with consecutive ids. Neither a heavy
-    key nor a heavy group of equal rows ends up in one task. Store the result
-    if several queries use it.
+    even buckets (by default so many that each holds up to a million rows), then
+    written out again with consecutive ids. Neither a heavy key nor a heavy group
+    of equal rows ends up in one task. Store the result if several queries use it.
     """
     columns = rows.columns
     quoted = [f"`{c}`" for c in columns]
-    counted = (
-        rows.groupBy(*quoted)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_digest", F.md5(row_text(columns)))
-        .withColumn("_bucket", F.substring("_digest", 1, bucket_digits))
+    counted = settled(
+        rows.groupBy(*quoted).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_digest", F.md5(row_text(columns))),
+        "counted-rows",
     )
+    if bucket_digits is None:
+        bucket_digits = max(1, -(-max(counted.count() // HEAVY_ROWS, 1).bit_length() // 4))
+    counted = counted.withColumn("_bucket", F.substring("_digest", 1, bucket_digits))
 
-    # One row per bucket, so this window sees at most 16 ** bucket_digits rows.
+    # One row per bucket, so this window sees rows / a million of them.
     earlier_buckets = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    bucket_starts = (
+    bucket_starts = small_side(
         counted.groupBy("_bucket")
         .agg(F.sum("_copies").alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(earlier_buckets), F.lit(0)).alias("_bucket_start"))
+        .select("_bucket", F.coalesce(F.sum("_size").over(earlier_buckets), F.lit(0)).alias("_bucket_start")),
+        "bucket-starts",
     )
     earlier_rows = W.partitionBy("_bucket").orderBy("_digest", *quoted).rowsBetween(W.unboundedPreceding, -1)
-
-    def placed(part: DataFrame) -> DataFrame:
-        inside = F.coalesce(F.sum("_copies").over(earlier_rows), F.lit(0))
-        return (
-            part.withColumn("_inside", inside)
-            .join(F.broadcast(bucket_starts), "_bucket")
-            .withColumn("_first", F.col("_bucket_start") + F.col("_inside"))
-        )
-
-    few = (
-        placed(counted)
-        .filter(F.col("_copies") <= copies_per_task)
-        .withColumn("_offset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    placed = (
+        counted.withColumn("_inside", F.coalesce(F.sum("_copies").over(earlier_rows), F.lit(0)))
+        .join(bucket_starts, "_bucket")
+        .withColumn("_first", F.col("_bucket_start") + F.col("_inside"))
     )
 
-    # Groups of very many copies are cut into pieces that are spread before
-    # they are written out. At most rows / copies_per_task buckets hold one.
+    def finished(part: DataFrame, first: Column, last: Column) -> DataFrame:
+        numbered = part.withColumn("_offset", F.explode(F.sequence(first, last)))
+        return numbered.select((F.col("_first") + F.col("_offset")).alias(id_col), *quoted)
+
+    zero = F.lit(0).cast("long")
     is_large = F.col("_copies") > copies_per_task
-    large_buckets = F.broadcast(counted.filter(is_large).select("_bucket").distinct())
+    if counted.filter(is_large).isEmpty():
+        return finished(placed, zero, F.col("_copies") - 1)
+
+    # Groups of very many copies are cut into pieces that are spread before they
+    # are written out.
+    placed = settled(placed, "placed-rows")
     size = F.lit(copies_per_task).cast("long")
-    last_piece = F.floor((F.col("_copies") - 1) / size).cast("long")
-    piece_start = F.col("_piece") * size
-    piece_end = F.least(piece_start + size, F.col("_copies")) - 1
     many = (
-        placed(counted.join(large_buckets, "_bucket", "left_semi"))
-        .filter(is_large)
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
+        placed.filter(is_large)
+        .withColumn("_piece", F.explode(F.sequence(zero, F.floor((F.col("_copies") - 1) / size).cast("long"))))
         .repartition("_digest", "_piece")
-        .withColumn("_offset", F.explode(F.sequence(piece_start, piece_end)))
+    )
+    piece_start = F.col("_piece") * size
+    return finished(placed.filter(~is_large), zero, F.col("_copies") - 1).unionByName(
+        finished(many, piece_start, F.least(piece_start + size, F.col("_copies")) - 1)
     )
 
-    def finished(part: DataFrame) -> DataFrame:
-        return part.select((F.col("_first") + F.col("_offset")).alias(id_col), *quoted)
 
-    return finished(few).unionByName(finished(many))
+def dense_index(df: DataFrame, column: str) -> DataFrame:
+    """(id, idx): the distinct values of a column and their places 0, 1, 2, ... in order; nulls have none.
+
+    The values are sorted once over all tasks; each task then counts on from
+    where the ones before it end.
+    """
+    kind = dict(df.dtypes)[column]
+    ordered = df.select(F.col(column).alias("id")).filter("id IS NOT NULL").distinct().orderBy("id")
+    return ordered.rdd.map(lambda row: row[0]).zipWithIndex().toDF(f"id {kind}, idx long")
 
 
 def visits_in_order(
@@ -144,8 +158,9 @@ def visits_in_order(
         .withColumn("days_since_previous", F.lit(None).cast("double"))
         .select(*columns)
     )
-    heavy = F.broadcast(
-        known.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > heavy_rows).select(group)
+    heavy = small_side(
+        known.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > heavy_rows).select(group),
+        "heavy-groups",
     )
 
     in_group = W.partitionBy(group).orderBy(day, visit_id)
@@ -156,6 +171,8 @@ def visits_in_order(
         .select(*columns)
     )
 
+    if heavy.isEmpty():
+        return ordinary.unionByName(unknown)
     cut = (
         known.join(heavy, group, "left_semi")
         .withColumn("_day", F.coalesce(F.col(day), F.lit("0001-01-01").cast("date")))

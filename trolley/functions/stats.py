@@ -2,43 +2,64 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], width: float = 1024.0) -> DataFrame:
+RANGES = 1024
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
     """One row with, per name in ``shares``, the smallest value that covers the share.
 
-    Rows are first counted per range of ``width``. Only the few ranges that hold
-    an answer are then counted per value. Both counts combine within each task
-    before anything is shuffled. Nulls are ignored; an empty column gives null.
+    The values between the smallest and the largest are counted in ``RANGES``
+    even ranges; the range that holds an answer is cut into as many again, until
+    its values are all equal. Every round is one aggregation of that many rows
+    per share, so nothing grows with the data. Nulls and NaN are ignored; an empty column
+    gives null. ``df`` is read a few times: store it first if it is costly.
     """
+    kind = dict(df.dtypes)[column]
     values = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
-    values = values.withColumn("_range", F.floor(F.col("_v") / F.lit(width)))
-    # One row per range; choose the width so that these are few.
-    ordered = W.orderBy("_range")
-    ranges = (
-        values.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_range_n"))
-        .withColumn("_upto", F.sum("_range_n").over(ordered.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_total", F.sum("_range_n").over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    if kind in ("double", "float"):
+        values = values.filter(~F.isnan("_v"))
+    whole = values.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")).first()
+    found = dict.fromkeys(shares)
+    # Of each share still open: the ends of its range and how many values lie below.
+    open_ranges = {
+        name: (whole["low"], whole["high"], 0, max(1, math.ceil(share * whole["n"]))) for name, share in shares.items()
+    } if whole["n"] else {}
+    while True:
+        for name in [n for n, (low, high, *_) in open_ranges.items() if low == high]:
+            found[name] = open_ranges.pop(name)[0]
+        if not open_ranges:
+            break
+        counted = reduce(
+            DataFrame.unionByName, [_counted_ranges(values, n, low, high) for n, (low, high, *_) in open_ranges.items()]
+        ).collect()
+        for name, (_, _, below, target) in list(open_ranges.items()):
+            for row in sorted((r for r in counted if r["name"] == name), key=lambda r: r["range"]):
+                if below + row["n"] >= target:
+                    open_ranges[name] = (row["low"], row["high"], below, target)
+                    break
+                below += row["n"]
+    return df.sparkSession.createDataFrame(
+        [tuple(found[n] for n in shares)], ", ".join(f"`{n}` {kind}" for n in shares)
     )
-    targets = {name: F.greatest(F.ceil(F.lit(share) * F.col("_total")), F.lit(1)) for name, share in shares.items()}
-    holds_answer = F.lit(False)
-    for target in targets.values():
-        holds_answer = holds_answer | ((F.col("_upto") >= target) & (F.col("_upto") - F.col("_range_n") < target))
-    # At most one range per share is left.
-    chosen = ranges.filter(holds_answer)
-    inside = W.partitionBy("_range").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    placed = (
-        values.join(F.broadcast(chosen.select("_range")), "_range", "left_semi")
-        .groupBy("_range", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(F.broadcast(chosen), "_range")
-        .withColumn("_rank", F.col("_upto") - F.col("_range_n") + F.sum("_n").over(inside))
+
+
+def _counted_ranges(values: DataFrame, name: str, low, high) -> DataFrame:
+    # Ends are values that occur, so each round leaves fewer of them.
+    at = F.floor((F.col("_v").cast("double") - float(low)) / (float(high) - float(low)) * RANGES)
+    # Two values too close for doubles to tell apart are parted at the middle of their order.
+    place = F.when(F.lit(float(low) == float(high)), F.when(F.col("_v") == F.lit(low), 0).otherwise(1)).otherwise(at)
+    return (
+        values.filter(F.col("_v").between(F.lit(low), F.lit(high)))
+        .groupBy(F.lit(name).alias("name"), place.cast("long").alias("range"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
     )
-    return placed.agg(*[F.min(F.when(F.col("_rank") >= t, F.col("_v"))).alias(n) for n, t in targets.items()])
 
 
 def approx_quantiles(df: DataFrame, column: str, shares: dict[str, float], error: float = 0.01) -> DataFrame:
@@ -53,11 +74,13 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def rounded_ratio(part: Column, whole: Column, digits: int, scale: int = 1) -> Column:
-    """``scale * part / whole`` rounded half up, from whole numbers only.
+    """``scale * part / whole`` rounded half up, from whole or decimal numbers only.
 
-    Rounding a double ratio can go either way at a half; this cannot.
+    Rounding a double ratio can go either way at a half; this cannot. Parts with
+    up to six decimals count exactly; cast a double to a decimal first.
     """
     power = 10**digits
-    doubled = part.cast("long") * F.lit(2 * scale * power).cast("long") + whole.cast("long")
-    steps = F.call_function("div", doubled, F.nullif(whole.cast("long") * 2, F.lit(0)))
-    return steps / F.lit(float(power))
+    exact = part.cast("decimal(28,6)") * F.lit(2 * scale * power * 10**6)
+    doubled = F.round(exact, 0).cast("decimal(38,0)") + whole.cast("decimal(20,0)") * F.lit(10**6)
+    halves = F.nullif(whole.cast("decimal(20,0)") * F.lit(2 * 10**6), F.lit(0).cast("decimal(20,0)"))
+    return F.call_function("div", doubled, halves).cast("double") / F.lit(float(power))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.functions.hashing import row_text
 from trolley.functions.stats import approx_quantiles, exact_quantiles
 
 KEY_COLUMNS = ["order_id", "user_id", "product_id"]
@@ -27,7 +28,7 @@ def null_cause_orders(df: DataFrame) -> DataFrame:
 def impute_median(df: DataFrame, column: str = "days_since_prior_order", exact: bool = True) -> DataFrame:
     """Fill nulls with the median; a column without values stays null."""
     quantiles = exact_quantiles if exact else approx_quantiles
-    median = quantiles(df, column, {"median": 0.5}).scalar()
+    median = F.lit(quantiles(df, column, {"median": 0.5}).first()["median"]).cast(dict(df.dtypes)[column])
     return df.withColumn(column, F.coalesce(F.col(column), median))
 
 
@@ -78,25 +79,20 @@ def iqr_outlier_report(df: DataFrame, column: str = "add_to_cart_order", exact:
 
     The outliers themselves stay in the data.
     """
-    bounds = quartiles(df, column, exact).select(
-        F.struct(F.col("q1").cast("double").alias("q1"), F.col("q3").cast("double").alias("q3"))
-    )
-    limits = F.col("_limits")
-    value = F.col("_value").cast("double")
-    fence = limits["q3"] + F.lit(1.5) * (limits["q3"] - limits["q1"])
-    return (
-        df.select(F.col(column).alias("_value"))
-        .withColumn("_limits", bounds.scalar())
-        .agg(
-            F.max(limits["q1"]).alias("q1"),
-            F.max(limits["q3"]).alias("q3"),
-            F.max(fence).alias("threshold"),
-            F.max(value).alias("max_value"),
-            F.count(F.when(value > fence, 1)).alias("outliers"),
-        )
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .select("q1", "q3", "iqr", "threshold", "max_value", "outliers")
-    )
+    found = quartiles(df, column, exact).first()
+    q1, q3 = (F.lit(found[q]).cast("double") for q in ("q1", "q3"))
+    value = F.col(column).cast("double")
+    fence = q3 + F.lit(1.5) * (q3 - q1)
+    return df.agg(
+        F.max(value).alias("max_value"),
+        F.count(F.when(value > fence, 1)).alias("outliers"),
+    ).select(q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"), fence.alias("threshold"), "max_value", "outliers")
+
+
+def relation_sample(df: DataFrame, rows: int = 10) -> DataFrame:
+    """A few rows to look at: those with the smallest digests of all their values."""
+    columns = [f"`{c}`" for c in df.columns]
+    return df.orderBy(F.md5(row_text(df.columns)), *columns).limit(rows)
 
 
 def relation_profile(df: DataFrame) -> DataFrame:

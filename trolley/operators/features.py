@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.stats import ratio
+from trolley.sources.storage import settled
 
 RFM_COLUMNS = ["frequency", "recency", "monetary"]
 
@@ -53,30 +54,37 @@ def build_order_features_nb(df: DataFrame) -> DataFrame:
 
 
 def rfm(df: DataFrame) -> DataFrame:
-    """Frequency (orders), recency (mean gap in days) and monetary (items) per user."""
+    """Frequency (orders), recency (mean gap in days) and monetary (items) per user.
+
+    Lines without a user are nobody's and left out.
+    """
     return (
-        df.groupBy("user_id")
+        df.filter(F.col("user_id").isNotNull())
+        .groupBy("user_id")
         .agg(
             F.max("order_number").alias("frequency"),
             _mean_known_gap().alias("recency"),
             F.count("product_id").alias("monetary"),
         )
-        .na.fill(0)
+        .na.fill(0, subset=RFM_COLUMNS)
     )
 
 
 def rfm_zscores(scores: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Add ``<column>_zscore``; all means and deviations come from one aggregate."""
+    """Add ``<column>_zscore``; all means and deviations come from one aggregate.
+
+    ``scores`` is read twice: store it first if it is costly.
+    """
     columns = columns or RFM_COLUMNS
     measures = []
     for c in columns:
         measures += [F.mean(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std")]
-    spread = scores.agg(*measures).select(F.struct("*")).scalar()
-    scored = scores.withColumn("_spread", spread)
+    # One row, so that the scores are one pass over ``scores``.
+    spread = scores.agg(*measures).first()
     for c in columns:
-        distance = F.col(c) - F.col("_spread")[f"{c}_mean"]
-        scored = scored.withColumn(f"{c}_zscore", ratio(distance, F.col("_spread")[f"{c}_std"]))
-    return scored.drop("_spread")
+        distance = F.col(c) - F.lit(spread[f"{c}_mean"]).cast("double")
+        scores = scores.withColumn(f"{c}_zscore", ratio(distance, F.lit(spread[f"{c}_std"]).cast("double")))
+    return scores
 
 
 def rfm_trimmed(scored: DataFrame, limit: float = 3.0, columns: list[str] | None = None) -> DataFrame:
@@ -99,4 +107,4 @@ def rfm_trim_report(scored: DataFrame, limit: float = 3.0) -> DataFrame:
 
 
 def build_rfm(df: DataFrame) -> DataFrame:
-    return rfm_trimmed(rfm_zscores(rfm(df)))
+    return rfm_trimmed(rfm_zscores(settled(rfm(df), "rfm")))

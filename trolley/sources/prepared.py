@@ -12,19 +12,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trolley.operators.fragments import ROW_ID, add_row_id
 from trolley.sources.order_lines import COLUMNS, EXTRA_COLUMNS, load_order_lines
-from trolley.sources.storage import new_shared_folder, save_bucketed, settled
+from trolley.sources.storage import drop_bucketed, files_of, new_shared_folder, save_bucketed, save_horizontal, settled
 
 TABLES = ("lineitem", "orders", "part")
 
-_stored: dict[tuple, DataFrame] = {}
+_stored: dict[tuple, tuple[tuple, DataFrame]] = {}
 
 
 def stored_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The relation with the order date."""
-    return _stored_once(
+    return stored_once(
         spark, folder, "lines", lambda: settled(load_order_lines(spark, folder, *COLUMNS, *EXTRA_COLUMNS), "lines")
     )
 
@@ -36,25 +37,42 @@ def stored_keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """
 
     def store() -> DataFrame:
-        keyed = add_row_id(stored_lines(spark, folder).select(*COLUMNS))
+        keyed = settled(add_row_id(stored_lines(spark, folder).select(*COLUMNS)), "keyed-rows")
         return save_bucketed(keyed, new_shared_folder(spark, "keyed-lines"), ROW_ID)
 
-    return _stored_once(spark, folder, "keyed-lines", store)
+    return stored_once(spark, folder, "keyed-lines", store)
 
 
-def _stored_once(spark: SparkSession, folder: str, kind: str, store: Callable[[], DataFrame]) -> DataFrame:
+def stored_sites(spark: SparkSession, folder: str, sites: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """The relation's horizontal fragments, stored in one table partitioned by site."""
+
+    def store() -> DataFrame:
+        path = new_shared_folder(spark, "sites")
+        save_horizontal(stored_lines(spark, folder).select(*COLUMNS), sites, path)
+        return spark.read.parquet(f"{path}/fragments_horizontal")
+
+    whole = stored_once(spark, folder, f"sites {sorted(sites.items())}", store)
+    return {site: whole.filter(F.col("site") == site).drop("site") for site in sites}
+
+
+def stored_once(spark: SparkSession, folder: str, kind: str, store: Callable[[], DataFrame]) -> DataFrame:
+    """What ``store`` returns, kept for this session until a file of the tables changes."""
     # The stored DataFrame keeps its session, so the id cannot be given to another one.
-    key = (spark.sparkContext.applicationId, id(spark), kind, folder, _state_of(spark, folder))
-    if key not in _stored:
-        _stored[key] = store()
-    return _stored[key]
-
-
-def _state_of(spark: SparkSession, folder: str) -> tuple:
-    """Size and time of change of the tables."""
-    states = []
-    for table in TABLES:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{table}.parquet")
-        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
-        states.append((status.getLen(), status.getModificationTime()))
-    return tuple(states)
+    key = (spark.sparkContext.applicationId, id(spark), kind, folder)
+    state = tuple(file for table in TABLES for file in files_of(spark, f"{folder.rstrip('/')}/{table}.parquet"))
+    if key not in _stored or _stored[key][0] != state:
+        if key in _stored:
+            _drop(spark, _stored.pop(key)[1])
+        _stored[key] = (state, store())
+    return _stored[key][1]
+
+
+def forget(spark: SparkSession) -> None:
+    """Drop all stored copies of this session."""
+    for key in [k for k in _stored if k[:2] == (spark.sparkContext.applicationId, id(spark))]:
+        _drop(spark, _stored.pop(key)[1])
+
+
+def _drop(spark: SparkSession, table: DataFrame) -> None:
+    for file in {name.rsplit("/", 1)[0].split("/fragments_horizontal")[0] for name in table.inputFiles()}:
+        drop_bucketed(spark, file)

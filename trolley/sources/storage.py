@@ -6,9 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ORDER_LINE_SCHEMA = T.StructType(
@@ -48,34 +49,104 @@ def save_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+BUCKET_BYTES = 256 << 20
+PART_BYTES = 128 << 20
+
+
+def parts_for(df: DataFrame, part_bytes: int = PART_BYTES, least: int = 1) -> int:
+    """How many parts of about ``part_bytes`` the inputs of ``df`` fill, at least ``least``.
+
+    Sizes of joins are not estimated: they multiply up to absurd numbers.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(least, min(100_000, size // part_bytes + 1))
+
+
 def save_bucketed(df: DataFrame, path: str, column: str, buckets: int | None = None) -> DataFrame:
-    """Store ``df`` at ``path`` bucketed by ``column``, one file per bucket, and read it as a table.
+    """Store ``df`` at ``path`` in sorted buckets of ``column``, one file each, and read it as a table.
 
-    Joins and aggregations on the column then need no shuffle. The number of
-    buckets is that of shuffle partitions unless given. The column should have
-    many even values.
+    Joins and aggregations on the column then need neither shuffle nor sort. The
+    number of buckets follows the size of ``df``, so that they stay alike however
+    large it is. The column should have many even values. ``drop_bucketed``
+    removes the table from the catalogue.
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or parts_for(df, BUCKET_BYTES, least=spark.sparkContext.defaultParallelism)
     table = f"bucketed_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, column).write.bucketBy(buckets, column).format("parquet")
+    writer = df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column).format("parquet")
     writer.option("path", path).saveAsTable(table)
+    _bucketed[path] = table
     return spark.table(table)
 
 
+_bucketed: dict[str, str] = {}
+
+
+def drop_bucketed(spark: SparkSession, path: str) -> None:
+    """Forget the table stored at ``path`` and delete its files."""
+    table = _bucketed.pop(path, None)
+    if table is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    delete(spark, path)
+
+
 def repartitioned(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """``df`` in a fixed number of partitions; by default left to adaptive execution."""
     return df if partitions is None else df.repartition(partitions)
 
 
+def _root(output_dir: str, frag_type: str) -> str:
+    return f"{output_dir.rstrip('/')}/fragments_{frag_type}"
+
+
 def fragment_path(output_dir: str, frag_type: str, site: str) -> str:
-    return f"{output_dir.rstrip('/')}/fragments_{frag_type}/{site}"
+    """Where one site lies: horizontal sites are partitions of one table, vertical ones tables of their own."""
+    return f"{_root(output_dir, frag_type)}/{'site=' if frag_type == 'horizontal' else ''}{site}"
+
+
+def save_horizontal(df: DataFrame, sites: dict[str, list[str]], output_dir: str, column: str = "department") -> None:
+    """Cut ``df`` by the values of ``column`` and store it, in one pass and one job, partitioned by site.
+
+    A value that several sites list is stored at each; rows of no site are left out.
+    """
+    owners = F.array_compact(F.array(*[F.when(F.col(column).isin(values), F.lit(s)) for s, values in sites.items()]))
+    _store_sites(df.withColumn("site", F.explode(owners)), output_dir, list(sites))
 
 
 def save_fragments(fragments: dict[str, DataFrame], output_dir: str, frag_type: str = "horizontal") -> None:
-    """One Parquet table per site under ``<output_dir>/fragments_<frag_type>``."""
+    """Store fragments under ``<output_dir>/fragments_<frag_type>``, and the list of sites last.
+
+    Horizontal fragments go to one table partitioned by site, vertical ones to a
+    table per site.
+    """
+    if frag_type == "horizontal":
+        labelled = [part.withColumn("site", F.lit(site)) for site, part in fragments.items()]
+        _store_sites(reduce(DataFrame.unionByName, labelled), output_dir, list(fragments))
+        return
+    spark = next(iter(fragments.values())).sparkSession
+    delete(spark, f"{_root(output_dir, frag_type)}_sites")
     for site, fragment in fragments.items():
         save_parquet(fragment, fragment_path(output_dir, frag_type, site))
+    _save_list(spark, output_dir, frag_type, list(fragments))
+
+
+def _store_sites(labelled: DataFrame, output_dir: str, sites: list[str]) -> None:
+    spark = labelled.sparkSession
+    delete(spark, f"{_root(output_dir, 'horizontal')}_sites")
+    labelled.write.mode("overwrite").partitionBy("site").parquet(_root(output_dir, "horizontal"))
+    _save_list(spark, output_dir, "horizontal", sites)
+
+
+def _save_list(spark: SparkSession, output_dir: str, frag_type: str, sites: list[str]) -> None:
+    listed = spark.createDataFrame([(site,) for site in sites], "site string")
+    save_parquet(listed.coalesce(1), f"{_root(output_dir, frag_type)}_sites")
+
+
+def stored_sites(spark: SparkSession, output_dir: str, frag_type: str = "horizontal") -> set[str]:
+    """Sites whose storing came to its end; none while it is going on or after it broke off."""
+    listed = f"{_root(output_dir, frag_type)}_sites"
+    return {row["site"] for row in load_parquet(spark, listed).collect()} if is_complete(spark, listed) else set()
 
 
 def load_fragments(
@@ -84,14 +155,19 @@ def load_fragments(
     frag_type: str = "horizontal",
     site_names: list[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Read stored fragments, in the order of ``site_names`` or of the folder names.
+    """Read stored fragments, in the order of ``site_names`` or of the sites' names.
 
-    Works on any file system Spark can write to.
+    A site that is asked for and not completely stored is an error.
     """
-    root = f"{output_dir.rstrip('/')}/fragments_{frag_type}"
-    stored = _folders(spark, root)
-    wanted = sorted(stored) if site_names is None else [s for s in site_names if s in stored]
-    return {site: load_parquet(spark, fragment_path(output_dir, frag_type, site)) for site in wanted}
+    stored = stored_sites(spark, output_dir, frag_type)
+    wanted = sorted(stored) if site_names is None else site_names
+    missing = [site for site in wanted if site not in stored]
+    if missing:
+        raise ValueError(f"not stored in {_root(output_dir, frag_type)}: {missing}")
+    if frag_type != "horizontal":
+        return {site: load_parquet(spark, fragment_path(output_dir, frag_type, site)) for site in wanted}
+    whole = load_parquet(spark, _root(output_dir, frag_type)) if wanted else None
+    return {site: whole.filter(F.col("site") == site).drop("site") for site in wanted}
 
 
 def new_shared_folder(spark: SparkSession, label: str) -> str:
@@ -123,19 +199,38 @@ def settled(df: DataFrame, label: str, spread_by: str | None = None) -> DataFram
 
     Ends its lineage: what follows reads the stored table, however often it
     is used and whichever executors are lost. ``spread_by`` names a column with
-    many values; the table is then stored in three parts per core, for work
-    that is heavy per row.
+    many values; the table is then stored in three parts per core or more, as
+    its size demands, for work that is heavy per row.
     """
     if spread_by is not None:
-        df = df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism, spread_by)
+        least = 3 * df.sparkSession.sparkContext.defaultParallelism
+        df = df.repartition(parts_for(df, least=least), spread_by)
     path = new_shared_folder(df.sparkSession, label)
     save_parquet(df, path)
     return load_parquet(df.sparkSession, path)
 
 
-def _folders(spark: SparkSession, root: str) -> set[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not file_system.exists(path):
-        return set()
-    return {entry.getPath().getName() for entry in file_system.listStatus(path) if entry.isDirectory()}
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table lies at ``path`` whose writing came to its end."""
+    system, at = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return system.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
+
+
+def files_of(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, time of change) of every file at or below ``path``, in order."""
+    system, at = _file_system(spark, path)
+    found, listed = [], system.listFiles(at, True)
+    while listed.hasNext():
+        status = listed.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
