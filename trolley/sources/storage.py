@@ -59,7 +59,9 @@ def parts_for(df: DataFrame, part_bytes: int = PART_BYTES, least: int = 1) -> in
     Sizes of joins are not estimated: they multiply up to absurd numbers.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    # Leaves made from local rows or RDDs have no size but the largest number there is.
+    size = sum(s for s in sizes if s < 1 << 60)
     return max(least, min(100_000, size // part_bytes + 1))
 
 
