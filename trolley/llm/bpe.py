@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trolley.llm.common import short_batches
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pieces whose encodings a task remembers, and the longest that it remembers.
 REMEMBERED = 400_000
@@ -253,6 +255,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = pu
     are ignored. ``path`` is a file of ranks, read by the driver; the vocabulary
     is broadcast.
     """
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path or public_tokenizers.path(VOCABULARY)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

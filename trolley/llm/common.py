@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,31 @@ def new_names(df: DataFrame, *wanted: str) -> list[str]:
     return names
 
 
+class WordCodes(dict):
+    """64-bit hashes of words, remembered up to a bound. ``plain`` maps a word to the form that counts."""
+
+    def __init__(self, plain=None, bound: int = 200_000):
+        super().__init__()
+        self.plain, self.bound = plain, bound
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.bound:
+            self.clear()
+        form = word if self.plain is None else self.plain(word)
+        code = self[word] = xxhash.xxh64_intdigest(form.encode("utf-8", "surrogatepass"))
+        return code
+
+
+def short_batches(spark, rows: int = 1000) -> None:
+    """Send tasks' Python workers at most so many rows at a time: texts are long.
+
+    A setting of the session that only changes how much a worker holds at once.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

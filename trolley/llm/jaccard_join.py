@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import key_filter, mixed, new_names, passes, passing_items
+from trolley.llm.common import WordCodes, key_filter, mixed, new_names, passes, passing_items, short_batches
 from trolley.sources.storage import settled
 
 SHINGLE = 5
@@ -42,17 +42,9 @@ def prefix_length(threshold: float, trees: int, depth: int, target: float) -> in
     raise ValueError("the target recall needs more trees")
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words, remembered for one batch."""
-
-    def __missing__(self, word: str) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-
 def shingle_set(text: str | None, hashes: dict[str, int] | None = None) -> np.ndarray:
     """Sorted 64-bit hashes of the word 5-grams of a text; a shorter text is one shingle, no words give none."""
-    hashes = _WordHashes() if hashes is None else hashes
+    hashes = WordCodes() if hashes is None else hashes
     # Only ASCII white space parts words.
     words = [w for w in (text or "").translate(_TO_SPACE).split(" ") if w]
     if not words:
@@ -98,8 +90,9 @@ def _signatures(trees: int, length: int):
     functions = _hash_functions(trees * length)
 
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hashes = WordCodes()
         for texts in batches:
-            hashes, rows = _WordHashes(), []
+            rows = []
             for text in texts:
                 shingles = shingle_set(text, hashes)
                 if len(shingles):
@@ -231,6 +224,7 @@ def jaccard_join(
     documents of their own. An empty table gives no rows. Other columns are
     ignored. 64-bit hashes stand for the shingles.
     """
+    short_batches(docs.sparkSession)
     length = prefix_length(threshold, trees, depth, target_recall)
     sign = _signatures(trees, length)
     signed = settled(
@@ -333,8 +327,9 @@ def _sets_of(docs: DataFrame, members: DataFrame, trees: int, length: int) -> Da
     functions = _hash_functions(trees * length)
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordCodes()
         for frame in frames:
-            hashes, rows = _WordHashes(), []
+            rows = []
             for text, digest, component, count in zip(
                 frame["text"], frame["digest"], frame["component"], frame["rows"], strict=True
             ):

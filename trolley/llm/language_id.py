@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import id_remainder
+from trolley.llm.common import id_remainder, short_batches
 from trolley.sources.storage import settled
 
 BUCKETS = 1 << 16
@@ -172,6 +172,7 @@ def learnable(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame) -> Model:
     """A model from the learnable documents with a language and a text."""
+    short_batches(docs.sparkSession)
     known = docs.select(F.col("doc_id").alias("doc_id"), F.col("lang").alias("lang"), F.col("text").alias("text"))
     known = known.filter(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     languages = sorted(row[0] for row in known.select("lang").distinct().collect())

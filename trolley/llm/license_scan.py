@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.llm.common import short_batches
 from trolley.llm.license_templates import CUES, TEMPLATES
 
 # One-line notices are sought in blocks of their own size: in long ones chance
@@ -199,6 +200,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     null or empty text has none; rows that repeat give rows that repeat; an empty
     table gives no rows. Other columns are ignored.
     """
+    short_batches(docs.sparkSession)
     scan = F.pandas_udf(_scan, SCAN)
     found = docs.select(F.col("doc_id").alias("doc_id"), scan(F.col("text")).alias("s"))
     zipped = F.arrays_zip("s.licenses", "s.starts", "s.ends", "s.reductions", "s.differences")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import key_filter, mixed, passing
+from trolley.llm.common import WordCodes, key_filter, mixed, passing, short_batches
 from trolley.sources.storage import settled
 
 KINDS = ("email", "ip", "card", "phone")
@@ -80,16 +80,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-class _WordCodes(dict):
-    """64-bit hashes of words, remembered for one batch; case and digits do not count."""
+def _plain(word: str) -> str:
+    """Case and digits do not count in a pattern."""
+    return word.lower().translate(TO_ZERO)
 
-    def __missing__(self, word: str) -> int:
-        plain = word.lower().translate(TO_ZERO)
-        code = self[word] = xxhash.xxh64_intdigest(plain.encode("utf-8", "surrogatepass"))
-        return code
 
-
-def patterns_of(words: list[str], codes: _WordCodes) -> tuple[np.ndarray, np.ndarray]:
+def patterns_of(words: list[str], codes: WordCodes) -> tuple[np.ndarray, np.ndarray]:
     """The patterns that stand before the word after each of ``words``: one of this word, one of it and the last."""
     own = np.fromiter(map(codes.__getitem__, words), dtype=np.uint64, count=len(words))
     before = np.append(np.uint64(codes[""]), own[:-1])
@@ -97,7 +93,7 @@ def patterns_of(words: list[str], codes: _WordCodes) -> tuple[np.ndarray, np.nda
 
 
 def occurrences(
-    text: str, spans: list[tuple[int, int, int]], codes: _WordCodes
+    text: str, spans: list[tuple[int, int, int]], codes: WordCodes
 ) -> list[tuple[int, int, int, int, int, bool]]:
     """(start, end, pattern of one word, pattern of two, instance, is a seed) of words with a digit or @.
 
@@ -132,8 +128,9 @@ SCAN = (
 
 
 def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    codes = WordCodes(_plain)
     for texts in batches:
-        rows, codes = [], _WordCodes()
+        rows = []
         for text in texts:
             text = text or ""
             spans = base_spans(text)
@@ -160,9 +157,9 @@ def _context_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     shared = key_filter(patterns, "pattern")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes = WordCodes(_plain)
         for frame in frames:
             counts: Counter[int] = Counter()
-            codes = _WordCodes()
             for text in frame["text"]:
                 words = (text or "").split()
                 if len(words) > 1:
@@ -245,6 +242,7 @@ def personal_data(docs: DataFrame, min_seeds: int = MIN_SEEDS, rounds: int = ROU
     spans; an empty table gives no rows. Other columns are ignored. The whole
     text and all documents count.
     """
+    short_batches(docs.sparkSession)
     scan = F.pandas_udf(_scan, SCAN)
     scanned = settled(
         docs.select(F.col("doc_id").alias("doc_id"), scan(F.col("text")).alias("s")).select("doc_id", "s.*"), "pii-scan"

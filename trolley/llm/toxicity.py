@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import id_remainder
+from trolley.llm.common import id_remainder, short_batches
 from trolley.sources.storage import settled
 
 WINDOW = 256
@@ -220,6 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     their id, so the sampled ids, at most ``2 * FIT_DOCUMENTS +
     CALIBRATION_DOCUMENTS`` of them, can be broadcast.
     """
+    short_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").alias("_label_id"), F.col("toxic").cast("int").alias("toxic"))
     known = settled(
         known.filter("toxic IN (0, 1) AND _label_id IS NOT NULL")
