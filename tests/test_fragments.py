@@ -132,7 +132,9 @@ def test_workflows_over_stored_fragments(spark, tmp_path):
     results = workflows.sql_workflow(store)
     assert bag(results["q8_centralized"]) == bag(results["q8_distributed"])
     assert spark.sql("SELECT COUNT(*) FROM v_site_1 JOIN v_site_2 USING (_row_id)").collect()[0][0] == whole.count()
-    assert catalog.run_sql(spark, "SELECT * FROM global_relation").count() == 200
+    # No rows are cut off unless the caller asks for it.
+    assert catalog.run_sql(spark, "SELECT * FROM global_relation").count() == whole.count() > 200
+    assert catalog.run_sql(spark, "SELECT * FROM global_relation", 200).count() == 200
     parts = workflows.fragmentation_workflow(store.relation, str(tmp_path / "work"), SITES)
     for check in ("completeness", "disjointness", "column_coverage", "lossless_key"):
         assert {r["status"] for r in parts[check].collect()} == {"PASS"}
@@ -150,3 +152,45 @@ def test_joining_stored_vertical_fragments_moves_no_rows(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert bag(joined) == bag(relation(spark, FOLDER).filter("order_hour_of_day < 10"), "order_dow", "product_name")
+
+
+def test_missing_and_unfinished_sites_are_errors(spark, tmp_path):
+    whole = relation(spark, FOLDER)
+    storage.save_horizontal(whole, SITES, str(tmp_path))
+    assert set(storage.load_fragments(spark, str(tmp_path))) == set(SITES)
+    with pytest.raises(ValueError, match="site_9"):
+        storage.load_fragments(spark, str(tmp_path), site_names=["site_1", "site_9"])
+    # What a broken-off write leaves behind: data, and no list of sites.
+    storage.delete(spark, f"{tmp_path}/fragments_horizontal_sites")
+    assert storage.load_fragments(spark, str(tmp_path)) == {}
+    with pytest.raises(ValueError, match="site_1"):
+        storage.load_fragments(spark, str(tmp_path), site_names=["site_1"])
+    (tmp_path / "fragments_vertical_sites").mkdir()
+    with pytest.raises(ValueError, match="no fragments"):
+        workflows.bootstrap_fragments(spark, str(tmp_path), predicates=SITES)
+
+
+def test_a_site_is_read_alone(spark, tmp_path):
+    storage.save_horizontal(relation(spark, FOLDER), SITES, str(tmp_path))
+    part = storage.load_fragments(spark, str(tmp_path))["site_1"]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(site" in plan
+    assert bag(part) == bag(relation(spark, FOLDER).filter(F.col("department").isin(SITES["site_1"])))
+
+
+def test_two_sites_cannot_share_a_view(spark):
+    frame = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(ValueError, match="v_site_1"):
+        catalog.register_views(frame, {}, {"site_1_a": frame, "site_1_b": frame})
+
+
+def test_sql_errors_are_told(spark):
+    result, error = catalog.run_sql_or_error(spark, "SELEC 1")
+    assert result is None and "SYNTAX" in error.upper()
+    result, error = catalog.run_sql_or_error(spark, "SELECT 1 AS one")
+    assert error is None and result.collect()[0]["one"] == 1
+
+
+def test_fractions_of_days_count(spark):
+    lines = spark.createDataFrame([(1, 1, 0.9), (1, 2, 0.9)], "user_id long, order_id long, days_since_prior_order double")
+    assert catalog.most_active_users(lines).collect()[0]["avg_days_between_orders"] == 0.9

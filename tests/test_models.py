@@ -1,5 +1,7 @@
 """Mining, neighbours, metrics, segments, the neural recommender and forecasts against plain Python."""
 
+import collections
+import datetime
 import math
 from itertools import combinations
 
@@ -9,8 +11,9 @@ from frames import bag, line, lines
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from trolley.operators import clustering, forecast, metrics, mining, neighbours, neural, recommend
+from trolley.operators import clustering, features, forecast, metrics, mining, neighbours, neural, recommend
 from trolley.registry.queries import relation
+from trolley.sources.order_lines import order_lines
 from trolley.sources.storage import settled
 
 FOLDER = "/root/testdata/sf0.001"
@@ -237,3 +240,56 @@ def test_short_series_carry_the_last_value_and_gaps_are_zero(spark):
     assert [r["forecast"] for r in ahead] == [0.0, 0.0]
     rmse = forecast.forecast_rmse(spark.createDataFrame([("s", 3, 0.0), ("s", 4, 0.0)], "series string, y long, forecast double"))
     assert rmse.collect()[0]["rmse"] == pytest.approx(math.sqrt(12.5))
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_forecasts_stay_in_range_over_the_whole_horizon(spark, scale):
+    folder = f"/root/testdata/sf{scale}"
+    tables = [spark.read.parquet(f"{folder}/{t}.parquet") for t in ("lineitem", "orders", "part")]
+    lines = order_lines(*tables, columns=["order_date", "department", "product_id"])
+    split = forecast.time_split(settled(forecast.weekly_sales(lines), "weekly"))
+    found = settled(forecast.arima_forecast(split), "forecasts")
+    ranges = {r["series"]: r["high"] for r in split.filter("part = 'train'").groupBy("series").agg(F.max("y").alias("high")).collect()}
+    for row in found.collect():
+        assert -ranges[row["series"]] - 1 <= row["forecast"] <= 2 * ranges[row["series"]] + 1
+        assert row["model"] == "arima"
+
+    def pooled(table):
+        return table.agg(F.sqrt(F.mean(F.pow(F.col("y") - F.col("forecast"), F.lit(2))))).first()[0]
+
+    assert pooled(found) <= pooled(forecast.last_value_forecast(split))
+    rmse = {r["series"]: r["rmse"] for r in forecast.forecast_rmse(found).collect()}
+    errors = collections.defaultdict(list)
+    for row in found.collect():
+        errors[row["series"]].append((row["y"] - row["forecast"]) ** 2)
+    for series, squares in errors.items():
+        assert rmse[series] == pytest.approx((sum(squares) / len(squares)) ** 0.5)
+
+
+def test_short_series_say_so(spark):
+    rows = [("s", datetime.date(2024, 1, 7) + datetime.timedelta(weeks=i), i, "train" if i < 8 else "test") for i in range(10)]
+    found = forecast.arima_forecast(spark.createDataFrame(rows, "series string, week date, y long, part string")).collect()
+    assert [(r["forecast"], r["model"]) for r in found] == [(7.0, "last_value")] * 2
+
+
+def test_partial_autocorrelations_give_stationary_models():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        ar = forecast.coefficients(rng.uniform(-0.97, 0.97, 3))
+        assert np.abs(np.roots(np.append(1.0, -ar))).max() < 1
+
+
+def test_ids_beyond_32_bits_are_rated_and_recommended(spark):
+    rows = [(3_000_000_000 + u, 5_000_000_000 + p) for u in range(12) for p in range(8) if (u + p) % 3]
+    rated = settled(recommend.ratings(spark.createDataFrame(rows, "user_id long, product_id long")), "rated")
+    fitted = recommend.als_fit(rated)
+    best = recommend.als_top(fitted, 2).collect()
+    assert {r["user_id"] for r in best} == {u for u, _ in rows} and {r["product_id"] for r in best} <= {p for _, p in rows}
+    assert recommend.als_rmse(fitted, rated) >= 0
+
+
+def test_lines_without_a_user_are_nobodys(spark):
+    lines = spark.createDataFrame(
+        [(None, 1, 2.0, 5), (0, 1, 2.0, 5)], "user_id long, order_number int, days_since_prior_order double, product_id long"
+    )
+    assert [r["user_id"] for r in features.rfm(lines).collect()] == [0]

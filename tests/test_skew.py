@@ -7,8 +7,9 @@ from hypothesis import strategies as st
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trolley.functions.skew import number_rows, running_totals, spread_lookup, visits_in_order
+from trolley.functions.skew import dense_index, number_rows, running_totals, spread_lookup, visits_in_order
 from trolley.functions.stats import exact_quantiles
+from trolley.sources.storage import parts_for
 from trolley.sources.order_lines import order_lines
 
 FOLDER = "/root/testdata/sf0.001"
@@ -99,10 +100,10 @@ def test_running_totals(spark):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(st.one_of(st.none(), st.integers(-40, 40)), max_size=25), width=st.sampled_from([1.0, 8.0, 1024.0]))
-def test_exact_quantiles(spark, values, width):
+@given(values=st.lists(st.one_of(st.none(), st.integers(-40, 40)), max_size=25))
+def test_exact_quantiles(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v int")
-    found = exact_quantiles(df, "v", {"low": 0.25, "mid": 0.5, "top": 1.0}, width).collect()[0]
+    found = exact_quantiles(df, "v", {"low": 0.25, "mid": 0.5, "top": 1.0}).collect()[0]
     known = sorted(v for v in values if v is not None)
     for name, share in (("low", 0.25), ("mid", 0.5), ("top", 1.0)):
         place = max(1, -int(-share * len(known) // 1)) if known else 0
@@ -133,3 +134,26 @@ def test_heavy_order_is_split_by_adaptive_execution(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_quantiles_of_wide_and_close_values(spark):
+    values = [float(v) for v in (1e300, -1e300, 0.1, 0.1 + 1e-17, 5e-324, 3.0, 3.0000000000000004)] + [2.0**53, 2.0**53 + 2]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    found = exact_quantiles(df, "v", {str(i): (i + 1) / len(values) for i in range(len(values))}).collect()[0]
+    assert list(found) == sorted(values)
+    ids = [2**62 + i for i in range(300)]
+    df = spark.createDataFrame([(v,) for v in ids], "v long")
+    assert exact_quantiles(df, "v", {"mid": 0.5}).collect()[0]["mid"] == ids[149]
+
+
+def test_dense_index(spark):
+    df = spark.createDataFrame([(v,) for v in (30_000_000_000, 7, None, 7, -2)], "v long")
+    assert sorted(map(tuple, dense_index(df.repartition(5), "v").collect())) == [(-2, 0), (7, 1), (30_000_000_000, 2)]
+
+
+def test_part_counts_follow_the_size(spark, tmp_path):
+    spark.range(100_000).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    few, many = parts_for(table, 1 << 20), parts_for(table, 1 << 10)
+    assert many > 100 * few >= 100
+    assert parts_for(table.crossJoin(spark.createDataFrame([(1,)], "a int")), 1 << 20) == few

@@ -9,6 +9,7 @@ from trolley.functions.stats import rounded_ratio
 from trolley.operators import cleaning, eda, features
 from trolley.plans import workflows
 from trolley.registry.queries import relation
+from trolley.sources.prepared import stored_lines
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -94,3 +95,12 @@ def test_eda_workflow(spark, tmp_path):
     found = workflows.eda_workflow(relation(spark, FOLDER), str(tmp_path), sample_frac=0.5)
     assert found["user_features"].count() == found["cleaned_data"].select("user_id").distinct().count()
     assert found["rules"].filter("confidence < 0.1").count() == 0
+
+
+def test_a_new_file_in_a_partition_is_noticed(spark, tmp_path):
+    tables = {t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("lineitem", "orders", "part")}
+    for name, table in tables.items():
+        table.withColumn("piece", F.lit(1)).write.partitionBy("piece").parquet(str(tmp_path / f"{name}.parquet"))
+    rows = stored_lines(spark, str(tmp_path)).count()
+    tables["lineitem"].write.mode("append").parquet(str(tmp_path / "lineitem.parquet/piece=1"))
+    assert stored_lines(spark, str(tmp_path)).count() == 2 * rows
