@@ -12,7 +12,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trolley.functions.hashing import digest_number, seeded_digest
@@ -131,6 +130,24 @@ def item_cosine(held: DataFrame, items: DataFrame) -> DataFrame:
 # --- scoring --------------------------------------------------------------
 
 
+def _shared_matrices(similarity: DataFrame, n_items: int):
+    """The similarities of each fold as a matrix, for all tasks: at most folds x items x items numbers."""
+    matrices: dict[int, np.ndarray] = {}
+    for row in similarity.collect():
+        matrix = matrices.setdefault(row["fold"], np.zeros((n_items, n_items)))
+        matrix[row["a"], row["b"]] = matrix[row["b"], row["a"]] = row["similarity"]
+    return similarity.sparkSession.sparkContext.broadcast(matrices)
+
+
+def _open_scores(matrix: np.ndarray | None, held, n_items: int, ks: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The items that a user does not hold, and per k the sums of their k largest similarities to held ones."""
+    open_items = np.delete(np.arange(n_items, dtype=np.int32), held)
+    if matrix is None:
+        return open_items, [np.zeros(len(open_items)) for _ in ks]
+    near = -np.sort(-matrix[np.ix_(open_items, held)], axis=1)
+    return open_items, [np.round(near[:, :k].sum(axis=1), SCORE_DIGITS) for k in ks]
+
+
 def knn_scores(visible: DataFrame, similarity: DataFrame, n_items: int, ks: tuple[int, ...] = (30,)) -> DataFrame:
     """(fold, user_id, k, item, score) for every item a user does not hold.
 
@@ -138,23 +155,15 @@ def knn_scores(visible: DataFrame, similarity: DataFrame, n_items: int, ks: tupl
     holds. ``visible`` has fold, user_id and items; ``similarity`` has at most
     items x items rows per fold.
     """
-    matrices: dict[int, np.ndarray] = {}
-    for row in similarity.collect():
-        matrix = matrices.setdefault(row["fold"], np.zeros((n_items, n_items)))
-        matrix[row["a"], row["b"]] = matrix[row["b"], row["a"]] = row["similarity"]
-    shared = visible.sparkSession.sparkContext.broadcast(matrices)
+    shared = _shared_matrices(similarity, n_items)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everything = np.arange(n_items, dtype=np.int32)
-        nothing = np.zeros((n_items, n_items))
         for batch in batches:
             open_lists, totals = [], []
             for fold, held in zip(batch["fold"], batch["items"]):
-                open_items = np.delete(everything, held)
-                near = shared.value.get(fold, nothing)[np.ix_(open_items, held)]
-                near = -np.sort(-near, axis=1)
+                open_items, sums = _open_scores(shared.value.get(fold), held, n_items, ks)
                 open_lists.append(open_items)
-                totals.append([near[:, :k].sum(axis=1) for k in ks])
+                totals.append(sums)
             sizes = [len(items) for items in open_lists]
             for place, k in enumerate(ks):
                 yield pd.DataFrame(
@@ -163,7 +172,7 @@ def knn_scores(visible: DataFrame, similarity: DataFrame, n_items: int, ks: tupl
                         "user_id": np.repeat(batch["user_id"].to_numpy(), sizes),
                         "k": k,
                         "item": np.concatenate(open_lists),
-                        "score": np.round(np.concatenate([t[place] for t in totals]), SCORE_DIGITS),
+                        "score": np.concatenate([t[place] for t in totals]),
                     }
                 )
 
@@ -238,35 +247,40 @@ def fold_similarity(folded: DataFrame, n_items: int, folds: int = 5) -> DataFram
     return cosine(trained.filter(F.col("together") > 0), "fold")
 
 
-def knn_cv_scores(
+def knn_cv_counts(
     folded: DataFrame, n_items: int, ks: tuple[int, ...] = (30,), folds: int = 5, top_n: int = 10
 ) -> DataFrame:
-    """Scores of all items not visible to a user, whether each was hidden, and whether
-    it is among the ``top_n`` predicted (ties go to the smaller item number)."""
-    tested = folded.filter(F.size("hidden") > 0)
-    visible = tested.select("fold", "user_id", F.col("visible").alias("items"))
-    scored = knn_scores(visible, fold_similarity(folded, n_items, folds), n_items, ks)
-    # At most n_items rows per user and k.
-    best = W.partitionBy("fold", "user_id", "k").orderBy(F.desc("score"), "item")
-    truth = tested.select("fold", "user_id", "hidden")
-    return (
-        scored.withColumn("predicted", (F.row_number().over(best) <= top_n).cast("int"))
-        .join(truth, ["fold", "user_id"])
-        .select(
-            "fold",
-            "user_id",
-            "k",
-            "item",
-            "score",
-            F.array_contains("hidden", F.col("item")).cast("int").alias("label"),
-            "predicted",
-        )
-    )
+    """(fold, k, score, label, predicted, n): how many items not visible to their user have this outcome.
 
+    ``label`` tells whether the item was hidden, ``predicted`` whether it is among
+    the user's ``top_n`` (ties go to the smaller item number). Users are scored
+    and counted where they are; no table of users and items is made.
+    """
+    shared = _shared_matrices(fold_similarity(folded, n_items, folds), n_items)
 
-def knn_cv_metrics(scored: DataFrame) -> DataFrame:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for fold, visible, hidden in zip(batch["fold"], batch["visible"], batch["hidden"]):
+                open_items, sums = _open_scores(shared.value.get(fold), visible, n_items, ks)
+                label = np.isin(open_items, hidden).astype(np.int32)
+                for k, score in zip(ks, sums):
+                    predicted = np.zeros(len(open_items), dtype=np.int32)
+                    predicted[np.lexsort((open_items, -score))[:top_n]] = 1
+                    found.append(
+                        pd.DataFrame({"fold": fold, "k": k, "score": score, "label": label, "predicted": predicted})
+                    )
+            if found:
+                together = pd.concat(found).groupby(["fold", "k", "score", "label", "predicted"])
+                yield together.size().reset_index(name="n")
+
+    tested = folded.filter(F.size("hidden") > 0).select("fold", "visible", "hidden")
+    return tested.mapInPandas(count, "fold int, k int, score double, label int, predicted int, n long")
+
+
+def knn_cv_metrics(counts: DataFrame) -> DataFrame:
     """Precision, recall, F1, accuracy and AUC per fold."""
-    return confusion_metrics(scored, ["fold"]).join(roc_auc(scored, ["fold"]), ["fold"])
+    return confusion_metrics(counts, ["fold"]).join(roc_auc(counts, ["fold"]), ["fold"])
 
 
 def knn_summary(per_fold: DataFrame) -> DataFrame:
@@ -276,17 +290,18 @@ def knn_summary(per_fold: DataFrame) -> DataFrame:
 
 def knn_k_sweep(folded: DataFrame, n_items: int, ks: tuple[int, ...] = (10, 20, 30, 40, 50)) -> DataFrame:
     """Users, precision and recall among the top ten for several k."""
-    scored = knn_cv_scores(folded, n_items, ks)
-    hits = F.sum((F.col("label") * F.col("predicted")).cast("long"))
-    return scored.groupBy("k").agg(
-        F.countDistinct("user_id").alias("users"),
-        ratio(hits, F.sum(F.col("predicted").cast("long"))).alias("precision"),
-        ratio(hits, F.sum(F.col("label").cast("long"))).alias("recall"),
+    counts = knn_cv_counts(folded, n_items, ks)
+    users = folded.filter(F.size("hidden") > 0).count()
+    hits = F.sum(F.col("label") * F.col("predicted") * F.col("n"))
+    return counts.groupBy("k").agg(
+        F.lit(users).cast("long").alias("users"),
+        ratio(hits, F.sum(F.col("predicted") * F.col("n"))).alias("precision"),
+        ratio(hits, F.sum(F.col("label") * F.col("n"))).alias("recall"),
     )
 
 
-def run_knn_recommender(df: DataFrame, users: int | None = 2000, products: int = 200) -> DataFrame:
+def run_knn_recommender(df: DataFrame, users: int | None = None, products: int = 200) -> DataFrame:
     """Mean metrics of five-fold cross-validation."""
     items = catalogue(df, products)
     folded = settled(holdout_folds(user_items(df, items, users=users)), "folds", "user_id")
-    return knn_summary(knn_cv_metrics(settled(knn_cv_scores(folded, items.count()), "scores")))
+    return knn_summary(knn_cv_metrics(settled(knn_cv_counts(folded, items.count()), "counts")))

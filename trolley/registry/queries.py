@@ -886,9 +886,14 @@ def knn_folds(spark, folder):
     return items, settled(neighbours.holdout_folds(held), "folds", "user_id")
 
 
-def knn_scored(spark, folder):
-    items, folded = knn_folds(spark, folder)
-    return items, settled(neighbours.knn_cv_scores(folded, items.count()), "scores")
+def knn_counted(spark, folder):
+    """Outcomes of the cross-validation, counted once for the queries on them."""
+
+    def count():
+        items, folded = knn_folds(spark, folder)
+        return settled(neighbours.knn_cv_counts(folded, items.count()), "knn-counts")
+
+    return stored_once(spark, folder, "knn-counts", count)
 
 
 @query
@@ -923,22 +928,22 @@ METRICS = ["precision", "recall", "f1", "accuracy", "auc"]
 
 @query
 def knn_cv_metrics(spark, folder):
-    return rounded(neighbours.knn_cv_metrics(knn_scored(spark, folder)[1]), 9, *METRICS)
+    return rounded(neighbours.knn_cv_metrics(knn_counted(spark, folder)), 9, *METRICS)
 
 
 @query
 def knn_summary(spark, folder):
-    return rounded(neighbours.knn_summary(neighbours.knn_cv_metrics(knn_scored(spark, folder)[1])), 9, *METRICS)
+    return rounded(neighbours.knn_summary(neighbours.knn_cv_metrics(knn_counted(spark, folder))), 9, *METRICS)
 
 
 @query
 def roc_curve(spark, folder):
-    return metrics.roc_curve(knn_scored(spark, folder)[1], ["fold"])
+    return metrics.roc_curve(knn_counted(spark, folder), ["fold"])
 
 
 @query
 def roc_auc(spark, folder):
-    return rounded(metrics.roc_auc(knn_scored(spark, folder)[1], ["fold"]), 9, "auc")
+    return rounded(metrics.roc_auc(knn_counted(spark, folder), ["fold"]), 9, "auc")
 
 
 @query
@@ -1015,7 +1020,7 @@ def neural_cf_metrics(spark, folder):
 @query
 def binary_metrics(spark, folder):
     """Metrics of the neighbour scores, an item counting as predicted from a score of 8."""
-    measured = metrics.binary_metrics(knn_scored(spark, folder)[1], threshold=8.0)
+    measured = metrics.binary_metrics(knn_counted(spark, folder), threshold=8.0)
     return rounded(measured, 9, "precision", "recall", "f1", "auc")
 
 
