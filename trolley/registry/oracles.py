@@ -997,3 +997,61 @@ counted AS (SELECT add_to_cart_order AS v, COUNT(*) AS n FROM global_relation GR
 SELECT share.name, TRUE AS within_error FROM (VALUES ('q1'), ('median'), ('q3')) AS share(name)
 WHERE (SELECT SUM(n) FROM counted) > 0""",
 )
+
+# --- whole workflows ------------------------------------------------------
+
+
+def define_rows(name: str, tables: dict[str, str]) -> None:
+    """Rows of each table of a workflow, by the SQL of the query that gives the same table."""
+    counts = [f"SELECT '{t}' AS name, COUNT(*) AS row_count FROM ({ORACLES[q]})" for t, q in tables.items()]
+    ORACLES[name] = "\nUNION ALL ".join(counts)
+
+
+define_rows(
+    "sql_workflow",
+    {
+        "q1_site_1": "sql_q1_site1",
+        "q1_site_2": "sql_q1_site2",
+        "q1_merged": "sql_q1_merged",
+        "q2": "sql_q2_reorder_merged",
+        "q3": "sql_q3_reconstruct_h",
+        "q4": "sql_q4_vjoin",
+        "q5": "sql_q5_morning",
+        "q6": "sql_q6_site2_only",
+        "q7": "sql_q7_reconstruct_v",
+        "q8_centralized": "sql_q8_centralized",
+        "q8_distributed": "sql_q8_distributed",
+    },
+)
+define_rows(
+    "fragmentation_workflow",
+    {
+        "shares": "fragment_shares",
+        "completeness": "check_completeness",
+        "disjointness": "check_disjointness",
+        "top_products": "topk_local_merge",
+        "reorder_rate": "avg_weighted_merge",
+        "rebuilt_from_rows": "reconstruct_horizontal",
+        "column_coverage": "check_column_coverage",
+        "lossless_key": "check_lossless_key",
+        "order_day_and_product": "vquery_cross_join",
+        "morning": "sql_q5_morning",
+        "rate_by_department": "sql_q6_site2_only",
+        "rebuilt_from_columns": "reconstruct_vertical",
+    },
+)
+define_rows(
+    "eda_workflow",
+    {
+        "cleaned_data": "clean_data",
+        "user_features": "user_features",
+        "order_features": "order_features",
+        "top_departments": "top_departments",
+        "orders_by_dow": "orders_by_dow",
+        "orders_by_hour": "orders_by_hour",
+        "reorder_rate_by_department": "reorder_rate_by_department",
+        "top_products": "top_products",
+        "itemsets": "frequent_itemsets",
+        "rules": "association_rules",
+    },
+)

@@ -1072,3 +1072,41 @@ def forecast_rmse_last_value(spark, folder):
     """What the forecasts are to be held against."""
     errors = forecast.forecast_rmse(forecast.last_value_forecast(forecast.time_split(weeks(spark, folder))))
     return rounded(errors, 9, "rmse")
+
+
+# --- whole workflows: rows of each of their tables ---------------------------
+
+
+def table_rows(tables):
+    """(name, row_count) of every table among the results of a workflow."""
+    counts = [
+        table.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count")
+        for name, table in tables.items()
+        if isinstance(table, DataFrame)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def eda_workflow(spark, folder):
+    return table_rows(workflows.eda_workflow(relation(spark, folder), storage.new_shared_folder(spark, "eda")))
+
+
+@query
+def training_workflow(spark, folder):
+    cleaned = settled(cleaning.clean_data(relation(spark, folder)), "cleaned")
+    return table_rows(workflows.training_workflow(cleaned, weeks(spark, folder)))
+
+
+@query
+def fragmentation_workflow(spark, folder):
+    cleaned = settled(cleaning.clean_data(relation(spark, folder)), "cleaned")
+    path = storage.new_shared_folder(spark, "fragmentation")
+    return table_rows(workflows.fragmentation_workflow(cleaned, path, SITES))
+
+
+@query
+def sql_workflow(spark, folder):
+    path = storage.new_shared_folder(spark, "sql-workflow")
+    store = workflows.bootstrap_fragments(spark, path, relation(spark, folder), SITES)
+    return table_rows(workflows.sql_workflow(store))
