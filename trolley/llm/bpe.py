@@ -27,14 +27,16 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import short_batches
+from trolley.llm.common import release_memory, short_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pieces whose encodings a task remembers, and the longest that it remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+# Pairs of tokens that it remembers.
+REMEMBERED_PAIRS = 150_000
 REMEMBERED_LENGTH = 64
 # Bytes of text that a task encodes at a time.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 # How many pieces before the end of a text may change when text is appended: a
 # contraction or the white space before a word can take in at most this many.
 UNSETTLED = 3
@@ -105,7 +107,7 @@ class _Neighbours(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, pair: tuple[bytes, bytes]) -> bool:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED_PAIRS:
             self.clear()
         apart = self[pair] = self.vocabulary.may_be_neighbours(*pair)
         return apart
@@ -228,7 +230,10 @@ def encoder(ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
         found = [find(text) for text in texts]
         pieces = set().union(*found)
         if len(known) > REMEMBERED:
+            # What was known and is met again is what is worth keeping.
+            kept = {piece: known[piece] for piece in pieces & known.keys()}
             known.clear()
+            known.update(kept)
         learn(pieces - known.keys())
         encoded = [b"".join(map(known.__getitem__, cut)) for cut in found]
         for piece in pieces:
@@ -268,6 +273,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = pu
                 ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(encoded), dtype=np.int32))
                 decoded = pa.array([decode(np.frombuffer(e, dtype=np.int32).tolist()) for e in encoded], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, decoded], ["doc_id", "ids", "decoded"])
+        release_memory()
 
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, ids array<int>, decoded binary")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -30,7 +32,7 @@ def new_names(df: DataFrame, *wanted: str) -> list[str]:
 class WordCodes(dict):
     """64-bit hashes of words, remembered up to a bound. ``plain`` maps a word to the form that counts."""
 
-    def __init__(self, plain=None, bound: int = 200_000):
+    def __init__(self, plain=None, bound: int = 50_000):
         super().__init__()
         self.plain, self.bound = plain, bound
 
@@ -52,6 +54,17 @@ def short_batches(spark, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def release_memory() -> None:
+    """Give what a finished task no longer uses back to the system.
+
+    Python workers live on for the tasks that follow and would otherwise keep it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import WordCodes, key_filter, mixed, new_names, passes, passing_items, short_batches
+from trolley.llm.common import WordCodes, key_filter, mixed, new_names, passes, passing_items, release_memory, short_batches
 from trolley.sources.storage import settled
 
 SHINGLE = 5
@@ -102,6 +102,8 @@ def _signatures(trees: int, length: int):
                 else:
                     rows.append((None, None, None))
             yield pd.DataFrame(rows, columns=["digest", "head", "keys"]).astype({"head": "Int64"})
+        hashes.clear()
+        release_memory()
 
     return F.pandas_udf(sign, "digest binary, head long, keys array<long>")
 
@@ -340,6 +342,8 @@ def _sets_of(docs: DataFrame, members: DataFrame, trees: int, length: int) -> Da
                         (component, digest, count, prefix_keys(shingles, functions, trees, length), shingles.tobytes())
                     )
             yield pd.DataFrame(rows, columns=["component", "digest", "rows", "keys", "shingles"])
+        hashes.clear()
+        release_memory()
 
     texts = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
     wanted = key_filter(members.select(F.xxhash64("first_id").alias("id_hash")), "id_hash")

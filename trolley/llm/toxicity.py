@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import id_remainder, short_batches
+from trolley.llm.common import id_remainder, release_memory, short_batches
 from trolley.sources.storage import settled
 
 WINDOW = 256
@@ -276,6 +276,7 @@ def score_of(model: Model):
         for texts in batches:
             features = _features(*measure(texts))
             yield pd.Series(1 / (1 + np.exp(-np.clip(features @ weights[:-1] + weights[-1], -30, 30))))
+        release_memory()
 
     return score
 
