@@ -148,6 +148,40 @@ def test_mix_against_walking_the_schedule(spark, slots):
         assert abs(sum(found[r[0]]["taken"] for r in rows if r[3] == s) - targets[s]) <= 8 * block
 
 
+# Wherever the small source stands among the sources, and whatever its size.
+@pytest.mark.parametrize("name, words", [("a", 1), ("m", 300), (None, 900)])
+def test_mix_of_a_small_source_beside_blocks_of_2048(spark, name, words):
+    large = [(i, "w " * 4096, f"{'bn'[i % 2]}") for i in range(50)]
+    small = [(100 + i, "v " * min(100, words - 100 * i), name) for i in range(-(-words // 100))]
+    docs = spark.createDataFrame(large + small, "doc_id long, text string, source string")
+    found = mixing.mix_sources(docs, slots=100).collect()
+    assert min((50 * 4096 + words) // 100, mixing.MAX_BLOCK) == 2048
+    mine = [r for r in found if r["doc_id"] >= 100]
+    target = mixing.source_targets({"b": 25 * 4096, "n": 25 * 4096, name: words})[name]
+    assert target == 3 * words and sum(r["taken"] for r in mine) == target
+    assert all(r["taken"] == 3 * r["size"] for r in mine)
+    mixed = mixing.mixed_documents(docs, slots=100)
+    assert mixed.filter("doc_id >= 100").count() == 3 * len(small)
+
+
+@pytest.mark.parametrize("total", [85_000_000, 5_000_000_000])
+def test_counts_of_sources_at_large_totals(total):
+    block = min(max(total // mixing.SLOTS, 1), mixing.MAX_BLOCK)
+    n_slots = -(-total // block)
+    for small in (150, 600, 3000, 10_000, 3_000_000, 300 * block, 3000 * block):
+        for share in (0.123, 0.789):
+            before = (total - small) * share
+            targets = {"a": before, "b": small, "c": total - small - before}
+            quotas = mixing.counted_out(targets, block)
+            if "b" in quotas:
+                assert quotas["b"] == small
+                continue
+            place = mixing.slot_sources(n_slots, block, list(targets.values()))
+            chunks = mixing.pd.DataFrame({"chunk": range(-(-n_slots // mixing.SLOT_CHUNK))})
+            got = sum(int((f["src"] == 1).sum()) for f in place([chunks])) * block
+            assert abs(got - small) <= 0.01 * small
+
+
 def test_mix_of_odd_rows(spark):
     docs = odd_documents(spark)
     found = mixing.mix_sources(docs).collect()

@@ -4,7 +4,10 @@ The mix is a sequence of slots of equal token counts. Golden-ratio points, sent
 through the cumulative targets, decide the source of every slot, so any stretch
 of the sequence holds each source in proportion. The slots of a source are
 ranked; rank r takes the r-th block of the source's shuffled documents, read
-again from the start once all are used.
+again from the start once all are used. The points leave no gap of two slots, but
+a source of few slots may get half or twice of them by chance. Such a source has
+its words counted out instead: its slots lie evenly in the sequence, and the last
+of them is cut.
 
 Documents and slots are placed by running sums inside small blocks and across
 them, so a source may hold any part of the corpus.
@@ -12,6 +15,7 @@ them, so a source may hold any part of the corpus.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +32,8 @@ MAX_REPEATS = 3
 SLOTS = 1 << 17
 MAX_BLOCK = 2048
 SLOT_CHUNK = 4096
+# A source with less than this part of the slots asked for, or less than two, is counted out.
+FEW_SLOTS = 64
 ROWS_PER_BUCKET = 1000
 # 2**64 divided by the golden ratio; multiples of it modulo 2**64 are the points.
 GOLDEN = 0x9E3779B97F4A7C15
@@ -55,6 +61,16 @@ def source_targets(sizes: dict[str | None, int], weights=WEIGHTS, max_repeats: i
     return targets
 
 
+def counted_out(targets: dict, block: int, slots: int = SLOTS) -> dict:
+    """Words of the sources with too few slots for the points: their targets, in whole words.
+
+    With blocks of one word the points are right to a few words, so that only
+    targets below two words are counted out.
+    """
+    least = max(2, slots // FEW_SLOTS) if block > 1 else 2
+    return {s: math.ceil(t - 1e-6) for s, t in targets.items() if t < least * block}
+
+
 def slot_sources(n_slots: int, block: int, targets: list[float]):
     """A function that gives every slot of a chunk its source and its rank among the chunk's slots of that source."""
     edges = np.cumsum(targets) / max(sum(targets), 1e-300)
@@ -106,8 +122,10 @@ def mix_sources(
     """How many tokens of every document the mix takes.
 
     Returns one row per row of ``docs``: doc_id, size, source_size, target,
-    taken. A size is the number of words (``WORD``); a null text has none. Each
-    source's tokens come within a few blocks of its target, and no document gives
+    taken. A size is the number of words (``WORD``); a null text has none. A
+    source gives its target in whole words if that is less than 1/64 of
+    ``slots`` (or two) blocks, and comes within a few blocks of it otherwise, or
+    within a few words if a block is one word. No document gives
     more than ``max_repeats`` times its size. A null source is a source of its
     own, empty texts take no part (taken 0), documents with equal ids are mixed
     as separate documents, and an empty table gives no rows. Other columns are
@@ -130,16 +148,20 @@ def mix_sources(
     wanted = source_targets(sizes, weights, max_repeats)
     ordered = sorted(sizes, key=lambda s: (s is None, s or ""))
     total, n_rows = sum(sizes.values()), sum(r["rows"] for r in counted)
-    sources = spark.createDataFrame(
-        [(s, i, sizes[s], float(wanted[s])) for i, s in enumerate(ordered)],
-        "name string, src int, source_size long, target double",
-    )
     block = min(max(total // slots, 1), max_block)
     n_slots = -(-total // block) if total else 0
+    quotas = counted_out(wanted, block, slots)
+    sources = spark.createDataFrame(
+        [(s, i, sizes[s], float(wanted[s]), quotas.get(s)) for i, s in enumerate(ordered)],
+        "name string, src int, source_size long, target double, _quota long",
+    )
+    few = sources.filter("_quota IS NOT NULL").select("src", "_quota", F.expr(f"(_quota + {block - 1}) div {block}").alias("_n"))
+    evenly = few.filter("_n > 0").select("src", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("rank"))
     taken_slots = settled(
-        ranked_slots(spark, n_slots, block, [wanted[s] for s in ordered] or [1.0]).select(
-            F.col("src").alias("_src"), F.col("rank").alias("_block"), "slot"
-        ),
+        ranked_slots(spark, n_slots, block, [wanted[s] for s in ordered] or [1.0])
+        .join(few, "src", "left_anti")
+        .unionByName(evenly.select(F.expr(f"(2 * rank + 1) * {n_slots} div (2 * _n)").alias("slot"), "src", "rank"))
+        .select(F.col("src").alias("_src"), F.col("rank").alias("_block"), "slot"),
         "mix-ranks",
     )
     n_taken = taken_slots.groupBy("_src").agg((F.count(F.lit(1)) * block).alias("_tokens"))
@@ -171,7 +193,7 @@ def mix_sources(
             "target",
             "src",
             (F.col("_start") + F.col("_before")).alias("_at"),
-            F.coalesce("_tokens", F.lit(0)).cast("long").alias("_tokens"),
+            F.coalesce("_quota", "_tokens", F.lit(0)).cast("long").alias("_tokens"),
         ),
         "mix-placed",
     )
