@@ -78,6 +78,14 @@ def test_changed_wording_is_listed():
     assert scanner.scan("no licence and no license here, only a warranty") == []
 
 
+def test_licences_are_found_wherever_they_rank(monkeypatch):
+    ranked = license_scan.Matcher.ranked
+    monkeypatch.setattr(license_scan.Matcher, "ranked", lambda self, words: ranked(self, words)[::-1])
+    scanner = license_scan.Scanner()
+    for name, text in TEMPLATES:
+        assert [(f.license, f.differences) for f in scanner.scan(text)] == [(name, "")]
+
+
 def test_license_scan_of_odd_rows(spark):
     docs = odd_documents(spark).unionByName(
         odd_documents(spark).limit(1).withColumn("text", F.lit("İ Released under the MIT License.")).withColumn("doc_id", F.lit(77).cast("long"))

@@ -9,6 +9,7 @@ the block and listing every word that differs.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -24,7 +25,6 @@ from trolley.llm.license_templates import CUES, TEMPLATES
 # One-line notices are sought in blocks of their own size: in long ones chance
 # would save as many bytes as they do.
 ONE_LINE = 200
-CANDIDATES = 8
 MIN_REDUCTION = 0.1
 MIN_WORDS = 0.85
 LEVEL = 9
@@ -86,6 +86,7 @@ class Matcher:
     def __init__(self, templates: list[tuple[str, str]]):
         self.reach = max(len(text) for _, text in templates) * 5 // 4
         self.templates = [(name, [w for w, _, _ in words_of(text)]) for name, text in templates]
+        self.counts = [Counter(words) for _, words in self.templates]
         self.plain = zstandard.ZstdCompressor(level=LEVEL).compress
         # Templates and blocks are compared in one form: words, and single blanks.
         self.forms = [" ".join(words).encode() for _, words in self.templates]
@@ -129,8 +130,12 @@ class Matcher:
 
     def _in_block(self, words: list[tuple[str, int, int]]) -> Iterator[Finding]:
         plain = [w for w, _, _ in words]
-        best = None
-        for reduction, number in self.ranked(plain)[:CANDIDATES]:
+        best, held = None, Counter(plain)
+        for reduction, number in self.ranked(plain):
+            # What words in any order rule out needs no alignment.
+            common = (self.counts[number] & held).total()
+            if common < MIN_WORDS * len(self.templates[number][1]) or best is not None and common < best[0][0]:
+                continue
             found = self._confirmed(plain, number)
             if found:
                 start, end, size, changes = found
