@@ -78,6 +78,31 @@ def test_changed_wording_is_listed():
     assert scanner.scan("no licence and no license here, only a warranty") == []
 
 
+def test_members_of_a_family_are_told_apart():
+    scanner = license_scan.Scanner()
+    cc = "This work is licensed under a Creative Commons Attribution"
+    for text, name in {
+        f"{cc}-NonCommercial 4.0 International License": "CC-BY-NC-4.0",
+        f"{cc}-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+        f"{cc}-NoDerivs 3.0 Unported License": "CC-BY-ND-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This program is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "Licensed under the Apache License, Version 1.1": "Apache-1.1",
+        "Distributed under the MIT License": "MIT",
+        "Distributed under the BSD 2-Clause License": "BSD-2-Clause",
+        "Licensed under CC BY-SA 3.0": "CC-BY-SA-3.0",
+        "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0",
+        "Shared under CC BY-ND 4.0 license": "CC-BY-ND-4.0",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1",
+    }.items():
+        assert [f.license for f in scanner.scan(f"thent orand erly {text} of tion blen")] == [name], text
+    # Not of the templates, and not to be named as one of them.
+    for text in ("Licensed under the Apache License, Version 3.0", "Licensed under CC BY SA 4.0", "Licensed under CC BY 5.0",
+                 "This work is licensed under the GNU General Public License, version 4.", "SPDX-License-Identifier: Zlib"):
+        assert scanner.scan(text) == [], text
+
+
 def test_licences_are_found_wherever_they_rank(monkeypatch):
     ranked = license_scan.Matcher.ranked
     monkeypatch.setattr(license_scan.Matcher, "ranked", lambda self, words: ranked(self, words)[::-1])

@@ -1,13 +1,15 @@
 """Licence notices by conditional compression.
 
 Blocks of text that may hold a notice are compressed plainly and with every
-template as raw zstandard dictionary. The templates that make a block smallest
+template as raw zstandard dictionary. The templates that make a block smaller
 are its candidates; a candidate is confirmed by aligning its words with those of
-the block and listing every word that differs.
+the block and listing every word that differs. Words that name the licence, its
+variant or version must not differ.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -20,17 +22,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.common import short_batches
-from trolley.llm.license_templates import CUES, TEMPLATES
+from trolley.llm.license_templates import CUES, NAMING, QUALIFYING, TEMPLATES
 
 # One-line notices are sought in blocks of their own size: in long ones chance
 # would save as many bytes as they do.
 ONE_LINE = 200
 MIN_REDUCTION = 0.1
 MIN_WORDS = 0.85
+# Templates of fewer words are lines.
+SHORT = 20
 LEVEL = 9
 WORD = re.compile(r"\S+")
 STRIPPED = re.compile(r"^[\W_]+|[\W_]+$")
 CUE = re.compile("|".join(CUES))
+VERSION = re.compile(r"v?[0-9]{1,2}(\.[0-9]+)*(-clause)?")
+SPDX = "spdx-license-identifier"
 
 
 @dataclass
@@ -52,6 +58,28 @@ def words_of(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def naming_words(words: list[str]) -> set[int]:
+    """Places of the words of a template that tell its licence from others."""
+    if words[0] == SPDX:
+        return set(range(len(words)))
+    if len(words) < SHORT:
+        return {i for i, w in enumerate(words) if w in NAMING or VERSION.fullmatch(w)}
+    # In long ones most such words and numbers are ordinary text and numbers of clauses.
+    return {
+        i
+        for i, w in enumerate(words)
+        if w in ("lesser", "affero", "library", "gnu", "apache", "mozilla")
+        or i and words[i - 1] in ("version", "v") and VERSION.fullmatch(w)
+    }
+
+
+def least_words(words: list[str]) -> int:
+    """How many words of a template a notice must have: one in four of a line may differ, but one at least."""
+    if len(words) < SHORT:
+        return len(words) - max(1, len(words) // 4)
+    return math.ceil(MIN_WORDS * len(words))
+
+
 def blocks_of(text: str, reach: int) -> Iterator[tuple[int, int]]:
     """Stretches of text up to ``reach`` around cues.
 
@@ -86,6 +114,8 @@ class Matcher:
     def __init__(self, templates: list[tuple[str, str]]):
         self.reach = max(len(text) for _, text in templates) * 5 // 4
         self.templates = [(name, [w for w, _, _ in words_of(text)]) for name, text in templates]
+        self.naming = [naming_words(words) for _, words in self.templates]
+        self.least = [least_words(words) for _, words in self.templates]
         self.counts = [Counter(words) for _, words in self.templates]
         self.plain = zstandard.ZstdCompressor(level=LEVEL).compress
         # Templates and blocks are compared in one form: words, and single blanks.
@@ -119,13 +149,18 @@ class Matcher:
                 size, last = size + blocks[j].size, blocks[j].b + blocks[j].size
                 if best is None or size > best[0]:
                     best = (size, blocks[i].b, last)
-        if best is None or best[0] < MIN_WORDS * len(wanted):
+        if best is None or best[0] < self.least[number]:
             return None
         size, start, end = best
         changes = []
         for kind, a, b, c, d in SequenceMatcher(None, wanted, words[start:end], autojunk=False).get_opcodes():
             if kind != "equal":
-                changes += [f"-{w}" for w in wanted[a:b]] + [f"+{w}" for w in words[start:end][c:d]]
+                added = words[start:end][c:d]
+                if not self.naming[number].isdisjoint(range(a, b)) or not QUALIFYING.isdisjoint(added):
+                    return None
+                if len(wanted) < SHORT and any(VERSION.fullmatch(w) for w in added):
+                    return None
+                changes += [f"-{w}" for w in wanted[a:b]] + [f"+{w}" for w in added]
         return start, end, size, changes
 
     def _in_block(self, words: list[tuple[str, int, int]]) -> Iterator[Finding]:
@@ -134,7 +169,7 @@ class Matcher:
         for reduction, number in self.ranked(plain):
             # What words in any order rule out needs no alignment.
             common = (self.counts[number] & held).total()
-            if common < MIN_WORDS * len(self.templates[number][1]) or best is not None and common < best[0][0]:
+            if common < self.least[number] or best is not None and common < best[0][0]:
                 continue
             found = self._confirmed(plain, number)
             if found:

@@ -79,5 +79,58 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 ]
 
+# The other members of the families, and one-line forms of all.
+TEMPLATES += [
+    ("LGPL-2.1", GPL_NOTICE.format(name="Lesser General Public License", version="2.1")),
+    ("LGPL-2.0", GPL_NOTICE.format(name="Library General Public License", version="2")),
+    ("LGPL-2.0", "This work is licensed under the GNU Library General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("GPL-1.0", "This work is licensed under the GNU General Public License, version 1."),
+    ("Apache-1.0", "Licensed under the Apache License, Version 1.0."),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("MPL-1.0", "Licensed under the Mozilla Public License, Version 1.0."),
+    ("MPL-1.1", "Licensed under the Mozilla Public License, Version 1.1."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("Unlicense", "Released under the Unlicense."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+]
+CC_NAMES = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+CC_VERSIONS = {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
+for variant, name in CC_NAMES.items():
+    for version, kind in CC_VERSIONS.items():
+        if version < "4":
+            name = name.replace("NoDerivatives", "NoDerivs")
+        else:
+            name = CC_NAMES[variant]
+        for text in (
+            f"Licensed under CC {variant} {version}.",
+            f"This work is licensed under a Creative Commons {name} {version} {kind} License.",
+        ):
+            if (f"CC-{variant}-{version}", text) not in TEMPLATES:
+                TEMPLATES.append((f"CC-{variant}-{version}", text))
+for identifier in sorted({name for name, _ in TEMPLATES}):
+    TEMPLATES.append((identifier, f"SPDX-License-Identifier: {identifier}"))
+    if "GPL-" in identifier:
+        TEMPLATES += [(identifier, f"SPDX-License-Identifier: {identifier}-{which}") for which in ("only", "or-later")]
+
+# Words of templates that tell one licence from another, besides versions and SPDX tags.
+NAMING = {"apache", "mit", "bsd", "isc", "gnu", "general", "lesser", "library", "affero", "mozilla", "unlicense", "cc0"}
+NAMING |= {"cc", "creative", "commons", "public", "domain"} | {n.lower() for pair in CC_NAMES.items() for n in pair}
+NAMING |= {n.lower().replace("noderivatives", "noderivs") for n in CC_NAMES.values()}
+# Words that make another licence of a notice to which they are added.
+QUALIFYING = {"lesser", "affero", "documentation", "sa", "nc", "nd", "noncommercial", "non-commercial"}
+QUALIFYING |= {"sharealike", "share-alike", "noderivs", "noderivatives", "no-derivatives", "clear", "x11"}
+
 # Each template has one of these, whatever the case; text without any cannot hold a template.
 CUES = ("licen", "permission", "redistribut", "public domain", "warrant", "copyright")
