@@ -1,4 +1,4 @@
-"""Exact duplicates, found through an extendible-hash index on shared files.
+"""Exact duplicates by grouping, with the groups stored in an extendible-hash index on shared files.
 
 Two texts are equal when they are identical once white space is deleted. The
 index maps a hash of the normalised text to the distinct texts that have it:
@@ -9,6 +9,10 @@ index maps a hash of the normalised text to the distinct texts that have it:
   written by the task that owns its range of keys;
 * texts that share a hash are chained, told apart by comparing their bytes.
 
+The index decides no group: texts are compared and counted by grouping and by a
+window over hash collisions, and the groups found are then stored and read back
+by key.
+
 Only DataFrame functions are used. Copies are counted before they are shuffled,
 and rows look their group up in a join that adaptive execution can split, so a
 group may hold any part of the corpus.
