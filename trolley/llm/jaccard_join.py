@@ -1,11 +1,12 @@
-"""Near-duplicate documents by an LSH forest, verified exactly.
-
-Each document is the set of its word 5-grams. A forest holds one trie per tree
-of min-hash signatures; documents that share a long enough prefix in some tree
-are candidates. The matched prefix starts at the full depth and is shortened
-until a pair at the similarity threshold shares it in some tree with the target
-probability. Sorting by tree and prefix stands in for the tries: a shared prefix
-is a shared key.
+"""Near-duplicate documents by min-hash banding, verified exactly.
+
+Each document is the set of its word 5-grams. Documents that share the key of
+some band (here called a tree) of min-hashes are candidates. All bands have one
+length, the longest, up to a depth, that a pair at the similarity threshold
+shares in some band with the target probability. This is the length at which an
+LSH forest would stop for such a pair; there are no tries, and no prefix is
+shortened by what it has matched, as all pairs above the threshold are sought
+and not a number of nearest ones.
 
 Candidates are gathered into components, whose sets are then compared exactly,
 in square cells of bounded size: no pair is ever written, however large a group
