@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import bpe, exact_dedup, jaccard_join, language_id, license_scan, mixing, pii, top_k, toxicity, warc
+from trolley.llm import bpe, exact_dedup, fim, jaccard_join, language_id, license_scan, mixing, pii, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,43 @@ FROM chosen
 @query
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(table(spark, folder, "documents")).select("doc_id", *bpe.digests())
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    examples = fim.fill_in_middle(table(spark, folder, "documents"))
+    return examples.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *fim.digests())
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH tokens AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS parts,
+           sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+    FROM documents
+), drawn AS (
+    SELECT doc_id, text, parts, CAST(len(parts) AS BIGINT) AS n,
+           CAST('0x' || substr(digest, 1, 8) AS BIGINT) % (len(parts) + 1) AS cut1,
+           CAST('0x' || substr(digest, 9, 8) AS BIGINT) % (len(parts) + 1) AS cut2,
+           CAST('0x' || substr(digest, 17, 8) AS BIGINT) % 100 AS plain_draw,
+           CAST('0x' || substr(digest, 25, 8) AS BIGINT) % 100 AS order_draw
+    FROM tokens
+), cut AS (
+    SELECT doc_id, text, n,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR plain_draw >= 90 THEN 'plain'
+                WHEN order_draw < 20 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(parts[1 : least(cut1, cut2)], '') AS prefix,
+           array_to_string(parts[least(cut1, cut2) + 1 : greatest(cut1, cut2)], '') AS middle,
+           array_to_string(parts[greatest(cut1, cut2) + 1 : n], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
