@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import bpe, exact_dedup, fim, jaccard_join, language_id, license_scan, mixing, pii, top_k, toxicity, warc
+from trolley.llm import bpe, exact_dedup, fim, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -165,3 +165,74 @@ SELECT doc_id, n, form,
        sha256(text) AS restored_sha256
 FROM cut
 """
+
+
+@query
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
+def _quality_sql() -> str:
+    """The rules and cutoffs as SQL; policies are proven by the same binomial test."""
+    rejects = [
+        " OR ".join(f"100 * {part} > {quality_rules.CUTOFFS[rule][j]} * {whole}" for rule, (part, whole) in quality_rules.RULES.items())
+        for j in range(quality_rules.POLICIES)
+    ]
+    level = " ".join(f"WHEN {r} THEN {j + 1}" for j, r in enumerate(rejects))
+    risk, most = quality_rules.RISK, quality_rules.POLICIES
+    return rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(lang, 'und') AS stratum, coalesce(text, '') AS text FROM documents
+), worded AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+           [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+    FROM texts
+), windows AS (
+    SELECT r, i, array_to_string(words[i : i + 7], ' ') AS phrase
+    FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM worded)
+), again AS (
+    SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, phrase) > 1
+), covered AS (
+    SELECT r, count(*) AS n_repeat_words FROM (SELECT DISTINCT r, unnest(range(i, i + 8)) AS place FROM again) GROUP BY r
+), measured AS (
+    SELECT doc_id, stratum, md5(text) AS digest,
+           CAST(len(words) AS BIGINT) AS n_words,
+           CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+           len(lines) AS n_lines,
+           len(regexp_extract_all(text, '[A-Z]')) AS n_capitals,
+           len(regexp_extract_all(text, '[A-Za-z]')) AS n_letters,
+           len(regexp_extract_all(text, '[!?]')) AS n_marks
+    FROM worded LEFT JOIN covered USING (r)
+), levelled AS (
+    SELECT *, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed,
+           CASE {level} ELSE {most + 1} END AS level
+    FROM measured
+), good AS (
+    SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL
+    GROUP BY doc_id HAVING min(quality) = 1 AND max(quality) = 1
+), held AS (
+    SELECT DISTINCT stratum, digest, level FROM levelled JOIN good USING (doc_id)
+    WHERE NOT base_failed
+      AND CAST('0x' || substr(md5('{quality_rules.AUDIT_SEED}|' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % {quality_rules.AUDIT_SHARE} <> 0
+), counted AS (
+    SELECT stratum, j, count(*) AS n, count(*) FILTER (level <= j) AS k
+    FROM held, range(1, {most + 1}) AS p(j) GROUP BY stratum, j
+), tested AS (
+    SELECT stratum, j, k < {risk} * n AND
+           (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))
+            FROM range(0, k + 1) AS t(i)) <= {quality_rules.DELTA} / (SELECT count(DISTINCT stratum) FROM levelled) AS proven
+    FROM counted
+), chosen AS (
+    SELECT stratum, coalesce(min(j) FILTER (NOT proven) - 1, {most}) AS policy FROM tested GROUP BY stratum
+)
+SELECT doc_id, {", ".join(quality_rules.BASE)}, base_failed,
+       NOT base_failed AND level > coalesce(policy, 0) AS kept
+FROM levelled LEFT JOIN chosen USING (stratum)
+"""
+
+
+ORACLES["op12_quality_rules"] = _quality_sql()
