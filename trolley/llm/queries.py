@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import bpe, exact_dedup, fim, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, top_k, toxicity, warc
+from trolley.llm import bpe, exact_dedup, fim, jaccard_join, language_id, license_scan, mixing, phrases, pii, quality_rules, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -236,3 +236,53 @@ FROM levelled LEFT JOIN chosen USING (stratum)
 
 
 ORACLES["op12_quality_rules"] = _quality_sql()
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS piece, lang, regexp_extract_all(part, '[^\x20\x09]+') AS words
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS part
+        FROM documents
+    )
+), places AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+), counts AS (
+    SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase, CAST(count(*) AS BIGINT) AS f
+    FROM places, (VALUES (1), (2), (3)) AS s(size)
+    WHERE i + size - 1 <= len(words)
+    GROUP BY ALL
+), sizes AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS parts FROM counts WHERE size > 1 AND f >= 10
+), longer AS (
+    SELECT lang, phrase, max(a) AS most
+    FROM (SELECT lang, a, unnest([array_to_string(parts[1:2], ' '), array_to_string(parts[2:3], ' ')]) AS phrase
+          FROM candidates WHERE size = 3)
+    GROUP BY ALL
+), cuts AS (
+    SELECT c.lang, c.phrase, a, k, h.f AS l, t.f AS r,
+           CAST(1000000 AS HUGEINT) * a * a // (CAST(h.f AS HUGEINT) * t.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN counts h ON h.lang = c.lang AND h.phrase = array_to_string(c.parts[1:k], ' ')
+    JOIN counts t ON t.lang = c.lang AND t.phrase = array_to_string(c.parts[k + 1 : c.size], ' ')
+    LEFT JOIN longer o ON o.lang = c.lang AND o.phrase = c.phrase
+    WHERE coalesce(100 * o.most < 50 * a, TRUE)
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang)
+WHERE rank <= 2000
+"""
