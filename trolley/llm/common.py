@@ -99,10 +99,10 @@ def key_filter(keys: DataFrame, column: str) -> Broadcast:
     words = (
         bits.groupBy(F.expr("bit div 64").alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    table[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
     return keys.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
 
@@ -143,3 +143,33 @@ def passing_items(shared: Broadcast):
             yield pd.Series([items[a:b] for a, b in zip(ends[:-1], ends[1:])])
 
     return passed
+
+
+# Rows of a mask: 16 MB of slots and bits, whatever the number of keys.
+MASK_SLOTS = 1 << 20
+
+
+def _place(key: Column) -> tuple[Column, Column]:
+    """The slot of a key and its bit there."""
+    hashed = F.xxhash64(key)
+    bit = F.pmod(F.shiftrightunsigned(hashed, 32), F.lit(64)).cast("int")
+    return F.pmod(hashed, F.lit(MASK_SLOTS)), F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+
+
+def key_mask(keys: DataFrame, column: str) -> DataFrame:
+    """(slot, mask): a filter as a table of at most ``MASK_SLOTS`` rows, for ``maybe_among``."""
+    slot, bit = _place(F.col(column))
+    return keys.select(slot.alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("mask"))
+
+
+def maybe_among(df: DataFrame, key: Column, mask: DataFrame, name: str) -> DataFrame:
+    """``df`` with the boolean ``name``: true for every row whose key is in the mask, and by chance for others.
+
+    Only column functions, and no row is moved: the mask is broadcast, which its
+    number of rows allows.
+    """
+    slot, bits = new_names(df, "slot", "mask")
+    at, bit = _place(key)
+    held = F.broadcast(mask.select(F.col("slot").alias(slot), F.col("mask").alias(bits)))
+    joined = df.join(held, at == F.col(slot), "left")
+    return joined.withColumn(name, F.coalesce(F.col(bits).bitwiseAND(bit), F.lit(0)) != 0).drop(slot, bits)
