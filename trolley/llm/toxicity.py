@@ -1,12 +1,14 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled text. Both end with the same
-content, learned by zstandard's own trainer from ordinary text; before it, one
-holds passages typical of toxic text and the other as many bytes typical of
-ordinary text. A window that compresses shorter with the toxic dictionary uses
-toxic wording; all else in the two results is equal, so the difference is not
-blurred by chance. How many bytes a document saves is turned into a probability
-by a logistic fit on labelled documents that the dictionaries have not seen.
+Two zstandard dictionaries are made from labelled text. Both begin with the same
+content, learned by zstandard's own trainer from ordinary text; after it, nearest
+to the window and so cheapest to refer to, one holds passages typical of toxic
+text and the other as many bytes typical of ordinary text. A window that compresses
+shorter with the toxic dictionary uses toxic wording; all else in the two results
+is equal, so the difference is not blurred by chance. What a document saves is
+turned into a probability by a logistic fit on labelled documents that the
+dictionaries have not seen, and the same documents give the score from which on
+a given share of ordinary ones is rejected.
 """
 
 from __future__ import annotations
@@ -37,6 +39,12 @@ BASE_BYTES = 8192
 SIDE_BYTES = 6144
 LEVEL = 9
 REJECT_AT = 0.7
+# Passages in a smaller part of the toxic pieces cost more than they tell: every
+# byte of the dictionary moves the others away.
+LEAST_SHARE = 0.02
+# Of the ordinary documents of the calibration, so many are rejected by ``without_toxic``.
+FALSE_ALARMS = 0.005
+CLEAR_SAVING = 4
 
 
 @dataclass
@@ -51,6 +59,7 @@ class Dictionaries:
 class Model:
     dictionaries: Dictionaries | None
     weights: list[float]  # of the features; the constant comes last
+    cutoff: float = REJECT_AT  # the score that ``FALSE_ALARMS`` of ordinary documents reach
 
 
 def windows_of(data: bytes, size: int, overlap: int = 0) -> list[bytes]:
@@ -82,7 +91,7 @@ def typical_passages(own: list[bytes], other: list[bytes], size: int, ratio: flo
     """
     grams, counts = _gram_counts(own)
     other_grams, other_counts = _gram_counts(other)
-    enough = counts >= max(3, 0.01 * len(own))
+    enough = counts >= max(3, LEAST_SHARE * len(own))
     grams, counts = grams[enough], counts[enough]
     at = np.searchsorted(other_grams, grams)
     there = np.zeros(len(grams))
@@ -112,7 +121,7 @@ def typical_passages(own: list[bytes], other: list[bytes], size: int, ratio: flo
                 used.add(best)
                 passage = best[:1] + passage if before else passage + best[-1:]
         if length + len(passage) > size:
-            break
+            continue  # a shorter one may fit
         passages.append(passage)
         length += len(passage)
     return b"".join(reversed(passages))
@@ -131,7 +140,7 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> Dictionarie
         base = zstandard.train_dictionary(BASE_BYTES, samples, level=3).as_bytes()
     except zstandard.ZstdError:  # too few samples for the trainer
         base = b"".join(samples)[-BASE_BYTES:]
-    return Dictionaries(special + base, usual + base)
+    return Dictionaries(base + special, base + usual)
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -149,30 +158,39 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=raw, compression_params=options)
 
 
+MEASURES = ("saved", "most", "some", "clear", "length")
+
+
 def savings(dictionaries: Dictionaries | None):
-    """A function of texts: bytes saved in all windows, the most in one, and the length of each text."""
+    """A function of texts: the measures of each.
+
+    They are the bytes saved in all windows, the most in one, the windows that save
+    some and much, and the length.
+    """
     if dictionaries is not None:
         toxic, ordinary = compressor(dictionaries.toxic).compress, compressor(dictionaries.ordinary).compress
 
-    def measure(texts: pd.Series) -> tuple[list[int], list[int], list[int]]:
-        saved, most, length = [], [], []
+    def measure(texts) -> list[tuple[int, int, int, int, int]]:
+        rows = []
         for text in texts:
             data = (text or "").encode("utf-8", "surrogatepass")
             gains = [0]
             if dictionaries is not None and data:
                 gains = [len(ordinary(w)) - len(toxic(w)) for w in windows_of(data, WINDOW, OVERLAP)]
-            saved.append(sum(g for g in gains if g > 0))
-            most.append(max(gains))
-            length.append(len(data))
-        return saved, most, length
+            some, clear = sum(g >= CLEAR_SAVING // 2 for g in gains), sum(g >= CLEAR_SAVING for g in gains)
+            rows.append((sum(g for g in gains if g > 0), max(gains), some, clear, len(data)))
+        return rows
 
     return measure
 
 
-def _features(saved, most, length) -> np.ndarray:
-    saved, most, length = (np.asarray(x, dtype=float) for x in (saved, most, length))
+def _features(rows) -> np.ndarray:
+    saved, most, some, clear, length = np.asarray(rows, dtype=float).reshape(-1, len(MEASURES)).T
     rate = 1000.0 * saved / (length + WINDOW)
-    return np.stack([np.log1p(saved), np.minimum(rate, 40.0), np.clip(most, 0, 12), np.log1p(length)], axis=1)
+    return np.stack(
+        [np.log1p(saved), np.minimum(rate, 40.0), np.clip(most, 0, 12), np.log1p(some), np.log1p(clear), np.log1p(length)],
+        axis=1,
+    )
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 50) -> list[float]:
@@ -218,7 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Of labels that repeat a document, the highest counts; null labels and labels
     without a document are passed over. Documents are sampled by a digest of
     their id, so the sampled ids, at most ``2 * FIT_DOCUMENTS +
-    CALIBRATION_DOCUMENTS`` of them, can be broadcast.
+    CALIBRATION_DOCUMENTS`` of them, can be broadcast. Where documents repeat an
+    id, the bound holds for the documents.
     """
     short_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").alias("_label_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -234,7 +253,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def sampled(part: DataFrame, bound: int) -> DataFrame:
         chosen = part.orderBy("_order", "_label_id").limit(bound).select("_label_id", "toxic")
-        return texts.join(F.broadcast(chosen), F.col("_label_id") == F.col("doc_id")).select("toxic", "text")
+        found = texts.join(F.broadcast(chosen), F.col("_label_id") == F.col("doc_id"))
+        # Ids may repeat, so the rows are bounded again.
+        order = [F.md5(F.col("_label_id").cast("string")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))]
+        return found.select("toxic", "text").orderBy(*order).limit(bound)
 
     in_fit = _for_dictionaries(F.col("_label_id"))
     sample = {}
@@ -250,32 +272,41 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         measure = savings(dictionaries)
         for frame in frames:
-            saved, most, length = measure(frame["text"])
-            yield pd.DataFrame({"toxic": frame["toxic"], "saved": saved, "most": most, "length": length})
+            yield pd.DataFrame(measure(frame["text"]), columns=list(MEASURES)).assign(toxic=frame["toxic"].to_numpy())
 
+    kinds = ", ".join(f"{name} long" for name in MEASURES)
     seen = (
+        # Spread again: what has been bounded lies in one part.
         sampled(known.filter(~in_fit), CALIBRATION_DOCUMENTS)
-        .mapInPandas(measured, "toxic int, saved long, most long, length long")
+        .repartition(docs.sparkSession.sparkContext.defaultParallelism)
+        .mapInPandas(measured, f"{kinds}, toxic int")
         .toPandas()
-        .sort_values(["toxic", "saved", "most", "length"])
+        .sort_values(["toxic", *MEASURES])
     )
     y = seen["toxic"].to_numpy(dtype=float)
     if len(y) == 0 or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 10.0)
-        return Model(dictionaries, [0.0] * 4 + [float(np.log(share / (1 - share)))])
-    return Model(dictionaries, fit_logistic(_features(seen["saved"], seen["most"], seen["length"]), y))
+        return Model(dictionaries, [0.0] * 6 + [float(np.log(share / (1 - share)))])
+    features = _features(seen[list(MEASURES)].to_numpy())
+    weights = fit_logistic(features, y)
+    ordinary = np.sort(_scores(features, weights)[y == 0])
+    # The least score that no more than the given share of ordinary documents reach.
+    reached = ordinary[-int(FALSE_ALARMS * len(ordinary)) - 1]
+    return Model(dictionaries, weights, float(np.nextafter(reached, 1)))
+
+
+def _scores(features: np.ndarray, weights: list[float]) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(features @ np.array(weights[:-1]) + weights[-1], -30, 30)))
 
 
 def score_of(model: Model):
     """The column function that gives texts their scores."""
-    weights = np.array(model.weights)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         measure = savings(model.dictionaries)
         for texts in batches:
-            features = _features(*measure(texts))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(features @ weights[:-1] + weights[-1], -30, 30))))
+            yield pd.Series(_scores(_features(measure(texts)), model.weights))
         release_memory()
 
     return score
@@ -299,7 +330,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, reject_at: float = REJECT_AT) -
     ).withColumn("predicted", (F.col("score") >= reject_at).cast("int"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, reject_at: float = REJECT_AT) -> DataFrame:
-    """``docs`` without the rows that ``toxicity`` predicts as toxic, all columns unchanged."""
-    score = score_of(fit(docs, labels))
-    return docs.filter(score(F.col("text")) < reject_at)
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose score reaches the model's calibrated cutoff, all columns unchanged."""
+    model = fit(docs, labels)
+    return docs.filter(score_of(model)(F.col("text")) < model.cutoff)
