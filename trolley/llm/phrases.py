@@ -7,8 +7,8 @@ corpus is dealt out to them:
 1. words are counted per language; only words that reach the support can be part
    of a phrase that does;
 2. every shard is mined completely at the lowered local support. A shard is a fixed
-   share of the input partitions, and its counts are summed by key over all tasks, so
-   no task holds a shard;
+   share of the input partitions. Tasks send hashes of the phrases they met, sorted and
+   packed by range, and one task mines one range of a shard, so no task holds a shard;
 3. the locally frequent phrases of all shards are united, and all of them counted
    exactly over the whole corpus.
 
@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trolley.llm.common import key_filter, mixed, passing, release_memory, short_batches
-from trolley.sources.storage import settled
+from trolley.sources.storage import parts_for, settled
 
 SUPPORT = 10
 SHARDS = 5
@@ -42,9 +42,11 @@ INSIDE = 50  # of 100: a phrase this often inside one longer phrase is dropped
 REPORTED = 2000
 SALTS = 64
 
-WINDOW_TOKENS = 2_000_000
+WINDOW_TOKENS = 1_200_000
 MOST_NUMBERS = 1 << 21  # the numbers of three words fit in 63 bits
 PART_BYTES = 1 << 19
+# Bytes of input behind one range of all shards; the phrases of a range take some twice that.
+RANGE_BYTES = 8 << 20
 _BITS = np.int64(21)
 
 _breaks = b".,;:!?\n\x0b\x0c\r"
@@ -172,22 +174,41 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _local_counts(frequent: Broadcast, shards: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _local_codes(frequent: Broadcast, shards: int, ranges: int, least: int):
+    """The phrases of each window as sorted codes, cut into ``ranges`` ranges, each code as often as it counts, up to ``least``."""
+    edges = np.array([(i << 64) // ranges for i in range(1, ranges)], dtype=np.uint64)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
         for window in _windows(batches):
-            codes = window.codes()
+            codes, found = window.codes(), [np.zeros(0, dtype=np.uint64)]
             for lang, tokens in window.tokens.items():
                 allowed, tokens = _allowed(lang, frequent, codes), np.array(tokens, dtype=np.int64)
                 for n in range(2, MOST_WORDS + 1):
                     words, counts = _counted(tokens, allowed, n, window.carried.get(lang, 0))
-                    code = _phrase_codes([codes[w] for w in words], _lang_code(lang)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(code), shard, dtype=np.int32)), pa.array(code), pa.array(counts, pa.int64())],
-                        ["shard", "code", "f"],
-                    )
+                    found.append(np.repeat(_phrase_codes([codes[w] for w in words], _lang_code(lang)), np.minimum(counts, least)))
+            every = np.sort(np.concatenate(found))
+            cuts = [0, *np.searchsorted(every, edges).tolist(), len(every)]
+            some = [i for i in range(ranges) if cuts[i] < cuts[i + 1]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(some), shard, dtype=np.int32)),
+                    pa.array(np.array(some, dtype=np.int32)),
+                    pa.array([every[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary()),
+                ],
+                ["shard", "range", "codes"],
+            )
+
+    return send
 
-    return count
+
+def _locally_frequent(least: int):
+    def mine(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(c, dtype=np.uint64) for c in table["codes"].to_pylist()]
+        codes, counts = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.table({"code": codes[counts >= least].view(np.int64)})
+
+    return mine
 
 
 def _global_counts(frequent: Broadcast, candidates: Broadcast):
@@ -229,13 +250,15 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, shards: int = SHAR
         "phrase-words",
     )
     frequent = key_filter(words.filter(F.col("f") >= support), "code")
+    least = -(-support // shards)
+    # A task that mines holds one range of one shard.
+    ranges = max(2, parts_for(docs, RANGE_BYTES) // shards)
     local = (
-        texts.mapInArrow(_local_counts(frequent, shards), "shard int, code long, f long")
-        .groupBy("shard", "code")
-        .agg(F.sum("f").alias("f"))
-        .filter(F.col("f") >= -(-support // shards))
+        texts.mapInArrow(_local_codes(frequent, shards, ranges, least), "shard int, range int, codes binary")
+        .groupBy("shard", "range")
+        .applyInArrow(_locally_frequent(least), "code long")
     )
-    candidates = key_filter(settled(local.select("code").distinct(), "phrase-candidates"), "code")
+    candidates = key_filter(local, "code")
     counted = settled(
         texts.mapInArrow(_global_counts(frequent, candidates), "lang string, phrase binary, f long")
         .groupBy("lang", F.col("phrase").cast("string").alias("phrase"))
