@@ -212,6 +212,17 @@ def settled(df: DataFrame, label: str, spread_by: str | None = None) -> DataFram
     return load_parquet(df.sparkSession, path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``settled`` has stored and nothing will read again.
+
+    Without this they lie in the shared folder until it is cleared.
+    """
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            delete(table.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a Parquet table lies at ``path`` whose writing came to its end."""
     system, at = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
