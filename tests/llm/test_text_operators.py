@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from brute import odd_documents, personal_spans
 from pyspark.sql import functions as F
 
@@ -198,14 +199,18 @@ def test_toxicity_on_held_out_documents(spark):
     clean = [r["predicted"] for r in found if not truth[r["doc_id"]]]
     assert sum(caught) >= 0.9 * len(caught) and sum(clean) <= 0.02 * len(clean)
     left = toxicity.without_toxic(docs, labels)
-    predicted = {r["doc_id"] for r in toxicity.toxicity(docs, labels).filter("predicted = 0").collect()}
-    assert {r["doc_id"] for r in left.collect()} == predicted
+    cutoff = toxicity.fit(docs, labels).cutoff
+    kept = {r["doc_id"] for r in left.collect()}
+    assert kept == {r["doc_id"] for r in toxicity.toxicity(docs, labels).filter(F.col("score") < cutoff).collect()}
+    # No more ordinary documents go than the calibration allows, with room for chance.
+    assert sum(not truth[i] and i not in kept for i in truth) <= 0.02 * len(truth)
 
 
 def test_equal_windows_save_nothing():
     model = toxicity.train_dictionaries([b"you utter nincompoop, go away " * 3] * 20, [b"the weather is mild and the sea is calm " * 3] * 20)
     assert len(model.toxic) == len(model.ordinary)
-    saved, _, _ = toxicity.savings(model)(toxicity.pd.Series(["the sea is calm", "", None, "an utter nincompoop, go away"]))
+    rows = toxicity.savings(model)(["the sea is calm", "", None, "an utter nincompoop, go away"])
+    saved = [row[0] for row in rows]
     assert saved[:3] == [0, 0, 0] and saved[3] > 0
 
 
@@ -228,3 +233,34 @@ def test_digest_of_base_spans(spark):
         kinds = collections.Counter(s.split(":")[0] for s in spans.split(",") if s)
         assert r["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest()
         assert [r[f"n_{k}"] for k in pii.KINDS] == [kinds[k] for k in pii.KINDS]
+
+
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("SPDX-License-Identifier: Apache-2.0 OR MIT", ["Apache-2.0 OR MIT"]),
+        ("/* SPDX-License-Identifier: (MIT and BSD-3-Clause) */", ["(MIT AND BSD-3-Clause)"]),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\nmore", ["GPL-2.0-only WITH Classpath-exception-2.0"]),
+        ("SPDX-License-Identifier: MIT", ["MIT"]),
+        ("SPDX-License-Identifier: MIT OR", ["MIT"]),
+    ],
+)
+def test_spdx_expressions_are_found_whole(text, wanted):
+    found = license_scan.Scanner().scan(text)
+    assert [f.license for f in found] == wanted
+    assert all(text[f.start : f.end].startswith("SPDX") for f in found if " " in f.license)
+
+
+def test_language_sample_stays_bounded_under_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE", 60)
+    seen = []
+    monkeypatch.setattr(language_id, "_train", lambda sample, classes: seen.append(sample.count()) or language_id_zero(classes))
+    docs = spark.range(3000).selectExpr("2L AS doc_id", "concat('some text ', id) AS text", "IF(id % 2 = 0, 'aa', 'bb') AS lang")
+    language_id.fit(docs)
+    assert seen == [60]
+
+
+def language_id_zero(classes):
+    import numpy as np
+
+    return np.zeros((language_id.BUCKETS, classes)), np.zeros(classes)

@@ -1,21 +1,20 @@
-"""Exact duplicates by grouping, with the groups stored in an extendible-hash index on shared files.
+"""Exact duplicates by an extendible-hash index on shared files.
 
 Two texts are equal when they are identical once white space is deleted. The
 index maps a hash of the normalised text to the distinct texts that have it:
 
 * a directory of hash prefixes is doubled wherever a bucket holds more keys than
   its capacity, so buckets stay even and keep their sizes as the corpus grows;
-* the buckets are stored in key order as files in the shared folder, each
-  written by the task that owns its range of keys;
-* texts that share a hash are chained, told apart by comparing their bytes.
-
-The index decides no group: texts are compared and counted by grouping and by a
-window over hash collisions, and the groups found are then stored and read back
-by key.
-
-Only DataFrame functions are used. Copies are counted before they are shuffled,
-and rows look their group up in a join that adaptive execution can split, so a
-group may hold any part of the corpus.
+* entries are dealt out to owner tasks by ranges of keys. The owner of a range
+  chains the different texts of one key and stores its buckets in key order as a
+  file in the shared folder;
+* every row then looks its entry up by key and finds its place in the chain.
+
+Bytes are compared where a key occurs more than once; such rows are told from the
+others by a filter of fixed size, so all other texts stay where they are.
+Equal texts are counted before they are sent to the owner, and rows look entries up
+in a join that adaptive execution can split, so a group may hold any part of the
+corpus. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -26,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trolley.llm.common import new_names
-from trolley.sources.storage import new_shared_folder, settled
+from trolley.llm.common import key_mask, maybe_among, new_names
+from trolley.sources.storage import discard, new_shared_folder, settled
 
 HASH_BITS = 64
 BUCKET_KEYS = 100_000
@@ -99,31 +98,65 @@ def with_bucket(entries: DataFrame, directory: DataFrame) -> DataFrame:
     return entries.withColumn("_slot", _prefix(deepest)).join(slots, "_slot").drop("_slot")
 
 
-def build_index(entries: DataFrame, keys: DataFrame, capacity: int = BUCKET_KEYS, hash_bits: int = HASH_BITS) -> DataFrame:
-    """Store ``entries`` (one row per text: _key, _link and facts) by bucket and read them from there.
+def build_index(
+    entries: DataFrame, keys: DataFrame, capacity: int = BUCKET_KEYS, hash_bits: int = HASH_BITS
+) -> DataFrame:
+    """Store ``entries`` (one row per distinct text) by bucket and read them from there.
 
-    Each file holds a range of buckets in key order. The texts of one key form a
-    chain, numbered by ``_link``.
+    Owner tasks get ranges of buckets and keys and number the chain of texts of each
+    key (``_link``) in the order of ``_norm``; the texts themselves are not stored.
     """
     spark = entries.sparkSession
     path = new_shared_folder(spark, "dedup-index")
+    chain = W.partitionBy("bucket", "_key").orderBy("_norm")
     (
         with_bucket(entries, build_directory(keys, capacity, hash_bits))
         .repartitionByRange("bucket", "_key")
+        .withColumn("_link", F.row_number().over(chain))
+        .drop("_norm")
         .sortWithinPartitions("bucket", "_key", "_link")
         .write.parquet(path)
     )
     return spark.read.parquet(path)
 
 
-def _facts(hash_bits: int) -> list[Column]:
+def _looked_up(docs: DataFrame, capacity: int, hash_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, mask): every row with its key, digest and entry; the filter of keys that occur more than once."""
     norm = normalised(F.col("text"))
-    return [
+    row_facts = [
         F.col("doc_id").alias("doc_id"),
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("_points"),
         text_key(norm, hash_bits).alias("_key"),
-        F.sha2(norm.cast("binary"), 256).alias("text_sha256"),
     ]
+    sha = F.sha2(norm.cast("binary"), 256)
+    best = F.min(F.struct(-F.col("_points"), F.col("doc_id").isNull(), F.col("doc_id"))).alias("_best")
+    rows = settled(docs.select(*row_facts, sha.alias("text_sha256")), "dedup-rows")
+    keys = settled(
+        rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), best, F.min("text_sha256").alias("_sha")), "dedup-keys"
+    )
+    repeated = keys.filter("_n > 1").select("_key")
+    mask = settled(key_mask(repeated, "_key"), "dedup-mask")
+
+    # A key of one row is an entry as it is. The texts of the others are compared.
+    single = keys.filter("_n = 1").select("_key", F.lit(None).cast("string").alias("_norm"), "_sha", "_best", "_n")
+    compared = (
+        maybe_among(docs.select(*row_facts, norm.alias("_norm")), F.col("_key"), mask, "_maybe")
+        .filter("_maybe")
+        .join(repeated, "_key", "left_semi")
+        .groupBy("_key", "_norm")
+        .agg(best, F.count(F.lit(1)).alias("_n"))
+        .select("_key", "_norm", F.sha2(F.col("_norm").cast("binary"), 256).alias("_sha"), "_best", "_n")
+    )
+    index = build_index(single.unionByName(compared), keys, capacity, hash_bits)
+    discard(keys)
+    entries = index.select(
+        F.col("_key").alias("_index_key"),
+        F.col("_sha").alias("_index_sha"),
+        F.col("_best.doc_id").alias("keep_id"),
+        F.col("_n").alias("group_size"),
+    )
+    same = (F.col("_key") == F.col("_index_key")) & (F.col("text_sha256") == F.col("_index_sha"))
+    return rows.join(entries, same, "left"), mask
 
 
 def exact_duplicates(docs: DataFrame, capacity: int = BUCKET_KEYS, hash_bits: int = HASH_BITS) -> DataFrame:
@@ -137,44 +170,8 @@ def exact_duplicates(docs: DataFrame, capacity: int = BUCKET_KEYS, hash_bits: in
     (``drop_exact_duplicates`` leaves one). An empty table gives no rows. Other
     columns are ignored.
     """
-    norm = normalised(F.col("text"))
-    texts = docs.select(text_key(norm, hash_bits).alias("_key"), norm.alias("_norm"))
-    # Grouping by the text itself compares bytes: equal hashes alone make no copies.
-    keys = settled(
-        texts.distinct().groupBy("_key").agg((F.count(F.lit(1)) > 1).alias("_several")), "dedup-keys"
-    )
-    chained = keys.filter("_several").select("_key")
-    if chained.isEmpty():
-        rows = settled(docs.select(*_facts(hash_bits), F.lit(0).cast("long").alias("_link")), "dedup-rows")
-    else:
-        # Different texts with one hash: number the chain in byte order and find
-        # each row's place in it by comparing texts.
-        links = settled(
-            texts.join(chained, "_key", "left_semi")
-            .distinct()
-            .withColumn("_link", F.row_number().over(W.partitionBy("_key").orderBy("_norm")).cast("long")),
-            "dedup-links",
-        )
-        linked = docs.select(*_facts(hash_bits), norm.alias("_norm")).join(links, ["_key", "_norm"], "left")
-        rows = settled(
-            linked.select(
-                "doc_id", "_points", "_key", "text_sha256", F.coalesce("_link", F.lit(0).cast("long")).alias("_link")
-            ),
-            "dedup-rows",
-        )
-
-    best = F.min(F.struct(-F.col("_points"), F.col("doc_id").isNull(), F.col("doc_id")))
-    groups = settled(
-        rows.groupBy("_key", "_link")
-        .agg(best.alias("_best"), F.count(F.lit(1)).alias("group_size"))
-        .select("_key", "_link", F.col("_best.doc_id").alias("keep_id"), "group_size"),
-        "dedup-groups",
-    )
-    index = build_index(groups, keys, capacity, hash_bits).select(
-        F.col("_key").alias("_index_key"), F.col("_link").alias("_index_link"), "keep_id", "group_size"
-    )
-    same = (F.col("_key") == F.col("_index_key")) & (F.col("_link") == F.col("_index_link"))
-    return rows.join(index, same, "left").select(
+    rows, _ = _looked_up(docs, capacity, hash_bits)
+    return rows.select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -183,20 +180,27 @@ def exact_duplicates(docs: DataFrame, capacity: int = BUCKET_KEYS, hash_bits: in
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row left of each group of equal texts, all columns unchanged."""
-    kept_id, kept_sha, repeated = new_names(docs, "kept_id", "kept_sha", "repeated")
+def drop_exact_duplicates(docs: DataFrame, capacity: int = BUCKET_KEYS, hash_bits: int = HASH_BITS) -> DataFrame:
+    """``docs`` with one row left of each group of equal texts, all columns unchanged.
+
+    Rows whose key occurs once are passed on where they lie; only the others are joined.
+    """
+    key, maybe, kept_id, kept_sha, copies = new_names(docs, "key", "maybe", "kept_id", "kept_sha", "copies")
+    rows, mask = _looked_up(docs, capacity, hash_bits)
+    norm = normalised(F.col("text"))
+    marked = maybe_among(docs.withColumn(key, text_key(norm, hash_bits)), F.col(key), mask, maybe)
     kept = settled(
-        exact_duplicates(docs, **options)
-        .filter("kept")
+        maybe_among(rows.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))), F.col("_key"), mask, "_maybe")
+        .filter("_maybe")
         .groupBy(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
-        .agg((F.count(F.lit(1)) > 1).alias(repeated)),
+        .agg(F.count(F.lit(1)).alias(copies)),
         "dedup-kept",
     )
-    sha = F.sha2(normalised(F.col("text")).cast("binary"), 256)
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (sha == F.col(kept_sha)))
-    if kept.filter(F.col(repeated)).isEmpty():
-        return left.select(*docs.columns)
-    once = left.filter(~F.col(repeated)).select(*docs.columns)
-    again = left.filter(F.col(repeated)).dropDuplicates([kept_id, kept_sha]).select(*docs.columns)
-    return once.unionByName(again)
+    sha = F.sha2(norm.cast("binary"), 256)
+    alone = marked.filter(~F.col(maybe)).select(*docs.columns)
+    left = marked.filter(maybe).join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (sha == F.col(kept_sha)))
+    once = left.filter(F.col(copies) == 1).select(*docs.columns)
+    if kept.filter(F.col(copies) > 1).isEmpty():
+        return alone.unionByName(once)
+    again = left.filter(F.col(copies) > 1).dropDuplicates([kept_id, kept_sha]).select(*docs.columns)
+    return alone.unionByName(once).unionByName(again)

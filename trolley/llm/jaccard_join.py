@@ -23,15 +23,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import WordCodes, key_filter, mixed, new_names, passes, passing_items, release_memory, short_batches
-from trolley.sources.storage import settled
+from trolley.llm.common import (
+    WordCodes,
+    key_filter,
+    key_mask,
+    maybe_among,
+    mixed,
+    new_names,
+    passes,
+    passing_items,
+    release_memory,
+    short_batches,
+)
+from trolley.sources.storage import discard, settled
 
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES = 40
 DEPTH = 10
 TARGET_RECALL = 0.9999
-BLOCK = 64
+BLOCK = 256
+BLOCK_SHINGLES = 1 << 19  # 4 MB of hashes
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -99,14 +111,14 @@ def _signatures(trees: int, length: int):
                 if len(shingles):
                     digest = set_digest(shingles)
                     head = int.from_bytes(digest[:8], "big", signed=True)
-                    rows.append((digest, head, prefix_keys(shingles, functions, trees, length)))
+                    rows.append((digest, head, len(shingles), prefix_keys(shingles, functions, trees, length)))
                 else:
-                    rows.append((None, None, None))
-            yield pd.DataFrame(rows, columns=["digest", "head", "keys"]).astype({"head": "Int64"})
+                    rows.append((None, None, None, None))
+            yield pd.DataFrame(rows, columns=["digest", "head", "size", "keys"]).astype({"head": "Int64", "size": "Int64"})
         hashes.clear()
         release_memory()
 
-    return F.pandas_udf(sign, "digest binary, head long, keys array<long>")
+    return F.pandas_udf(sign, "digest binary, head long, size long, keys array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -138,8 +150,10 @@ def components(edges: DataFrame) -> DataFrame:
             ),
             "jumped-labels",
         )
-        labels = jumped.select("node", "label")
+        discard(labels, near, moved)
+        labels = jumped
         if jumped.filter("changed").isEmpty():
+            discard(edges)
             return labels.select("node", F.col("label").alias("component"))
 
 
@@ -255,22 +269,28 @@ def jaccard_join(
         .select("head", "centres", F.array_min("centres").alias("least")),
         "centres",
     )
+    # What follows needs the ids and digests only.
+    ids = settled(signed.select("doc_id", "digest", "head", "size"), "ids")
+    discard(signed, buckets)
     spokes = centres.select(F.col("head").alias("a"), F.col("least").alias("b")).union(
         centres.select(F.explode("centres"), "least").distinct()
     )
     gathered = components(spokes)
+    discard(centres)
 
     # The sets of candidates, one row per class of equal sets.
     classes = settled(
-        signed.filter("head IS NOT NULL")
-        .groupBy("digest", "head")
+        ids.filter("head IS NOT NULL")
+        .groupBy("digest", "head", "size")
         .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("rows")),
         "set-classes",
     )
     members = settled(classes.join(gathered, classes["head"] == gathered["node"]).drop("node", "head"), "members")
-    sets = settled(_sets_of(docs, members, trees, length), "candidate-sets")
+    repeated = not ids.filter("head IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
+    sets = settled(_sets_of(docs, members, trees, length, repeated), "candidate-sets")
+    by_count, by_size = F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("size") / BLOCK_SHINGLES)
     sizes = settled(
-        members.groupBy(F.col("component").alias("whole")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")),
+        members.groupBy(F.col("component").alias("whole")).agg(F.greatest(by_count, by_size).cast("int").alias("blocks")),
         "component-sizes",
     )
     cells = (
@@ -294,6 +314,7 @@ def jaccard_join(
         ),
         "links",
     )
+    discard(sets, sizes, members)
     joined = components(links.select(F.col("digest").alias("a"), F.col("label").alias("b")))
     counted = links.groupBy("digest").agg(F.sum("links").alias("links"))
     facts = settled(
@@ -316,8 +337,9 @@ def jaccard_join(
         ),
         "class-names",
     )
+    discard(classes, links, facts, firsts)
     known = F.col("of").isNotNull()
-    return signed.join(named, signed["digest"] == named["of"], "left").select(
+    return ids.join(named, ids["digest"] == named["of"], "left").select(
         "doc_id",
         F.when(known, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
@@ -325,8 +347,11 @@ def jaccard_join(
     )
 
 
-def _sets_of(docs: DataFrame, members: DataFrame, trees: int, length: int) -> DataFrame:
-    """Shingles and keys of one document of each member class, made again from its text."""
+def _sets_of(docs: DataFrame, members: DataFrame, trees: int, length: int, repeated: bool) -> DataFrame:
+    """Shingles and keys of one document of each member class, made again from its text.
+
+    Only where ids are ``repeated`` may a class come up more than once.
+    """
     functions = _hash_functions(trees * length)
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -353,7 +378,7 @@ def _sets_of(docs: DataFrame, members: DataFrame, trees: int, length: int) -> Da
         "text", "digest", "component", "rows"
     )
     made = chosen.mapInPandas(make, "component long, digest binary, rows long, keys array<long>, shingles binary")
-    return made.dropDuplicates(["digest"])
+    return made.dropDuplicates(["digest"]) if repeated else made
 
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
@@ -362,17 +387,25 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     The row with the class's smallest doc_id stays. Of rows that repeat this id,
     those with equal texts are one row and the first text in order stays.
     """
-    key, n = new_names(docs, "key", "n")
+    key, n, maybe = new_names(docs, "key", "n", "maybe")
     joined = settled(jaccard_join(docs, **options), "near-duplicates")
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    # Ids of which a row goes, or which repeat; rows of other ids stay where they lie.
+    open_ids = joined.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(stays).alias("all"))
+    mask = settled(key_mask(open_ids.filter("n > 1 OR NOT all"), "doc_id"), "near-duplicates-mask")
+    marked = maybe_among(docs, F.col("doc_id"), mask, maybe)
     kept = settled(
-        joined.filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+        maybe_among(joined.filter(stays), F.col("doc_id"), mask, "maybe")
+        .filter("maybe")
         .groupBy(F.col("doc_id").alias(key))
         .agg(F.count(F.lit(1)).alias(n)),
         "near-duplicates-kept",
     )
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key)))
-    if kept.filter(F.col(n) > 1).isEmpty():
-        return left.select(*docs.columns)
+    discard(joined)
+    alone = marked.filter(~F.col(maybe)).select(*docs.columns)
+    left = marked.filter(maybe).join(kept, F.col("doc_id").eqNullSafe(F.col(key)))
     once = left.filter(F.col(n) == 1).select(*docs.columns)
+    if kept.filter(F.col(n) > 1).isEmpty():
+        return alone.unionByName(once)
     again = left.filter(F.col(n) > 1).dropDuplicates([key, "text"]).select(*docs.columns)
-    return once.unionByName(again)
+    return alone.unionByName(once).unionByName(again)

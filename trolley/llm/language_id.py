@@ -180,7 +180,8 @@ def fit(docs: DataFrame) -> Model:
     idf = np.log((1 + n_docs) / (1 + frequencies)) + 1
     classes = max(len(languages), 1)
 
-    # The sampled ids are at most SAMPLE, so they can be broadcast.
+    # The sampled ids are at most SAMPLE, so they can be broadcast. Where documents
+    # repeat an id, the bound holds for the documents.
     chosen = (
         known.select(F.col("doc_id").alias("_id")).distinct().withColumn("place", F.md5(F.col("_id").cast("string")))
         .orderBy("place")
@@ -203,7 +204,10 @@ def fit(docs: DataFrame) -> Model:
 
     sample = settled(
         known.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-        .select("place", "lang", "text")
+        .select(F.md5(F.concat("place", F.md5(F.col("text").cast("binary")))).alias("place"), "lang", "text")
+        .orderBy("place")
+        .limit(SAMPLE)
+        .repartition(docs.sparkSession.sparkContext.defaultParallelism, "place")
         .mapInPandas(vectors, "place string, part int, label int, buckets array<int>, tf_idf array<double>"),
         "language-sample",
     )

@@ -192,6 +192,31 @@ class Matcher:
             yield from self._in_block([(w, a + start, b + start) for w, a, b in words_of(text[start:end])])
 
 
+SPDX_TAG = re.compile(r"SPDX-License-Identifier:[ \t]*", re.IGNORECASE)
+SPDX_PART = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+-]*)")
+OPERATORS = {"AND", "OR", "WITH"}
+
+
+def spdx_expressions(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, expression) of every tag whose expression joins licences or exceptions."""
+    for tag in SPDX_TAG.finditer(text):
+        at = end = tag.end()
+        parts: list[str] = []
+        whole: list[str] = []
+        wants_name = True
+        while part := SPDX_PART.match(text, at):
+            word, at = part[1], part.end()
+            upper = word.upper()
+            if wants_name and (word == ")" or upper in OPERATORS) or not wants_name and word != ")" and upper not in OPERATORS:
+                break
+            parts.append(upper if upper in OPERATORS else word)
+            wants_name = word == "(" or upper in OPERATORS
+            if not wants_name:
+                end, whole = at, list(parts)
+        if OPERATORS.intersection(whole):
+            yield tag.start(), end, " ".join(whole).replace("( ", "(").replace(" )", ")")
+
+
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES):
         scales = [[t for t in templates if (len(t[1]) <= ONE_LINE) == short] for short in (True, False)]
@@ -207,6 +232,12 @@ class Scanner:
         for f in sorted(found.values(), key=lambda f: (f.start - f.end, len(f.differences), f.start, f.license)):
             if all(f.end <= k.start or f.start >= k.end for k in kept):
                 kept.append(f)
+        # A tag that joins several licences is found by one of them and stands for all.
+        for start, end, expression in spdx_expressions(text):
+            inside = [f for f in kept if f.start < end and f.end > start]
+            if inside:
+                kept = [f for f in kept if f not in inside]
+                kept.append(Finding(expression, start, end, max(f.reduction for f in inside), ""))
         return sorted(kept, key=lambda f: f.start)
 
 
@@ -234,7 +265,8 @@ def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def license_scan(docs: DataFrame) -> DataFrame:
     """Licence notices in every document.
 
-    Returns one row per notice: doc_id, license (SPDX identifier), start and end
+    Returns one row per notice: doc_id, license (SPDX identifier, or the whole SPDX
+    expression of a tag that joins several), start and end
     (code points, end excluded), reduction and differences (``-word`` is missing,
     ``+word`` was added; empty if the wording is exact). The whole text counts; a
     null or empty text has none; rows that repeat give rows that repeat; an empty

@@ -20,12 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trolley.functions.skew import small_side
 from trolley.llm.common import WORD, new_names
-from trolley.sources.storage import settled
+from trolley.sources.storage import discard, settled
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -134,6 +135,19 @@ def mix_sources(
     The mix has at least ``slots`` slots, and blocks of ``max_block`` tokens at
     most. The table of sources, one row each, is read by the driver.
     """
+    mixed, _ = _mixed(docs, weights, max_repeats, slots, max_block, seed)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _mixed(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    max_repeats: int = MAX_REPEATS,
+    slots: int = SLOTS,
+    max_block: int = MAX_BLOCK,
+    seed: str = "mix",
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of ``mix_sources`` with their source and shuffle key, and the stored tables they are read from."""
     spark = docs.sparkSession
     sized = settled(
         docs.select(
@@ -172,7 +186,7 @@ def mix_sources(
     shuffled = (
         sized.join(sources, sized["source"].eqNullSafe(sources["name"]))
         .drop("name")
-        .withColumn("_key", F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"))))
+        .withColumn("_key", _shuffle_key(seed))
         .withColumn("_bucket", F.shiftright(F.conv(F.substring("_key", 1, 10), 16, 10).cast("long"), max(0, 40 - bits)))
     )
     earlier_buckets = W.partitionBy("src").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -192,6 +206,8 @@ def mix_sources(
             "source_size",
             "target",
             "src",
+            "source",
+            "_key",
             (F.col("_start") + F.col("_before")).alias("_at"),
             F.coalesce("_quota", "_tokens", F.lit(0)).cast("long").alias("_tokens"),
         ),
@@ -218,25 +234,45 @@ def mix_sources(
         .select(F.col("src").alias("_s"), F.col("_at").alias("_a"), F.col("size").alias("_n"), "_taken")
     )
     same = (F.col("src") == F.col("_s")) & (F.col("_at") == F.col("_a")) & (F.col("size") == F.col("_n"))
-    return placed.join(taken, same, "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken")
-    )
+    mixed = placed.join(taken, same, "left").withColumn("taken", F.coalesce("_taken", F.lit(0)).cast("long"))
+    return mixed, [sized, taken_slots, placed]
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def _shuffle_key(seed: str) -> Column:
+    """Documents are shuffled by sorting on this."""
+    return F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")))
+
+
+def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """``docs`` as often as the mix takes them: the rows of a document repeat, all columns unchanged.
 
     A document of which the mix takes some tokens but not half of them is there
-    once; empty documents, and those that the mix does not reach, are not. Rows
-    with one id all repeat as the one of them that the mix takes most often.
+    once; empty documents, and those that the mix does not reach, are not. Rows of
+    a source with one id all repeat as the one of them that the mix takes most often.
+
+    The mix reads the shuffled documents of a source in order, so the last document
+    that it takes so many times tells how often it takes each: texts stay where
+    they are, and only a few such ends per source are sent to them.
     """
-    key, times, n = new_names(docs, "mix_id", "times", "n")
+    name, ends, times, n = new_names(docs, "mix_source", "ends", "times", "n")
+    mixed, tables = _mixed(docs, seed=seed, **options)
     repeats = F.greatest(F.round(F.col("taken") / F.col("size")).cast("int"), F.lit(1))
-    decided = (
-        mix_sources(docs, **options).filter("taken > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max(repeats).alias(times))
+    lasts = (
+        mixed.filter("taken > 0")
+        .groupBy("source", repeats.alias("times"))
+        .agg(F.max(F.struct("_key", "doc_id")).alias("last"))
+        # At most as many as a document may repeat.
+        .groupBy(F.col("source").alias(name))
+        .agg(F.collect_list(F.struct("times", "last")).alias(ends))
     )
+    held = small_side(lasts, "mix-ends")
+    discard(*tables)
+    here = F.struct(_shuffle_key(seed), F.col("doc_id"))
+    reached = F.transform(F.filter(ends, lambda e: here <= e["last"]), lambda e: e["times"])
     return (
-        docs.join(settled(decided, "mix-decided"), F.col("doc_id").eqNullSafe(F.col(key)))
+        docs.join(held, F.col("source").cast("string").eqNullSafe(F.col(name)))
+        .withColumn(times, F.coalesce(F.array_max(reached), F.lit(0)))
+        .filter((F.col(times) > 0) & F.col("text").rlike(WORD))
         .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(times))))
         .select(*docs.columns)
     )

@@ -328,8 +328,12 @@ def look_up(index: CaptureIndex, wanted: DataFrame) -> DataFrame:
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def read_records(captures: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
-    """Read the records that ``captures`` point to, each by its range, and check their payloads."""
+def read_records(captures: DataFrame, folder: str, with_payload: bool = False, parts: int | None = None) -> DataFrame:
+    """Read the records that ``captures`` point to, each by its range, and check their payloads.
+
+    ``parts`` is the number of tasks. It should follow the bytes of the records: to
+    Spark a pointer is a few bytes, whatever it points to.
+    """
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     columns += ["url", "payload"] * with_payload
 
@@ -348,7 +352,7 @@ def read_records(captures: DataFrame, folder: str, with_payload: bool = False) -
     # Records that lie together are read by one task, in order.
     near = captures.select("file", "offset", "length").withColumn("_part", F.expr(f"offset div {READ_CHUNK}"))
     return (
-        near.repartition("file", "_part")
+        (near.repartition("file", "_part") if parts is None else near.repartition(parts, "file", "_part"))
         .sortWithinPartitions("file", "offset")
         .select("file", "offset", "length")
         .mapInPandas(read, RECORD + ", url string, payload binary" * with_payload)
@@ -365,4 +369,6 @@ def archived(pages: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     archives = new_shared_folder(spark, "archives")
     captures = write_archives(pages, archives)
     index = build_index(captures, new_shared_folder(spark, "capture-index"))
-    return read_records(look_up(index, pages.select("url", "page_id")), archives)
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    parts = max(2 * spark.sparkContext.defaultParallelism, size // READ_CHUNK)
+    return read_records(look_up(index, pages.select("url", "page_id")), archives, parts=parts)
