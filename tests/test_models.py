@@ -275,7 +275,7 @@ def test_short_series_say_so(spark):
 def test_partial_autocorrelations_give_stationary_models():
     rng = np.random.default_rng(1)
     for _ in range(200):
-        ar = forecast.coefficients(rng.uniform(-0.97, 0.97, 3))
+        ar = forecast.coefficients(rng.uniform(-0.97, 0.97, (1, 3)))[0]
         assert np.abs(np.roots(np.append(1.0, -ar))).max() < 1
 
 

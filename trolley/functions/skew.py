@@ -128,12 +128,26 @@ def number_rows(
 def dense_index(df: DataFrame, column: str) -> DataFrame:
     """(id, idx): the distinct values of a column and their places 0, 1, 2, ... in order; nulls have none.
 
-    The values are sorted once over all tasks; each task then counts on from
-    where the ones before it end.
+    The values are dealt out by ranges and sorted once, and stored with their part
+    and their place in it. A part's values then count on from where the parts
+    before it end, which one row per part tells.
     """
-    kind = dict(df.dtypes)[column]
-    ordered = df.select(F.col(column).alias("id")).filter("id IS NOT NULL").distinct().orderBy("id")
-    return ordered.rdd.map(lambda row: row[0]).zipWithIndex().toDF(f"id {kind}, idx long")
+    values = df.select(F.col(column).alias("id")).filter("id IS NOT NULL").distinct()
+    # The number of a row in its part, below the number of the part.
+    stored = settled(
+        values.repartitionByRange("id").sortWithinPartitions("id").withColumn("_at", F.monotonically_increasing_id()),
+        "dense-index",
+    )
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # As many rows as there were tasks.
+    starts = (
+        stored.groupBy(part.alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    )
+    numbered = stored.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return numbered.select("id", (F.col("_start") + place).alias("idx"))
 
 
 def visits_in_order(

@@ -3,63 +3,137 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trolley.sources.storage import discard, settled
 
-RANGES = 1024
+# A sketch tells ranks to one part in so many; what it brackets is settled exactly.
+ACCURACY = 20_000
+# So many different values are put in order by one task.
+SETTLED_VALUES = 1_000_000
 
 
 def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
     """One row with, per name in ``shares``, the smallest value that covers the share.
 
-    The values between the smallest and the largest are counted in ``RANGES``
-    even ranges; the range that holds an answer is cut into as many again, until
-    its values are all equal. Every round is one aggregation of that many rows
-    per share, so nothing grows with the data. Nulls and NaN are ignored; an empty column
-    gives null. ``df`` is read a few times: store it first if it is costly.
+    Nulls and NaN are ignored; an empty column gives null. Infinite values count
+    like others. See :func:`exact_quantiles_of`.
     """
     kind = dict(df.dtypes)[column]
-    values = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
-    if kind in ("double", "float"):
-        values = values.filter(~F.isnan("_v"))
-    whole = values.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")).first()
-    found = dict.fromkeys(shares)
-    # Of each share still open: the ends of its range and how many values lie below.
-    open_ranges = {
-        name: (whole["low"], whole["high"], 0, max(1, math.ceil(share * whole["n"]))) for name, share in shares.items()
-    } if whole["n"] else {}
-    while True:
-        for name in [n for n, (low, high, *_) in open_ranges.items() if low == high]:
-            found[name] = open_ranges.pop(name)[0]
-        if not open_ranges:
-            break
-        counted = reduce(
-            DataFrame.unionByName, [_counted_ranges(values, n, low, high) for n, (low, high, *_) in open_ranges.items()]
-        ).collect()
-        for name, (_, _, below, target) in list(open_ranges.items()):
-            for row in sorted((r for r in counted if r["name"] == name), key=lambda r: r["range"]):
-                if below + row["n"] >= target:
-                    open_ranges[name] = (row["low"], row["high"], below, target)
-                    break
-                below += row["n"]
+    found = exact_quantiles_of(df, {name: (column, share) for name, share in shares.items()})
     return df.sparkSession.createDataFrame(
         [tuple(found[n] for n in shares)], ", ".join(f"`{n}` {kind}" for n in shares)
     )
 
 
-def _counted_ranges(values: DataFrame, name: str, low, high) -> DataFrame:
-    # Ends are values that occur, so each round leaves fewer of them.
-    at = F.floor((F.col("_v").cast("double") - float(low)) / (float(high) - float(low)) * RANGES)
-    # Two values too close for doubles to tell apart are parted at the middle of their order.
-    place = F.when(F.lit(float(low) == float(high)), F.when(F.col("_v") == F.lit(low), 0).otherwise(1)).otherwise(at)
-    return (
-        values.filter(F.col("_v").between(F.lit(low), F.lit(high)))
-        .groupBy(F.lit(name).alias("name"), place.cast("long").alias("range"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
-    )
+def exact_quantiles_of(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict:
+    """Per name, the smallest value of a column that covers a share of its values; null for an empty column.
+
+    ``wanted`` maps names to (column, share); the columns are of one type. One aggregation counts the values and
+    sketches their ranks; it yields two values of the column between which the
+    answer lies. A second one counts the values below the first exactly, and
+    each different value between the two, of which there are few; from these the
+    answer is read. Where more than ``SETTLED_VALUES`` different values are left,
+    they are sketched in turn. ``df`` is read twice: store it first if it is costly.
+    """
+    open_ranges = {name: (column, float(share), None, None, None) for name, (column, share) in wanted.items()}
+    return _settle(df, open_ranges, 2.0 / ACCURACY)
+
+
+def _known(df: DataFrame, column: str) -> Column:
+    """The values of a column that count, else null."""
+    at = F.col(f"`{column}`")
+    return F.when(~F.isnan(at), at) if dict(df.dtypes)[column] in ("double", "float") else at
+
+
+def _settle(df: DataFrame, wanted: dict, margin: float) -> dict:
+    """``wanted``: name to (column, share, low, high, rank).
+
+    Of a range that is open still, the ends are given, and the exact rank of the
+    answer among the values in it.
+    """
+    names = list(wanted)
+    values = {n: _known(df, wanted[n][0]) for n in names}
+    for n, (_, _, low, high, _) in wanted.items():
+        if low is not None:
+            values[n] = F.when(values[n].between(F.lit(low), F.lit(high)), values[n])
+    counts = df.agg(
+        *[F.count(values[n]).alias(f"n{i}") for i, n in enumerate(names)],
+        *[F.min(values[n]).alias(f"low{i}") for i, n in enumerate(names)],
+        *[F.max(values[n]).alias(f"high{i}") for i, n in enumerate(names)],
+        *[
+            F.percentile_approx(values[n], _around(wanted[n][1], margin), ACCURACY).alias(f"steps{i}")
+            for i, n in enumerate(names)
+        ],
+    ).first()
+    found, ranges, targets = {}, {}, {}
+    for i, n in enumerate(names):
+        _, share, _, _, rank = wanted[n]
+        total = counts[f"n{i}"]
+        if not total:
+            found[n] = None
+            continue
+        target = max(1, math.ceil(share * total)) if rank is None else rank
+        steps = counts[f"steps{i}"]
+        low, high = _wider(steps[0], steps[-1])
+        ranges[n], targets[n] = (max(low, counts[f"low{i}"]), min(high, counts[f"high{i}"])), target
+    if not ranges:
+        return found
+    none = {n: F.lit(None).cast(dict(df.dtypes)[wanted[n][0]]) for n in ranges}
+    inside = [
+        F.when(values[n] < F.lit(low), F.struct(F.lit(n).alias("name"), none[n].alias("value"))).when(
+            values[n] <= F.lit(high), F.struct(F.lit(n).alias("name"), values[n].alias("value"))
+        )
+        for n, (low, high) in ranges.items()
+    ]
+    table = settled(
+        df.select(F.explode(F.array_compact(F.array(*inside))).alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("n")),
+        "quantile-values",
+    ).select("at.name", "at.value", "n")
+    sizes = {r["name"]: r for r in table.groupBy("name").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("inside"),
+        F.count("value").alias("values"),
+    ).collect()}
+    again, wider = {}, {}
+    for n in ranges:
+        below, held, several = (sizes[n][c] if n in sizes else 0 for c in ("below", "inside", "values"))
+        if not below < targets[n] <= below + held:
+            wider[n] = wanted[n]  # the sketch was off by more than it promises
+        elif several > SETTLED_VALUES:
+            rank = targets[n] - below
+            again[n] = (wanted[n][0], (rank - 0.5) / held, *ranges[n], rank)
+        else:
+            earlier = W.orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+            reached = table.filter((F.col("name") == n) & F.col("value").isNotNull()).withColumn("_to", F.sum("n").over(earlier))
+            found[n] = reached.filter(F.col("_to") >= targets[n] - below).agg(F.min("value")).first()[0]
+    discard(table)
+    if wider:
+        if margin >= 1:
+            raise ValueError(f"no quantile found for {sorted(wider)}")
+        found |= _settle(df, wider, min(1.0, 16 * margin))
+    if again:
+        stuck = [n for n in again if again[n][2:4] == wanted[n][2:4]]
+        if stuck:
+            raise ValueError(f"the range of {stuck} does not shrink")
+        found |= _settle(df, again, margin)
+    return found
+
+
+def _around(share: float, margin: float) -> list[float]:
+    return [max(0.0, share - margin), min(1.0, share + margin)]
+
+
+def _wider(low, high):
+    """Ends that hold the true ones although the sketch has rounded whole numbers to doubles."""
+    if isinstance(low, float):
+        return low, high
+    if isinstance(low, int):
+        return low - (abs(low) >> 50) - 1, high + (abs(high) >> 50) + 1
+    return low - abs(low) / (1 << 50), high + abs(high) / (1 << 50)
 
 
 def approx_quantiles(df: DataFrame, column: str, shares: dict[str, float], error: float = 0.01) -> DataFrame:

@@ -216,12 +216,33 @@ def first_rows(fragment: DataFrame, k: int = 10) -> DataFrame:
     return fragment.orderBy(ROW_ID).limit(k)
 
 
+# Keys that are sent to both fragments as a list; above it they are joined in full.
+MOST_KEYS = 4096
+
+
 def joined_sample(left: DataFrame, right: DataFrame, columns: list[str], k: int) -> DataFrame:
-    """The first ``k`` joined rows by row key."""
+    """The first ``k`` joined rows by row key.
+
+    The smallest keys are taken from the left fragment's key column alone, and only
+    their rows are read from both. If keys are missing on the right, more are
+    taken, up to ``MOST_KEYS``.
+    """
     held_left = [c for c in columns if c in left.columns]
     rest = [c for c in columns if c not in held_left]
-    matched = left.select(ROW_ID, *held_left).join(right.select(ROW_ID, *rest), ROW_ID)
-    return matched.orderBy(ROW_ID).limit(k).select(*columns)
+
+    def matched(few_left: DataFrame, few_right: DataFrame) -> DataFrame:
+        held = few_left.select(ROW_ID, *[c for c in held_left if c in few_left.columns])
+        return held.join(few_right.select(ROW_ID, *[c for c in rest if c in few_right.columns]), ROW_ID).orderBy(ROW_ID).limit(k)
+
+    wanted = 2 * k
+    while wanted <= MOST_KEYS:
+        rows = left.select(ROW_ID).filter(F.col(ROW_ID).isNotNull()).orderBy(ROW_ID).limit(wanted).collect()
+        among = F.col(ROW_ID).isin(sorted({row[ROW_ID] for row in rows})) if rows else F.lit(False)
+        few_left, few_right = left.filter(among), right.filter(among)
+        if len(rows) < wanted or matched(few_left.select(ROW_ID), few_right.select(ROW_ID)).count() >= k:
+            return matched(few_left, few_right).select(*columns)
+        wanted *= 8
+    return matched(left, right).select(*columns)
 
 
 def morning_purchases(order_info: DataFrame, product_info: DataFrame, before_hour: int = 10) -> DataFrame:

@@ -978,6 +978,33 @@ rated AS (
 mean AS (SELECT AVG(rating) AS prediction FROM rated WHERE in_train)""",
     "SELECT COUNT(*) AS pairs, ROUND(SQRT(AVG(POW(rating - prediction, 2))), 9) AS rmse FROM rated, mean WHERE NOT in_train",
 )
+define(
+    "popularity_rank_metrics",
+    f"""{RELATION},
+rated AS (
+  SELECT user_id, product_id, {below(digest('user_id', 'product_id'), FOUR_FIFTHS)} AS in_train
+  FROM global_relation GROUP BY user_id, product_id
+),
+top AS (
+  SELECT product_id, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, product_id) AS place
+  FROM rated WHERE in_train GROUP BY product_id QUALIFY place <= 10
+),
+held AS (SELECT user_id, product_id FROM rated WHERE NOT in_train),
+hits AS (
+  SELECT user_id, place, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY place) AS i
+  FROM held JOIN top USING (product_id)
+),
+found AS (
+  SELECT user_id, COUNT(*) AS hits, SUM(1 / LOG2(place + 1)) AS gain, SUM(i / CAST(place AS DOUBLE)) AS precisions
+  FROM hits GROUP BY user_id
+),
+ideals AS (SELECT j AS most, SUM(1 / LOG2(j + 1)) OVER (ORDER BY j) AS ideal FROM RANGE(1, 11) AS t(j)),
+users AS (SELECT user_id, COUNT(*) AS n, LEAST(COUNT(*), 10) AS most FROM held GROUP BY user_id)""",
+    "SELECT COUNT(*) AS users, ROUND(AVG(COALESCE(hits, 0) / CAST(10 AS DOUBLE)), 9) AS precision, "
+    "ROUND(AVG(COALESCE(hits, 0) / CAST(n AS DOUBLE)), 9) AS recall, "
+    "ROUND(AVG(COALESCE(gain, 0) / ideal), 9) AS ndcg, ROUND(AVG(COALESCE(precisions, 0) / most), 9) AS map "
+    "FROM users JOIN ideals USING (most) LEFT JOIN found USING (user_id)",
+)
 define(
     "top_products_nb",
     RELATION,

@@ -27,7 +27,7 @@ from trolley.operators import (
 from trolley.plans import catalog, workflows
 from trolley.sources import storage
 from trolley.sources.order_lines import COLUMNS, load_order_lines
-from trolley.sources.prepared import stored_keyed_lines, stored_lines, stored_once, stored_sites
+from trolley.sources.prepared import fitted_once, stored_keyed_lines, stored_lines, stored_once, stored_sites
 from trolley.sources.storage import settled
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -714,8 +714,13 @@ def baskets(spark, folder):
 
 
 def mined(spark, folder):
-    stored = settled(mining.trimmed_baskets(relation(spark, folder, "order_id", "product_name"), 0.005), "baskets")
-    return mining.frequent_itemsets(stored, 0.005), stored
+    """Itemsets and the baskets they are of, mined once for the queries on them."""
+
+    def store():
+        return settled(mining.trimmed_baskets(relation(spark, folder, "order_id", "product_name"), 0.005), "baskets")
+
+    stored = stored_once(spark, folder, "baskets", store)
+    return stored_once(spark, folder, "itemsets", lambda: mining.frequent_itemsets(stored, 0.005)), stored
 
 
 def rules_as_text(rules):
@@ -743,15 +748,26 @@ def top_rules_by_lift(spark, folder):
 # --- segments -------------------------------------------------------------
 
 
+def cluster_fits(spark, folder):
+    """The fits for all k, made once for the queries on them."""
+    return fitted_once(spark, folder, "kmeans", lambda: clustering.kmeans_fits(scaled_rfm(spark, folder)))
+
+
 def best_clusters(spark, folder):
-    """The assignment with the best silhouette, fitted once for the queries on it."""
-    return stored_once(
-        spark, folder, "clusters", lambda: settled(clustering.kmeans_best(scaled_rfm(spark, folder))[1], "clusters")
-    )
+    """The assignment with the best silhouette."""
+
+    def store():
+        best = clustering.best_fit(cluster_fits(spark, folder))
+        return settled(best.assign(scaled_rfm(spark, folder)), "clusters")
+
+    return stored_once(spark, folder, "clusters", store)
 
 
 def scaled_rfm(spark, folder):
-    return clustering.scaled_features(settled(features.build_rfm(rfm_lines(spark, folder)), "rfm"))
+    def store():
+        return settled(features.build_rfm(rfm_lines(spark, folder)), "rfm")
+
+    return clustering.scaled_features(stored_once(spark, folder, "rfm", store))
 
 
 @query
@@ -766,7 +782,7 @@ def scaled_features(spark, folder):
 
 @query
 def kmeans_sweep(spark, folder):
-    return clustering.kmeans_sweep(scaled_rfm(spark, folder))
+    return clustering.sweep_table(scaled_rfm(spark, folder), cluster_fits(spark, folder))
 
 
 @query
@@ -834,10 +850,21 @@ def als_parts(spark, folder):
     return recommend.train_test_split(rated)
 
 
+def als_model(spark, folder):
+    """One fit for all queries on it."""
+    return fitted_once(spark, folder, "als", lambda: recommend.als_fit(als_parts(spark, folder)[0]))
+
+
+def als_lists(spark, folder):
+    return stored_once(
+        spark, folder, "als-lists", lambda: settled(recommend.als_top(als_model(spark, folder), 10), "als-lists")
+    )
+
+
 @query
 def als_fit(spark, folder):
     """Size of the factors per side."""
-    model = recommend.als_fit(als_parts(spark, folder)[0])
+    model = als_model(spark, folder)
     sides = [("user", model.model.userFactors), ("product", model.model.itemFactors)]
     counted = [
         side.agg(F.count(F.lit(1)).alias("ids"), F.max(F.size("features")).alias("rank")).select(
@@ -850,8 +877,28 @@ def als_fit(spark, folder):
 
 @query
 def als_rmse(spark, folder):
+    return recommend.rating_rmse(als_model(spark, folder).predict(als_parts(spark, folder)[1]))
+
+
+@query
+def als_rank_metrics(spark, folder):
+    """Precision, recall, NDCG and MAP at 10 of the ALS lists and of the list of the most bought products."""
+    train, test = als_parts(spark, folder)
+    held = settled(test.select("user_id", "product_id"), "held-out")
+    lists = {"als": als_lists(spark, folder), "popularity": recommend.popular_top(train, test, 10)}
+    measured = [metrics.rank_metrics(table, held, 10).withColumn("model", F.lit(name)) for name, table in lists.items()]
+    return rounded(reduce(DataFrame.unionByName, measured), 9, *RANK_METRICS)
+
+
+RANK_METRICS = ["precision", "recall", "ndcg", "map"]
+
+
+@query
+def popularity_rank_metrics(spark, folder):
+    """The same of the list of the most bought products alone."""
     train, test = als_parts(spark, folder)
-    return recommend.rating_rmse(recommend.als_fit(train).predict(test))
+    held = settled(test.select("user_id", "product_id"), "held-out")
+    return rounded(metrics.rank_metrics(recommend.popular_top(train, test, 10), held, 10), 9, *RANK_METRICS)
 
 
 @query
@@ -864,7 +911,7 @@ def rating_rmse_of_mean(spark, folder):
 
 @query
 def als_top5(spark, folder):
-    return recommend.als_top(recommend.als_fit(als_parts(spark, folder)[0]), 5)
+    return als_lists(spark, folder).filter("place <= 5")
 
 
 # --- item neighbours ------------------------------------------------------
@@ -874,16 +921,31 @@ def named(spark, folder):
     return relation(spark, folder, "user_id", "product_name")
 
 
+# Names in the catalogue of the recommenders.
+CATALOGUE = 200
+
+
+def knn_catalogue(spark, folder):
+    return stored_once(spark, folder, "catalogue", lambda: neighbours.catalogue(named(spark, folder), CATALOGUE))
+
+
 def knn_users(spark, folder):
     """The catalogue and all users with at least five of its items."""
-    items = neighbours.catalogue(named(spark, folder))
-    return items, settled(neighbours.user_items(named(spark, folder), items), "user-items", "user_id")
+    items = knn_catalogue(spark, folder)
+
+    def store():
+        return settled(neighbours.user_items(named(spark, folder), items), "user-items", "user_id")
+
+    return items, stored_once(spark, folder, "knn-users", store)
 
 
 def knn_folds(spark, folder):
-    items = neighbours.catalogue(named(spark, folder))
-    held = neighbours.user_items(named(spark, folder), items)
-    return items, settled(neighbours.holdout_folds(held), "folds", "user_id")
+    items, held = knn_users(spark, folder)
+
+    def store():
+        return settled(neighbours.holdout_folds(held), "folds", "user_id")
+
+    return items, stored_once(spark, folder, "knn-folds", store)
 
 
 def knn_counted(spark, folder):
@@ -898,8 +960,8 @@ def knn_counted(spark, folder):
 
 @query
 def knn_interactions(spark, folder):
-    items = neighbours.catalogue(named(spark, folder))
-    return neighbours.interactions(neighbours.user_items(named(spark, folder), items), items)
+    items, held = knn_users(spark, folder)
+    return neighbours.interactions(held, items)
 
 
 @query
@@ -914,6 +976,13 @@ def knn_scores(spark, folder):
     return neighbours.user_scores(held, items)
 
 
+@query
+def knn_top10(spark, folder):
+    """The ten best unbought items of every user."""
+    items, held = knn_users(spark, folder)
+    return neighbours.top_items(held, items, top_n=10)
+
+
 @query
 def knn_holdout_folds(spark, folder):
     items, folded = knn_folds(spark, folder)
@@ -956,13 +1025,21 @@ def knn_k_sweep(spark, folder):
 
 
 def ncf_users(spark, folder):
-    items, held = neural.ncf_interactions(named(spark, folder), users=None)
-    return items, settled(held, "ncf-users", "user_id")
+    """The catalogue and all users with at least three of its items."""
+    items = knn_catalogue(spark, folder)
+
+    def store():
+        return settled(neighbours.user_items(named(spark, folder), items, min_items=3), "ncf-users", "user_id")
+
+    return items, stored_once(spark, folder, "ncf-users", store)
 
 
 def ncf_pairs(spark, folder):
-    items, held = ncf_users(spark, folder)
-    return settled(neural.labelled_pairs(neural.with_user_index(held), items.count()), "pairs", "user_id")
+    def store():
+        items, held = ncf_users(spark, folder)
+        return settled(neural.labelled_pairs(neural.with_user_index(held), items.count()), "pairs", "user_id")
+
+    return stored_once(spark, folder, "ncf-pairs", store)
 
 
 def ncf_split(spark, folder):
@@ -970,9 +1047,11 @@ def ncf_split(spark, folder):
 
 
 def ncf_scored(spark, folder):
-    return stored_once(
-        spark, folder, "ncf-scores", lambda: settled(neural.neural_cf(*ncf_split(spark, folder)), "scores")
-    )
+    def store():
+        n_items = knn_catalogue(spark, folder).count()
+        return settled(neural.neural_cf(*ncf_split(spark, folder), n_items), "scores")
+
+    return stored_once(spark, folder, "ncf-scores", store)
 
 
 @query
@@ -1014,7 +1093,14 @@ def neural_cf(spark, folder):
 
 @query
 def neural_cf_metrics(spark, folder):
-    return metrics.binary_metrics(ncf_scored(spark, folder))
+    """The model beside ALS alone and beside each user's share of purchases."""
+    train, test = ncf_split(spark, folder)
+    scores = {
+        "neural": ncf_scored(spark, folder),
+        "als": neural.factor_scores(train, test),
+        "share": neural.baseline_scores(train, test),
+    }
+    return neural.compared(scores)
 
 
 @query

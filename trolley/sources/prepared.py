@@ -10,6 +10,7 @@ change.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from trolley.sources.storage import drop_bucketed, files_of, new_shared_folder,
 TABLES = ("lineitem", "orders", "part")
 
 _stored: dict[tuple, tuple[tuple, DataFrame]] = {}
+# With the session, so that its id cannot be given to another one.
+_fitted: dict[tuple, tuple[tuple, Any, SparkSession]] = {}
 
 
 def stored_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,10 +59,10 @@ def stored_sites(spark: SparkSession, folder: str, sites: dict[str, list[str]])
 
 
 def stored_once(spark: SparkSession, folder: str, kind: str, store: Callable[[], DataFrame]) -> DataFrame:
-    """What ``store`` returns, kept for this session until a file of the tables changes."""
+    """The table that ``store`` stores and returns, kept for this session until a file of the tables changes."""
     # The stored DataFrame keeps its session, so the id cannot be given to another one.
     key = (spark.sparkContext.applicationId, id(spark), kind, folder)
-    state = tuple(file for table in TABLES for file in files_of(spark, f"{folder.rstrip('/')}/{table}.parquet"))
+    state = _state(spark, folder)
     if key not in _stored or _stored[key][0] != state:
         if key in _stored:
             _drop(spark, _stored.pop(key)[1])
@@ -67,10 +70,25 @@ def stored_once(spark: SparkSession, folder: str, kind: str, store: Callable[[],
     return _stored[key][1]
 
 
+def fitted_once(spark: SparkSession, folder: str, kind: str, fit: Callable[[], Any]) -> Any:
+    """What ``fit`` returns, a model for example, kept as ``stored_once`` keeps tables."""
+    key = (spark.sparkContext.applicationId, id(spark), kind, folder)
+    state = _state(spark, folder)
+    if key not in _fitted or _fitted[key][0] != state:
+        _fitted[key] = (state, fit(), spark)
+    return _fitted[key][1]
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    return tuple(file for table in TABLES for file in files_of(spark, f"{folder.rstrip('/')}/{table}.parquet"))
+
+
 def forget(spark: SparkSession) -> None:
     """Drop all stored copies of this session."""
     for key in [k for k in _stored if k[:2] == (spark.sparkContext.applicationId, id(spark))]:
         _drop(spark, _stored.pop(key)[1])
+    for key in [k for k in _fitted if k[:2] == (spark.sparkContext.applicationId, id(spark))]:
+        del _fitted[key]
 
 
 def _drop(spark: SparkSession, table: DataFrame) -> None:
