@@ -31,7 +31,7 @@ from trolley.llm.common import release_memory, short_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pieces whose encodings a task remembers, and the longest that it remembers.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 # Pairs of tokens that it remembers.
 REMEMBERED_PAIRS = 150_000
 REMEMBERED_LENGTH = 64

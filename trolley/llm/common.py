@@ -77,6 +77,18 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(divisor)).cast("int")
 
 
+def bounded(sample: DataFrame, rows: int, id_column: str) -> DataFrame:
+    """``sample`` with at most so many rows, the first by digests of id and ``text``.
+
+    A sample of ids is larger than their number only if documents repeat an id. Only
+    then are texts put in order.
+    """
+    if sample.select(id_column).count() <= rows:
+        return sample
+    order = [F.md5(F.col(id_column).cast("string")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))]
+    return sample.orderBy(*order).limit(rows).repartition(sample.sparkSession.sparkContext.defaultParallelism)
+
+
 # Bits of a broadcast filter: 8 MB, whatever the number of keys.
 FILTER_BITS = 1 << 26
 
@@ -145,8 +157,8 @@ def passing_items(shared: Broadcast):
     return passed
 
 
-# Rows of a mask: 16 MB of slots and bits, whatever the number of keys.
-MASK_SLOTS = 1 << 20
+# Rows of a mask: 4 MB of slots and bits, whatever the number of keys.
+MASK_SLOTS = 1 << 18
 
 
 def _place(key: Column) -> tuple[Column, Column]:

@@ -42,7 +42,7 @@ THRESHOLD = 0.8
 TREES = 40
 DEPTH = 10
 TARGET_RECALL = 0.9999
-BLOCK = 256
+BLOCK = 128
 BLOCK_SHINGLES = 1 << 19  # 4 MB of hashes
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -216,6 +216,8 @@ def _verified(threshold: float):
             label = lower
         found = links > 0
         digests = frame["digest"].to_numpy()
+        if len(frame) > BLOCK:
+            release_memory()
         return pd.DataFrame({"digest": digests[found], "links": links[found], "label": digests[label[found]]})
 
     return verify

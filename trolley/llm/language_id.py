@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import id_remainder, short_batches
+from trolley.llm.common import bounded, id_remainder, short_batches
 from trolley.sources.storage import settled
 
 BUCKETS = 1 << 16
@@ -203,11 +203,8 @@ def fit(docs: DataFrame) -> Model:
             )
 
     sample = settled(
-        known.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+        bounded(known.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")), SAMPLE, "_id")
         .select(F.md5(F.concat("place", F.md5(F.col("text").cast("binary")))).alias("place"), "lang", "text")
-        .orderBy("place")
-        .limit(SAMPLE)
-        .repartition(docs.sparkSession.sparkContext.defaultParallelism, "place")
         .mapInPandas(vectors, "place string, part int, label int, buckets array<int>, tf_idf array<double>"),
         "language-sample",
     )

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import id_remainder, release_memory, short_batches
+from trolley.llm.common import bounded, id_remainder, release_memory, short_batches
 from trolley.sources.storage import settled
 
 WINDOW = 256
@@ -254,9 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def sampled(part: DataFrame, bound: int) -> DataFrame:
         chosen = part.orderBy("_order", "_label_id").limit(bound).select("_label_id", "toxic")
         found = texts.join(F.broadcast(chosen), F.col("_label_id") == F.col("doc_id"))
-        # Ids may repeat, so the rows are bounded again.
-        order = [F.md5(F.col("_label_id").cast("string")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))]
-        return found.select("toxic", "text").orderBy(*order).limit(bound)
+        return bounded(found, bound, "_label_id").select("toxic", "text")
 
     in_fit = _for_dictionaries(F.col("_label_id"))
     sample = {}
@@ -276,9 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     kinds = ", ".join(f"{name} long" for name in MEASURES)
     seen = (
-        # Spread again: what has been bounded lies in one part.
         sampled(known.filter(~in_fit), CALIBRATION_DOCUMENTS)
-        .repartition(docs.sparkSession.sparkContext.defaultParallelism)
         .mapInPandas(measured, f"{kinds}, toxic int")
         .toPandas()
         .sort_values(["toxic", *MEASURES])
