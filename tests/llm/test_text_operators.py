@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -45,6 +46,33 @@ def test_contexts_lead_to_unseen_identifiers(spark):
         assert found[i]["spans"] == found[i]["base"] == personal_spans(rows[i][1])
 
 
+def test_planted_secrets_lead_to_unseen_ones(spark):
+    """Among the documents of a test table: words in the context of secrets, whatever their form."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rng = random.Random(4)
+    hexes = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(30)]
+    planted = [(10**6 + i, f"some words here vaultkey := {h} and more") for i, h in enumerate(hexes)]
+    planted += [(2 * 10**6, "the vaultkey := Zq7-unseen-form now"), (2 * 10**6 + 1, "lone " + "0" * 40 + " word")]
+    both = docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string"))
+    found = {r["doc_id"]: r for r in pii.personal_data(both).collect()}
+    start = planted[-2][1].index("Zq7")
+    assert found[2 * 10**6]["spans"] == f"context:{start}:{start + len('Zq7-unseen-form')}"
+    assert found[2 * 10**6 + 1]["spans"] == ""
+    for doc_id, text in planted[:30]:
+        at = text.index(":= ") + 3
+        assert found[doc_id]["spans"] == f"context:{at}:{at + 40}"
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    added = 0
+    for doc_id, text in texts.items():
+        assert found[doc_id]["base"] == personal_spans(text)
+        for span in found[doc_id]["spans"].split(","):
+            if span.startswith("context"):
+                _, a, b = span.split(":")
+                assert re.fullmatch("[0-9A-Fa-f]{40}", text[int(a) : int(b)]) and "oken" in text[max(0, int(a) - 12) : int(a)].lower()
+                added += 1
+    assert added > 0
+
+
 def test_personal_data_of_odd_rows(spark):
     docs = odd_documents(spark)
     found = pii.personal_data(docs).collect()

@@ -1,11 +1,12 @@
 """Personal data: fixed patterns as seeds, and bootstrapped contextual extraction.
 
-Four kinds of identifiers are found by their form. They are the seeds of a
-graph between lexical patterns (the one or two words before an identifier) and
-instances (words with a digit or an @). Patterns that were seen before several
-different seeds, and that rarely stand before anything else, are scored by the
-scores of their instances, instances by those of their patterns, in a few
-rounds. Instances that the surviving patterns point to are further identifiers.
+Four kinds of identifiers are found by their form. They, and long hexadecimal words
+as secrets have, are the seeds of a graph between lexical patterns (the one or two
+words before an identifier) and instances (words with a digit or an @). Patterns that
+were seen before several different seeds, and that rarely stand before anything else,
+are scored by the scores of their instances, instances by those of their patterns, in
+a few rounds. Instances that the surviving patterns point to are further identifiers;
+a hexadecimal word by itself is none.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MARK = re.compile(r"[0-9@]")
+SECRET = re.compile(r"[0-9A-Fa-f]{32,64}")
 EDGES = "\"'<>()[]{},;:!?*#$%&.|=`"
 TO_ZERO = str.maketrans("123456789", "000000000")
 
@@ -94,8 +96,8 @@ def patterns_of(words: list[str], codes: WordCodes) -> tuple[np.ndarray, np.ndar
 
 def occurrences(
     text: str, spans: list[tuple[int, int, int]], codes: WordCodes
-) -> list[tuple[int, int, int, int, int, bool]]:
-    """(start, end, pattern of one word, pattern of two, instance, is a seed) of words with a digit or @.
+) -> list[tuple[int, int, int, int, int, bool, bool]]:
+    """(start, end, pattern of one word, pattern of two, instance, is a seed, is of fixed form) of words with a digit or @.
 
     The word itself goes without the marks around it. A seed counts where it starts.
     """
@@ -116,14 +118,16 @@ def occurrences(
             if inner and i > 0 and not inside:
                 identifier = inner if span is None else text[span[0] : span[2]]
                 instance = xxhash.xxh64_intdigest(identifier.encode("utf-8", "surrogatepass")) - (1 << 63)
-                found.append((start, end, int(ones[i - 1]), int(twos[i - 1]), instance, span is not None))
+                fixed = span is not None
+                seed = fixed or SECRET.fullmatch(inner) is not None
+                found.append((start, end, int(ones[i - 1]), int(twos[i - 1]), instance, seed, fixed))
         at += len(word)
     return found
 
 
 SCAN = (
     "counts array<long>, base string, starts array<int>, ends array<int>, ones array<long>, twos array<long>, "
-    "instances array<long>, seeds array<boolean>, text_key string"
+    "instances array<long>, seeds array<boolean>, fixed array<boolean>, text_key string"
 )
 
 
@@ -140,11 +144,11 @@ def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
                 (
                     [kinds[k] for k in range(len(KINDS))],
                     ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans),
-                    *([f[k] for f in found] for k in range(6)),
+                    *([f[k] for f in found] for k in range(7)),
                     hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() if found else "",
                 )
             )
-        names = ["counts", "base", "starts", "ends", "ones", "twos", "instances", "seeds", "text_key"]
+        names = ["counts", "base", "starts", "ends", "ones", "twos", "instances", "seeds", "fixed", "text_key"]
         yield pd.DataFrame(rows, columns=names)
 
 
@@ -176,8 +180,8 @@ def learned_instances(
 ) -> DataFrame | None:
     """Occurrences that trusted patterns point to; None if no pattern can be trusted.
 
-    ``found`` has one row per occurrence: one, two, instance, seed and whatever
-    identifies it.
+    ``found`` has one row per occurrence: one, two, instance, seed, fixed (whether it is
+    known by its form, and so nothing to learn) and whatever identifies it.
     """
     edges = settled(
         found.select(F.explode(F.array("one", "two")).alias("pattern"), "instance", "seed")
@@ -222,7 +226,7 @@ def learned_instances(
             )
         )
     good = settled(scores.filter(F.col("score") >= ACCEPT).select("of"), "trusted-instances")
-    pointed = found.filter("NOT seed").withColumn("pattern", F.explode(F.array("one", "two")))
+    pointed = found.filter("NOT fixed").withColumn("pattern", F.explode(F.array("one", "two")))
     return (
         pointed.join(trusted.select("trusted"), F.col("pattern") == F.col("trusted"), "left_semi")
         .join(good, F.col("instance") == F.col("of"), "left_semi")
@@ -249,7 +253,7 @@ def personal_data(docs: DataFrame, min_seeds: int = MIN_SEEDS, rounds: int = ROU
     )
     found = (
         scanned.filter("text_key <> ''")
-        .select("text_key", F.explode(F.arrays_zip("starts", "ends", "ones", "twos", "instances", "seeds")).alias("o"))
+        .select("text_key", F.explode(F.arrays_zip("starts", "ends", "ones", "twos", "instances", "seeds", "fixed")).alias("o"))
         .select(
             "text_key",
             F.col("o.starts").alias("start"),
@@ -258,6 +262,7 @@ def personal_data(docs: DataFrame, min_seeds: int = MIN_SEEDS, rounds: int = ROU
             F.col("o.twos").alias("two"),
             F.col("o.instances").alias("instance"),
             F.col("o.seeds").alias("seed"),
+            F.col("o.fixed").alias("fixed"),
         )
     )
     learned = learned_instances(docs, found, min_seeds, rounds)
