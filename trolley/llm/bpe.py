@@ -31,9 +31,9 @@ from trolley.llm.common import release_memory, short_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pieces whose encodings a task remembers, and the longest that it remembers.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 # Pairs of tokens that it remembers.
-REMEMBERED_PAIRS = 150_000
+REMEMBERED_PAIRS = 100_000
 REMEMBERED_LENGTH = 64
 # Bytes of text that a task encodes at a time.
 PART_BYTES = 1 << 20
@@ -264,6 +264,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = pu
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path or public_tokenizers.path(VOCABULARY)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()  # what other tasks of this worker have left
         encode, decode = encoder(shared.value, pattern), decoder(shared.value)
         for batch in batches:
             # Texts differ in length by orders of magnitude: go on in parts of bounded size.

@@ -44,7 +44,7 @@ class WordCodes(dict):
         return code
 
 
-def short_batches(spark, rows: int = 1000) -> None:
+def short_batches(spark, rows: int = 500) -> None:
     """Send tasks' Python workers at most so many rows at a time: texts are long.
 
     A setting of the session that only changes how much a worker holds at once.

@@ -42,7 +42,7 @@ THRESHOLD = 0.8
 TREES = 40
 DEPTH = 10
 TARGET_RECALL = 0.9999
-BLOCK = 128
+BLOCK = 64
 BLOCK_SHINGLES = 1 << 19  # 4 MB of hashes
 SPACES = " \t\n\x0b\x0c\r"
 
