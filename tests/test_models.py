@@ -211,7 +211,7 @@ def test_neural_recommender_learns_two_tastes(spark):
     held = spark.createDataFrame(rows, "user_id long, items array<int>")
     pairs = settled(neural.labelled_pairs(held, 20, per_positive=1), "pairs")
     train, test = neural.stratified_split(pairs)
-    scored = neural.neural_cf(train, test, rank=4, hidden=(16, 8), iterations=40)
+    scored = neural.neural_cf(train, test, 20, rank=4)
     assert metrics.binary_metrics(scored).collect()[0]["auc"] > 0.85
 
 
