@@ -51,6 +51,10 @@ def test_als(spark):
     for r in sorted(best, key=lambda r: (r["user_id"], r["place"])):
         by_user.setdefault(r["user_id"], []).append(r["score"])
     assert all(scores == sorted(scores, reverse=True) for scores in by_user.values())
+    ranked = {r["model"]: r for r in rows(spark, "als_rank_metrics")}
+    (popular,) = rows(spark, "popularity_rank_metrics")
+    assert all(ranked["popularity"][c] == popular[c] for c in ("users", "precision", "recall", "ndcg", "map"))
+    assert all(0 <= ranked["als"][c] <= 1 for c in ("precision", "recall", "ndcg", "map"))
     (error,) = rows(spark, "als_rmse")
     assert error["pairs"] > 0 and 0 < error["rmse"] < 3
 
@@ -59,7 +63,9 @@ def test_neural_scores(spark):
     scored = rows(spark, "neural_cf")
     assert len(scored) == sum(r["part"] == "test" for r in rows(spark, "stratified_split"))
     assert all(0 <= r["score"] <= 1 for r in scored)
-    (found,) = rows(spark, "neural_cf_metrics")
+    compared = {r["model"]: r for r in rows(spark, "neural_cf_metrics")}
+    assert set(compared) == {"neural", "als", "share"}
+    found = compared["neural"]
     hits = sum(r["label"] and r["score"] >= 0.5 for r in scored)
     said, true = sum(r["score"] >= 0.5 for r in scored), sum(r["label"] for r in scored)
     assert found["precision"] == pytest.approx(hits / said if said else 0.0)

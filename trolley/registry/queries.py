@@ -1181,7 +1181,7 @@ def eda_workflow(spark, folder):
 @query
 def training_workflow(spark, folder):
     cleaned = settled(cleaning.clean_data(relation(spark, folder)), "cleaned")
-    return table_rows(workflows.training_workflow(cleaned, weeks(spark, folder)))
+    return table_rows(workflows.training_workflow(cleaned, weeks(spark, folder), products=CATALOGUE))
 
 
 @query
