@@ -158,3 +158,16 @@ def test_ten_thousand_series_in_a_minute(spark):
     found = forecast.arima_forecast(forecast.time_split(weekly))
     assert found.filter("forecast IS NOT NULL AND model = 'arima'").count() == 10_000 * 11
     assert time.time() - start < 120  # 60 on an idle machine
+
+
+def test_nearest_centres_are_the_first_of_equally_near_ones(spark):
+    points = spark.createDataFrame([(i, x, 0) for i, x in enumerate((0, 10**9, 2 * 10**9, 9 * 10**9))], "i int, x long, y long")
+    centres = np.array([[0.0, 0.0], [2.0, 0.0], [9.0, 0.0], [2.0, 0.0]])
+    found = points.withColumn("_n", clustering._nearest_of(["x", "y"], centres)).orderBy("i").select("_n.c", "_n.d").collect()
+    assert [tuple(r) for r in found] == [(0, 0.0), (0, 1.0), (1, 0.0), (2, 0.0)]
+
+
+def test_sums_of_whole_numbers_are_exact():
+    assert clustering._exact(np.array([2**62, 2**62, 1])) == 2**63 + 1
+    assert clustering._sum_of(np.array([0.5, -0.5, 1.5, 0.49999999999999994, 2.4])) == 4
+    assert clustering._exact(np.array([], dtype=np.int64)) == 0
