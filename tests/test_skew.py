@@ -7,9 +7,10 @@ from hypothesis import strategies as st
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trolley.functions.hashing import row_text
 from trolley.functions.skew import dense_index, number_rows, running_totals, spread_lookup, visits_in_order
 from trolley.functions.stats import exact_quantiles
-from trolley.sources.storage import parts_for
+from trolley.sources.storage import SHUFFLED_BYTES, parts_for, wide_shuffles
 from trolley.sources.order_lines import order_lines
 
 FOLDER = "/root/testdata/sf0.001"
@@ -157,3 +158,23 @@ def test_part_counts_follow_the_size(spark, tmp_path):
     few, many = parts_for(table, 1 << 20), parts_for(table, 1 << 10)
     assert many > 100 * few >= 100
     assert parts_for(table.crossJoin(spark.createDataFrame([(1,)], "a int")), 1 << 20) == few
+
+
+def test_rows_are_shuffled_once_to_be_numbered(spark):
+    """Ids follow the digests; the rows are neither counted nor stored on the way where no bucket is large."""
+    df = spark.range(700).select((F.col("id") % 300).alias("x"), F.when(F.col("id") % 7 > 0, "a").alias("y"))
+    found = number_rows(df, "id")
+    assert "_copies" not in found._jdf.queryExecution().optimizedPlan().toString()
+    digest = F.md5(row_text(["x", "y"]))
+    plain = df.select((F.row_number().over(W.orderBy(digest, "x", "y")) - 1).cast("long").alias("id"), "x", "y")
+    assert bag(found) == bag(plain)
+    assert bag(number_rows(df, "id", bucket_digits=1, copies_per_task=40)) == bag(plain)
+
+
+def test_shuffles_are_as_wide_as_the_inputs(spark, tmp_path):
+    spark.range(20_000_000).write.parquet(str(tmp_path / "t"))
+    key, table = "spark.sql.shuffle.partitions", spark.read.parquet(str(tmp_path / "t"))
+    before, parts = spark.conf.get(key), parts_for(table, SHUFFLED_BYTES)
+    with wide_shuffles(table, table, table):
+        assert int(spark.conf.get(key)) == max(int(before), 3 * parts)
+    assert spark.conf.get(key) == before
