@@ -171,6 +171,15 @@ def test_rows_are_shuffled_once_to_be_numbered(spark):
     assert bag(number_rows(df, "id", bucket_digits=1, copies_per_task=40)) == bag(plain)
 
 
+def test_first_purchases_need_no_join(spark):
+    """The lines of a user and name meet in one shuffle, and carry no column that others give."""
+    tables = [spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("lineitem", "orders", "part")]
+    found = order_lines(*tables)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+    assert found.filter("order_hour_of_day <> order_id % 24 OR department <> concat('Brand#', department_id)").count() == 0
+
+
 def test_shuffles_are_as_wide_as_the_inputs(spark, tmp_path):
     spark.range(20_000_000).write.parquet(str(tmp_path / "t"))
     key, table = "spark.sql.shuffle.partitions", spark.read.parquet(str(tmp_path / "t"))
