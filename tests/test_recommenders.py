@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.skew import dense_index
 from trolley.functions.stats import exact_quantiles, exact_quantiles_of
-from trolley.operators import metrics, ncf_training, neighbours, neural, recommend
+from trolley.operators import factor_search, metrics, ncf_training, neighbours, neural, recommend
 
 
 # --- quantiles and numbering -------------------------------------------------
@@ -114,6 +114,62 @@ def test_popular_list_is_the_same_for_all(spark):
     assert recommend.popular_top(train.limit(0), train, 2).count() == 0
 
 
+# --- best products without scoring all pairs ---------------------------------------
+
+
+@pytest.mark.parametrize("cell_items", [512, 16, 3])
+def test_best_products_are_those_of_all_pairs(spark, monkeypatch, cell_items):
+    monkeypatch.setattr("trolley.operators.factor_search.PORTION_USERS", 64)
+    rng = random.Random(5)
+    rows = list({(rng.randrange(150), int(rng.paretovariate(0.6)) % 200): float(rng.randrange(1, 5)) for _ in range(3000)}.items())
+    rated = spark.createDataFrame([(u, p, r) for (u, p), r in rows], "user_id long, product_id long, rating float")
+    model = recommend.als_fit(rated, iterations=3).model
+    best = factor_search.best_items(model.userFactors, model.itemFactors, model.rank, 7, cell_items)
+    slow = model.recommendForAllUsers(7).select("_user", F.posexplode("recommendations").alias("place", "r"))
+    # Single precision: the last digits depend on the order of summation.
+    score = {(r["user"], r["place"]): r["score"] for r in best.collect()}
+    assert score == pytest.approx({(r["_user"], r["place"] + 1): r["r"]["rating"] for r in slow.collect()}, abs=1e-5)
+    item = {(r["user"], r["place"]): r["item"] for r in best.collect()}
+    same = sum(item[r["_user"], r["place"] + 1] == r["r"]["_product"] for r in slow.collect())
+    assert same >= 0.99 * len(item)
+    few = factor_search.best_items(model.userFactors, model.itemFactors.filter("id < 4"), model.rank, 7, cell_items)
+    assert few.count() == 4 * model.userFactors.count()
+    assert few.select("user", "item").distinct().count() == few.count()
+
+
+def test_equal_scores_go_to_the_smaller_item(spark):
+    kinds = "id int, features array<float>"
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], kinds)
+    items = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(30, 0, -1)], kinds)
+    best = factor_search.best_items(users, items, 2, 3, 4)
+    assert bag(best.filter("user = 1").select("place", "item", "score")) == Counter({(1, 1, 1.0): 1, (2, 2, 1.0): 1, (3, 3, 1.0): 1})
+    assert bag(best.filter("user = 2").select("place", "item")) == Counter({(1, 1): 1, (2, 2): 1, (3, 3): 1})
+
+
+def test_most_pairs_of_users_and_products_are_not_scored(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    tastes = rng.normal(0, 1, (12, 6))
+    kinds, n_users, n_items = "id int, features array<float>", 400, 6000
+
+    def factors(n):
+        own = tastes[rng.integers(0, 12, n)] * rng.uniform(0.5, 1.5, (n, 1)) + rng.normal(0, 0.05, (n, 6))
+        return spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(own)], kinds)
+
+    scored, stored = [], factor_search.settled
+
+    def settled(df, label):
+        table = stored(df, label)
+        if label == "sent-users":
+            scored.append(table.agg(F.sum(F.length("users") / 4)).first()[0] * 64)
+        return table
+
+    monkeypatch.setattr("trolley.operators.factor_search.settled", settled)
+    best = factor_search.best_items(factors(n_users), factors(n_items), 6, 10, 64)
+    assert best.count() == 10 * n_users
+    assert scored[0] < 0.15 * n_users * n_items
+    assert "recommendForAllUsers" not in recommend.als_top.__code__.co_names
+
+
 # --- neighbours without a limit of names -------------------------------------------
 
 
