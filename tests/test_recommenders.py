@@ -317,3 +317,43 @@ def test_gradients_follow_the_loss():
             moved[0][which][i, j] += eps
             moved[1][which][i, j] -= eps
             assert gradient[i, j] == pytest.approx((loss(shared, *moved[0]) - loss(shared, *moved[1])) / (2 * eps), abs=1e-5)
+
+
+def test_a_step_adds_the_rows_of_a_number_one_by_one():
+    rng = np.random.default_rng(3)
+    for numbers, kind in ((5, np.uint16), (400, np.int64), (1, np.uint16)):
+        at, values = rng.integers(0, numbers, 300).astype(kind), rng.normal(size=(300, 6)).astype(np.float32)
+        rows, place = np.unique(at, return_inverse=True)
+        summed = np.zeros((len(rows), 6), dtype=np.float32)
+        np.add.at(summed, place, values)
+        found = ncf_training.row_sums(at, values)
+        assert np.array_equal(found[0], rows) and np.array_equal(found[1], summed)
+
+
+def test_tasks_hold_few_blocks_and_rounds_do_not_sort_pairs(spark, monkeypatch):
+    buckets, rounds = [], []
+    monkeypatch.setattr(ncf_training, "BLOCK_USERS", 2)
+
+    def saved(df, path, column, n=None, save=ncf_training.save_bucketed):
+        table = save(df, path, column, n)
+        buckets.append(len({f.rsplit("_", 1)[-1] for f in table.inputFiles()}))
+        return table
+
+    def stored(df, label, keep=ncf_training.settled):
+        rounds.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(ncf_training, "save_bucketed", saved)
+    monkeypatch.setattr(ncf_training, "settled", stored)
+    ncf_training.train(neural.labelled_pairs(planted(spark, users=200), 60), 60, rank=4, rounds=2)
+    # About 100 blocks; by cores alone there were 8 buckets.
+    assert buckets[0] > 16
+    assert len(rounds) == 3 and "ShuffledHashJoin" in rounds[1] and not any("SortMergeJoin" in plan for plan in rounds)
+
+
+def test_parts_of_a_split_are_read_from_stored_digests(spark):
+    pairs = neural.labelled_pairs(planted(spark, users=50), 60)
+    for part in neural.stratified_split(pairs):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "md5" not in plan
+        assert part.columns == ["user_id", "item", "label"]
