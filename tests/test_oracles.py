@@ -4,6 +4,7 @@ import pytest
 from comparing import connect, difference
 
 import __spark_entry__ as entry_points
+from trolley.operators import neural
 from trolley.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -75,6 +76,14 @@ def test_neural_scores(spark):
     assert found["auc"] == pytest.approx(wins / len(ups) / len(downs))
 
 
+def test_compared_scores_are_stored_before_they_are_read_twice(spark, monkeypatch):
+    seen, compared = {}, neural.compared
+    monkeypatch.setattr(neural, "compared", lambda scores: seen.update(scores) or compared(scores))
+    rows(spark, "neural_cf_metrics")
+    assert set(seen) == {"neural", "als", "share"}
+    assert not any("Join" in table._jdf.queryExecution().optimizedPlan().toString() for table in seen.values())
+
+
 def test_forecasts(spark):
     found = rows(spark, "arima_forecast")
     assert {(r["series"], r["week"], r["y"]) for r in found} == {
