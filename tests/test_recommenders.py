@@ -357,3 +357,22 @@ def test_parts_of_a_split_are_read_from_stored_digests(spark):
         plan = part._jdf.queryExecution().optimizedPlan().toString()
         assert "md5" not in plan
         assert part.columns == ["user_id", "item", "label"]
+
+
+def test_recommenders_share_what_users_bought(spark, monkeypatch):
+    held = planted(spark, users=120).select("user_id", F.explode("items").alias("item"))
+    df = held.select("user_id", F.format_string("name %02d", "item").alias("product_name"))
+    items = neighbours.catalogue(df, 60)
+    bought = items, neighbours.bought_items(df, items).persist()
+    for users in (None, 70):
+        apart = neighbours.run_knn_recommender(df, users, 60).collect(), neural.run_ncf(df, users, 60).collect()
+        with monkeypatch.context() as patched:
+            # Nothing is left to look up in the lines.
+            patched.setattr(neighbours, "bought_items", None)
+            shared = (
+                neighbours.run_knn_recommender(df, users, 60, bought).collect(),
+                neural.run_ncf(df, users, 60, bought=bought).collect(),
+            )
+        for one, other in zip(apart, shared):
+            assert one[0].asDict() == pytest.approx(other[0].asDict())
+    bought[1].unpersist()
