@@ -1,4 +1,4 @@
-"""The ALS of the recommenders against that of pyspark.ml, and what its half steps store."""
+"""The ALS of the recommenders against that of pyspark.ml, and what its half steps and the search for its lists store."""
 
 import random
 
@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.recommendation import ALS
 
-from trolley.operators import als_training
+from trolley.operators import als_training, factor_search
 from trolley.sources.storage import settled
 
 
@@ -60,3 +60,27 @@ def test_ratings_must_be_numbers(spark):
     rows = spark.createDataFrame([(0, 0, 1.0), (0, 1, float("nan"))], "_user int, _product int, rating float")
     with pytest.raises(Exception, match="not a number"):
         als_training.fit(rows, 1, 2, 2, 1, 0.1, 42)
+
+
+def test_a_met_cell_stores_the_users_places_only(spark, monkeypatch):
+    stored = {}
+
+    def kept(df, label):
+        stored[label] = table = settled(df, label)
+        if label == "sent-users":
+            met = table.selectExpr("sum(length(users)) / 4 AS met", "sum(length(limits)) / 4 AS limits").first()
+            stored["sizes"] = met["met"], met["limits"], sum(c != "limits" and kind == "binary" for c, kind in table.dtypes)
+        return table
+
+    monkeypatch.setattr(factor_search, "settled", kept)
+    rng = np.random.default_rng(1)
+
+    def factors(n):
+        rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(0, 1, (n, 3)))]
+        return spark.createDataFrame(rows, "id int, features array<float>")
+
+    best = factor_search.best_items(factors(90), factors(400), 3, 4, 16)
+    assert best.count() == 90 * 4
+    met, limits, columns = stored["sizes"]
+    # Vectors and limits are not written again for every cell that a user meets.
+    assert limits == 90 and columns == 1 and met >= 90

@@ -10,34 +10,35 @@ Users first meet the few cells that promise most. The ``k``-th score
 found there is a limit that the ``k``-th best of all items reaches too, so
 after that users meet only cells that may hold scores as high, and of these only such
 scores are kept. The rows are those of scoring all pairs whatever the factors are; how many
-cells a user meets depends on them. Users travel to the cells in packed portions, so
-a task holds one portion and one cell at a time.
+cells a user meets depends on them. Users stay where they are, in packed portions, and the
+tasks read the cells one after the other from the shared folder: what is written of a user and a
+cell that it meets is the user's place in the portion. A task holds one portion, its lists and a few cells.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.sources.storage import discard, settled
+from trolley.sources.storage import discard, part_files, read_part, settled
 
 CELL_ITEMS = 512
 # Directions, at most. They are broadcast, as are the cells' centres.
 MOST_DIRECTIONS = 16_384
-# Users whose rows for a cell are packed together; users and cells that are compared at once.
-PORTION_USERS = 16_384
+# Users whose lists a task finds; each reads all cells. Users and cells that are compared at once.
+PORTION_USERS = 65_536
 STEP_USERS = 2048
 STEP = 512
-# Packed rows that a task holds as Arrow at once; a row has a cell and up to a portion of users.
-PACKED_ROWS = 64
+# Cells whose users are found before any are written, and cells that are read at once.
+NEXT_CELLS = 64
+# Scores found before a portion's lists are cut to their length.
+HELD_SCORES = 1 << 20
 # Multiplications that OpenBLAS does not share out among threads.
 TILE = 1 << 18
 # Cells that a user's first limit comes from: so many by the bound with this share of the radius.
@@ -48,10 +49,9 @@ SLACK = 1e-5
 
 @dataclass
 class Cells:
-    """The stored cells (cell, ids, vectors), and per cell its number, size, centre, radius and longest vector."""
+    """The stored cells (ids, vectors), and in the order of its files per cell its size, centre, radius and longest vector."""
 
     table: DataFrame
-    cell: np.ndarray
     size: np.ndarray
     centre: np.ndarray
     radius: np.ndarray
@@ -127,30 +127,37 @@ def item_cells(items: DataFrame, rank: int, cell_items: int = CELL_ITEMS) -> Cel
     sorted_items = dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     kinds = "ids binary, vectors binary, size int, centre binary, radius double, longest double"
     table = settled(sorted_items.mapInArrow(cut, kinds).withColumn("cell", F.monotonically_increasing_id()), "item-cells")
-    known_cells = table.select("cell", "size", "centre", "radius", "longest").toArrow()
+    known_cells = table.select("cell", "size", "centre", "radius", "longest").toArrow().sort_by("cell")
     centre = np.frombuffer(b"".join(known_cells["centre"].to_pylist()), dtype=np.float32).reshape(-1, rank)
-    numbers = [known_cells[c].to_numpy() for c in ("cell", "size", "radius", "longest")]
-    cell, size, radius, longest = numbers
-    return Cells(table.select("cell", "ids", "vectors"), cell, size, centre, radius.astype(np.float32), longest.astype(np.float32))
-
-
-def _portions(batches: Iterator[pa.RecordBatch], rank: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, vectors, limits) of up to ``PORTION_USERS`` users at a time, or a batch more."""
-    kept, n = [], 0
-    for batch in batches:
-        limits = batch["least"].to_numpy(zero_copy_only=False).astype(np.float32)
-        kept.append((batch["id"].to_numpy().astype(np.int32), _rows(batch["features"], rank), limits))
-        n += len(limits)
-        if n >= PORTION_USERS:
-            yield tuple(np.concatenate(c) for c in zip(*kept))
-            kept, n = [], 0
-    if n:
-        yield tuple(np.concatenate(c) for c in zip(*kept))
-
-
-def _first_cells(vectors, limits, cells, k):
+    size, radius, longest = (known_cells[c].to_numpy() for c in ("size", "radius", "longest"))
+    return Cells(table.select("ids", "vectors"), size, centre, radius.astype(np.float32), longest.astype(np.float32))
+
+
+def _portions(users: DataFrame, parts: int) -> DataFrame:
+    """(ids, vectors): a row and a file per portion."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vectors = [], []
+        for batch in batches:
+            ids.append(batch["id"].to_numpy().astype(np.int32).tobytes())
+            vectors.append(batch["features"].flatten().to_numpy(zero_copy_only=False).astype(np.float32).tobytes())
+        packed = [pa.array([b"".join(c)], pa.binary()) for c in (ids, vectors)]
+        yield pa.RecordBatch.from_arrays(packed, ["ids", "vectors"])
+
+    dealt = users.select("id", "features").repartition(parts, "id")
+    return settled(dealt.mapInArrow(pack, "ids binary, vectors binary"), "user-portions")
+
+
+def _packed(file: str, rank: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of the rows of a file of portions or cells."""
+    for batch in read_part(file, "ids", "vectors", rows=NEXT_CELLS):
+        for ids, vectors in zip(batch["ids"], batch["vectors"]):
+            yield np.frombuffer(ids.as_buffer(), dtype=np.int32), np.frombuffer(vectors.as_buffer(), dtype=np.float32).reshape(-1, rank)
+
+
+def _first_cells(vectors, cells, k):
     """Per user the cells with the highest bounds and halfway to them, of those that hold ``k`` items if any do."""
-    _, size, centre, radius, longest = cells
+    size, centre, radius, longest = cells
     able = np.flatnonzero(size >= min(k, size.max()))
     lengths, met = _lengths(vectors), []
     for share, n in FIRST_CELLS:
@@ -171,15 +178,28 @@ def _first_cells(vectors, limits, cells, k):
     return who, met[who, place]
 
 
-def _able_cells(vectors, limits, cells, k):
-    """Per user the cells that may hold a score that reaches the user's limit."""
-    _, size, centre, radius, longest = cells
-    lengths, met = _lengths(vectors), []
-    for start in range(0, len(size), STEP):
-        part = slice(start, start + STEP)
-        who, what = np.nonzero(_bounds(vectors, lengths, centre[part], radius[part], longest[part]) >= limits[:, None])
-        met.append((who, what + start))
-    return tuple(np.concatenate(c) for c in zip(*met))
+def _able_cells(vectors, limits, cells):
+    """(cell, users) in the order of the cells: the users that may have a score there that reaches their limit."""
+    size, centre, radius, longest = cells
+    lengths = _lengths(vectors)
+    for first in range(0, len(size), NEXT_CELLS):
+        part, met = slice(first, first + NEXT_CELLS), []
+        for start in range(0, len(vectors), STEP_USERS):
+            own = slice(start, start + STEP_USERS)
+            bounds = _bounds(vectors[own], lengths[own], centre[part], radius[part], longest[part])
+            who, what = np.nonzero(bounds >= limits[own, None])
+            met.append((who.astype(np.int32) + start, what))
+        who, what = (np.concatenate(c) for c in zip(*met))
+        order = np.argsort(what, kind="stable")
+        for cell, group in _groups(who[order], what[order]):
+            yield first + cell, group
+
+
+def _groups(who: np.ndarray, what: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The parts of ``who`` that share a value of ``what``, which is sorted."""
+    starts = np.flatnonzero(np.r_[True, what[1:] != what[:-1]]).tolist() if len(what) else []
+    for a, b in zip(starts, [*starts[1:], len(what)]):
+        yield int(what[a]), who[a:b]
 
 
 def _lengths(vectors: np.ndarray) -> np.ndarray:
@@ -210,73 +230,138 @@ def _bounds(vectors, lengths, centre, radius, longest) -> np.ndarray:
     return np.minimum(bounds, lengths[:, None] * longest, out=bounds)
 
 
-def _sent(users: DataFrame, cells: Cells, rank: int, k: int, choose) -> DataFrame:
-    """(cell, users, user_vectors, limits): for every cell the users of a portion that ``choose`` sends to it."""
-    held = users.sparkSession.sparkContext.broadcast((cells.cell, cells.size, cells.centre, cells.radius, cells.longest))
+class _Lists:
+    """The best items of the users of a portion among those met so far."""
+
+    def __init__(self, vectors: np.ndarray, limits: np.ndarray, longest: float, k: int):
+        self.vectors, self.limits, self.k = vectors, limits.copy(), k
+        # A product that reaches a score in the order of the factors may be lower by this as BLAS works it out.
+        self.slack = _lengths(vectors) * np.float32(SLACK * longest)
+        self.held, self.n = [], 0
+
+    def meet(self, users: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Score these users with the items of a cell; of the scores that reach a user's limit the ``k`` best are held."""
+        k = self.k
+        for start in range(0, len(users), STEP_USERS):
+            own = users[start : start + STEP_USERS]
+            mine, least = self.vectors[own], self.limits[own]
+            scores = _products(mine, vectors)
+            if len(ids) > k and np.isneginf(least).any():
+                reached = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+                least = np.maximum(least, reached - SLACK * np.abs(scores).max(1))
+            who, what = np.nonzero(scores >= least[:, None])
+            found = _summed_in_order(mine[who], vectors[what])
+            if len(who) and np.bincount(who).max() > k:
+                who, item, found, _ = _best(who, ids[what], found, len(own), k)
+            else:
+                item = ids[what]
+            if len(who):
+                self.held.append((own[who], item, found))
+                self.n += len(who)
+        if self.n > max(HELD_SCORES, 4 * k * len(self.vectors)):
+            self.cut()
+
+    def cut(self) -> tuple[np.ndarray, ...]:
+        """(user, item, score, place) of the ``k`` best so far; who has so many is held to the last of them from now on."""
+        none = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.float32)
+        who, item, score, place = _best(*(np.concatenate(c) for c in zip(none, *self.held)), len(self.vectors), self.k)
+        last = place == self.k
+        self.limits[who[last]] = np.maximum(self.limits[who[last]], score[last] - self.slack[who[last]])
+        self.held, self.n = [(who, item, score)], len(who)
+        return who, item, score, place
+
+
+def _best(who: np.ndarray, item: np.ndarray, score: np.ndarray, n: int, k: int) -> tuple[np.ndarray, ...]:
+    """(who, item, score, place) of the ``k`` best of each of ``n`` users, in order."""
+    order = np.lexsort((item, -score, who))
+    place = np.arange(len(order)) - np.searchsorted(who[order], np.arange(n))[who[order]] + 1
+    order, place = order[place <= k], place[place <= k]
+    return who[order], item[order], score[order], place.astype(np.int32)
+
+
+def _sent(portions: DataFrame, cells: Cells, rank: int, k: int) -> DataFrame:
+    """(portion, cell, users, limits): for every portion a row with the limits of its users, then, in order, the cells they meet.
+
+    ``users`` are places in the portion.
+    """
+    spark, files, cell_files = portions.sparkSession, part_files(portions), part_files(cells.table)
+    held = spark.sparkContext.broadcast((cells.size, cells.centre, cells.radius, cells.longest))
+
+    def first_limits(vectors: np.ndarray) -> np.ndarray:
+        lists = _Lists(vectors, np.full(len(vectors), -np.inf, dtype=np.float32), float(held.value[3].max()), k)
+        met = [
+            (who + start, what)
+            for start in range(0, len(vectors), STEP_USERS)
+            for who, what in [_first_cells(vectors[start : start + STEP_USERS], held.value, k)]
+        ]
+        who, what = (np.concatenate(c) for c in zip(*met))
+        order = np.argsort(what, kind="stable")
+        _meet_all(lists, _groups(who[order], what[order]), cell_files, rank)
+        lists.cut()
+        return lists.limits
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, vectors, limits in _portions(batches, rank):
-            met = [
-                (who + start, what)
-                for start in range(0, len(ids), STEP_USERS)
-                for who, what in [choose(vectors[start : start + STEP_USERS], limits[start : start + STEP_USERS], held.value, k)]
-            ]
-            who, what = (np.concatenate(c) for c in zip(*met))
-            order = np.argsort(what, kind="stable")
-            who, what = who[order], what[order]
-            starts = np.flatnonzero(np.r_[True, what[1:] != what[:-1]]).tolist() if len(what) else []
-            packed = [
-                (held.value[0][what[a]], *(c[who[a:b]].tobytes() for c in (ids, vectors, limits)))
-                for a, b in zip(starts, [*starts[1:], len(what)])
-            ]
-            for at in range(0, len(packed), STEP):
-                columns = [pa.array(c, kind) for c, kind in zip(zip(*packed[at : at + STEP]), (pa.int64(), *[pa.binary()] * 3))]
-                yield pa.RecordBatch.from_arrays(columns, ["cell", "users", "user_vectors", "limits"])
-
-    return users.mapInArrow(send, "cell long, users binary, user_vectors binary, limits binary")
-
-
-def _scored(sent: DataFrame, cells: Cells, rank: int, k: int) -> DataFrame:
-    """(user, item, score): per user and cell met the ``k`` best scores that reach the user's limit."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in zip(*(batch[c] for c in ("users", "user_vectors", "limits", "ids", "vectors"))):
-                users, mine, limits, ids, theirs = (
-                    np.frombuffer(v.as_buffer(), dtype=kind) for v, kind in zip(row, (np.int32, "f4", "f4", np.int32, "f4"))
-                )
-                mine, theirs = mine.reshape(-1, rank), theirs.reshape(-1, rank)
-                for start in range(0, len(users), STEP_USERS):
-                    part = slice(start, start + STEP_USERS)
-                    scores, least = _products(mine[part], theirs), limits[part]
-                    if len(ids) > k and np.isneginf(least).any():
-                        own = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
-                        least = np.maximum(least, own - SLACK * np.abs(scores).max(1))
-                    who, what = np.nonzero(scores >= least[:, None])
-                    found = _summed_in_order(mine[part][who], theirs[what])
-                    if len(who) and np.bincount(who).max() > k:
-                        order = np.lexsort((ids[what], -found, who))
-                        first = np.searchsorted(who[order], np.arange(len(scores)))
-                        order = order[np.arange(len(order)) - first[who[order]] < k]
-                        who, what, found = who[order], what[order], found[order]
-                    if len(who):
-                        columns = [pa.array(users[part][who]), pa.array(ids[what]), pa.array(found)]
-                        yield pa.RecordBatch.from_arrays(columns, ["user", "item", "score"])
-
-    met = sent.join(cells.table, "cell")
-    return met.select("users", "user_vectors", "limits", "ids", "vectors").mapInArrow(score, "user int, item int, score float")
-
-
-@contextmanager
-def _short_batches(spark: SparkSession) -> Iterator[None]:
-    """Until the end of the block, Arrow batches have ``PACKED_ROWS`` rows at most. Holds for what runs inside the block."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, min(int(before), PACKED_ROWS) if int(before) > 0 else PACKED_ROWS)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+        for portion in (p for batch in batches for p in batch["id"].to_pylist()):
+            ((_, vectors),) = _packed(files[portion], rank)
+            limits = first_limits(vectors) if len(vectors) else np.empty(0, dtype=np.float32)
+            yield packed(portion, [(-1, b"", limits.tobytes())])
+            rows = []
+            for cell, users in _able_cells(vectors, limits, held.value) if len(vectors) else ():
+                rows.append((cell, users.tobytes(), None))
+                if len(rows) == NEXT_CELLS:
+                    yield packed(portion, rows)
+                    rows = []
+            if rows:
+                yield packed(portion, rows)
+
+    def packed(portion: int, rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))]
+        return pa.RecordBatch.from_arrays([pa.array([portion] * len(rows), pa.int32()), *columns], ["portion", "cell", "users", "limits"])
+
+    numbers = spark.range(0, len(files), 1, len(files))
+    return numbers.mapInArrow(send, "portion int, cell int, users binary, limits binary")
+
+
+def _meet_all(lists: _Lists, met: Iterator[tuple[int, np.ndarray]], cell_files: list[str], rank: int) -> None:
+    """Let the users meet the cells, both in the order of the cells' files."""
+    following = next(met, None)
+    cells = (cell for file in cell_files for cell in _packed(file, rank))
+    for number, (ids, vectors) in enumerate(cells):
+        if following is None:
+            return
+        if following[0] == number:
+            lists.meet(following[1], ids, vectors)
+            following = next(met, None)
+
+
+def _ranked(portions: DataFrame, sent: DataFrame, cells: Cells, rank: int, k: int) -> DataFrame:
+    """(user, place, item, score): the ``k`` best of the scores of the users in the cells that they meet."""
+    spark, files, sent_files, cell_files = portions.sparkSession, part_files(portions), part_files(sent), part_files(cells.table)
+    longest = float(cells.longest.max())
+    if len(sent_files) != len(files):
+        raise ValueError("a portion has no file")
+
+    def rank_portion(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for portion in (p for batch in batches for p in batch["id"].to_pylist()):
+            ((own, vectors),) = _packed(files[portion], rank)
+            rows = (
+                row
+                for batch in read_part(sent_files[portion], "portion", "cell", "users", "limits", rows=NEXT_CELLS)
+                for row in zip(*(batch[c] for c in ("portion", "cell", "users", "limits")))
+            )
+            of, _, _, limits = next(rows)
+            if of.as_py() != portion:
+                raise ValueError("the users of another portion")
+            lists = _Lists(vectors, np.frombuffer(limits.as_buffer(), dtype=np.float32), longest, k)
+            met = ((cell.as_py(), np.frombuffer(users.as_buffer(), dtype=np.int32)) for _, cell, users, _ in rows)
+            _meet_all(lists, met, cell_files, rank)
+            who, item, score, place = lists.cut()
+            for at in range(0, len(who), STEP_USERS * k):
+                part = slice(at, at + STEP_USERS * k)
+                columns = [pa.array(c) for c in (own[who[part]], place[part], item[part], score[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["user", "place", "item", "score"])
+
+    return spark.range(0, len(files), 1, len(files)).mapInArrow(rank_portion, "user int, place int, item int, score float")
 
 
 def best_items(users: DataFrame, items: DataFrame, rank: int, k: int, cell_items: int = CELL_ITEMS) -> DataFrame:
@@ -286,22 +371,12 @@ def best_items(users: DataFrame, items: DataFrame, rank: int, k: int, cell_items
     items where there are fewer than ``k``.
     """
     spark = users.sparkSession
-    parts = max(2 * spark.sparkContext.defaultParallelism, users.count() // PORTION_USERS)
-    no_limit = F.lit(float("-inf")).cast("float")
-    spread = users.select("id", "features").repartition(parts, "id")
     if items.isEmpty():
-        return users.select(F.col("id").alias("user"), F.lit(1).alias("place"), F.lit(0).alias("item"), no_limit.alias("score")).limit(0)
+        no_score = F.lit(float("-inf")).cast("float")
+        return users.select(F.col("id").alias("user"), F.lit(1).alias("place"), F.lit(0).alias("item"), no_score.alias("score")).limit(0)
     cells = item_cells(items, rank, cell_items)
-    first = _scored(_sent(spread.withColumn("least", no_limit), cells, rank, k, _first_cells), cells, rank, k)
-    reached = first.groupBy(F.col("user").alias("id")).agg(F.sort_array(F.collect_list("score"), asc=False).alias("scores"))
-    length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    slack = length * F.lit(SLACK * float(cells.longest.max()))
-    limit = F.coalesce((F.get("scores", F.lit(k - 1)) - slack).cast("float"), no_limit)
-    limited = spread.join(reached, "id", "left").select("id", "features", limit.alias("least"))
-    place = F.row_number().over(W.partitionBy("user").orderBy(F.desc("score"), "item"))
-    with _short_batches(spark):
-        sent = settled(_sent(limited, cells, rank, k, _able_cells), "sent-users")
-        ranked = _scored(sent, cells, rank, k).withColumn("place", place).filter(F.col("place") <= k)
-        best = settled(ranked.select("user", "place", "item", "score"), "best-items")
-    discard(sent, cells.table)
+    portions = _portions(users, max(2 * spark.sparkContext.defaultParallelism, users.count() // PORTION_USERS))
+    sent = settled(_sent(portions, cells, rank, k), "sent-users")
+    best = settled(_ranked(portions, sent, cells, rank, k), "best-items")
+    discard(portions, sent, cells.table)
     return best
