@@ -371,7 +371,7 @@ def best_items(users: DataFrame, items: DataFrame, rank: int, k: int, cell_items
     items where there are fewer than ``k``.
     """
     spark = users.sparkSession
-    if items.isEmpty():
+    if users.isEmpty() or items.isEmpty():
         no_score = F.lit(float("-inf")).cast("float")
         return users.select(F.col("id").alias("user"), F.lit(1).alias("place"), F.lit(0).alias("item"), no_score.alias("score")).limit(0)
     cells = item_cells(items, rank, cell_items)
